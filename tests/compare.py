@@ -68,4 +68,4 @@ if __name__ == "__main__":
             wrong = difference(df, con, sqls[name]) if name in sqls else "no SQL"
         except Exception as error:  # noqa: BLE001
             n, middle, wrong = -1, time.time(), f"{type(error).__name__}: {str(error)[:900]}"
-        print(f"{'ok ' if wrong is None else 'BAD'} {name} rows={n} {middle - start:.1f}s +{time.time() - middle:.1f}s {wrong or ''}", flush=True)
+        print(f"\n{'ok ' if wrong is None else 'BAD'} {name} rows={n} {middle - start:.1f}s +{time.time() - middle:.1f}s {wrong or ''}", flush=True)
