@@ -11,6 +11,15 @@ def _normal(url: str) -> str:
     return f"""trim(regexp_replace(regexp_replace(lower(coalesce("text", '')), '{url}', ' ', 'g'), '[^a-z0-9]+', ' ', 'g'))"""
 
 
+SEGMENTS = """
+segs AS MATERIALIZED (
+  SELECT doc_id, source AS portal, pos, trim(seg) AS seg FROM (
+    SELECT doc_id, source, unnest(string_split("text", chr(10))) AS seg, generate_subscripts(string_split("text", chr(10)), 1) AS pos
+    FROM documents) WHERE trim(seg) <> ''),
+common AS (
+  SELECT s.portal, seg FROM segs s JOIN (SELECT source AS portal, count(*) AS n FROM documents GROUP BY 1) p ON p.portal = s.portal
+  GROUP BY s.portal, seg, n HAVING count(DISTINCT doc_id) >= n * 0.1)"""
+
 TEXT = f"""
 normal AS MATERIALIZED (SELECT doc_id, {_normal(URL)} AS normal FROM documents),
 toks AS MATERIALIZED (SELECT doc_id, CASE WHEN normal = '' THEN [] ELSE string_split(normal, ' ') END AS t FROM normal)"""
@@ -130,6 +139,29 @@ mapping AS (
       h[1:8] || '-' || h[9:12] || '-' || h[13:16] || '-' || h[17:20] || '-' || h[21:32]) AS cluster_id,
     doc_id = center AND doc_id % 10 <> 0 AS created, doc_id = center AND doc_id % 10 = 0 AS reused
   FROM (SELECT *, sha256(CAST(center AS VARCHAR)) AS h FROM stars))"""
+UNCAPPED = BUCKETS + """,
+linked AS MATERIALIZED (
+  SELECT DISTINCT a.doc_id AS id_a, b.doc_id AS id_b FROM buckets a JOIN buckets b ON a.band = b.band AND a.key = b.key AND a.doc_id < b.doc_id)
+""" + "," + _scores("linked", "word5", "scored") + """,
+matches AS MATERIALIZED (SELECT * FROM scored WHERE jaccard >= 0.5)"""
+CONTENTS = """,
+content AS MATERIALIZED (
+  SELECT doc_id, min(doc_id) OVER (PARTITION BY grams) AS rep FROM (
+    SELECT doc_id, string_agg(g, '|' ORDER BY g) AS grams FROM word5 GROUP BY doc_id))"""
+UNCAPPED_STARS = UNCAPPED + STARS[len(MATCHES):]
+FILTERED_SOURCE = """
+filtered AS MATERIALIZED (
+  SELECT d.doc_id, coalesce(string_agg(s.seg, chr(10) ORDER BY s.pos) FILTER (c.seg IS NULL), '') AS "text"
+  FROM documents d LEFT JOIN segs s ON s.doc_id = d.doc_id LEFT JOIN common c ON c.portal = s.portal AND c.seg = s.seg
+  GROUP BY d.doc_id),"""
+
+
+def _on_filtered(query: str, url: str = URL) -> str:
+    """The same tables with the filtered texts in the place of the documents' own."""
+    plain = f"SELECT doc_id, {_normal(URL)} AS normal FROM documents"
+    return query.replace(plain, f"SELECT doc_id, {_normal(url)} AS normal FROM filtered")
+
+
 SIMILARITY = (
     TEXT + "," + ",".join(_word_grams(n) for n in (3, 5)) + "," + CHAR5 + "," + PAIRS + ","
     + ",".join(_scores("pairs", g, f"s_{g}") for g in ("word3", "word5", "char5")) + """,
@@ -179,14 +211,6 @@ by_bin AS (
   FROM {CONFIG_NAMES} CROSS JOIN {BIN_NAMES} LEFT JOIN (
     SELECT configuration, {BIN} AS bin, hit FROM survived JOIN exact USING (id_a, id_b)) x
   ON x.configuration = c.configuration AND x.bin = b.bin GROUP BY 1, 2, 3, 4)"""
-SEGMENTS = """
-segs AS MATERIALIZED (
-  SELECT doc_id, source AS portal, pos, trim(seg) AS seg FROM (
-    SELECT doc_id, source, unnest(string_split("text", chr(10))) AS seg, generate_subscripts(string_split("text", chr(10)), 1) AS pos
-    FROM documents) WHERE trim(seg) <> ''),
-common AS (
-  SELECT s.portal, seg FROM segs s JOIN (SELECT source AS portal, count(*) AS n FROM documents GROUP BY 1) p ON p.portal = s.portal
-  GROUP BY s.portal, seg, n HAVING count(DISTINCT doc_id) >= n * 0.1)"""
 DATE_TEXT = {
     "%d-%m-%Y": r"\b(\d{1,2}-\d{1,2}-\d{4})\b", "%d/%m/%Y": r"\b(\d{1,2}/\d{1,2}/\d{4})\b",
     "%d.%m.%Y": r"\b(\d{1,2}\.\d{1,2}\.\d{4})\b", "%Y-%m-%d": r"\b(\d{4}-\d{1,2}-\d{1,2})\b",
@@ -281,6 +305,13 @@ SQL = {
     "match_pairs": _with(MATCHES, "SELECT * FROM matches"),
     "insert_if_absent": _with(MATCHES, "SELECT id_a, id_b, CASE WHEN id_a % 2 = 0 THEN 0.0::DOUBLE ELSE jaccard END AS jaccard FROM matches"),
     "star_clusters": _with(STARS, "SELECT doc_id, center FROM stars", True),
+    "content_copies": _with(WORD5 + CONTENTS, "SELECT doc_id, rep FROM content WHERE doc_id <> rep"),
+    "uncapped_matches": _with(UNCAPPED + CONTENTS, """SELECT id_a, id_b, jaccard FROM matches
+  WHERE id_a IN (SELECT rep FROM content) AND id_b IN (SELECT rep FROM content)"""),
+    "uncapped_clusters": _with(UNCAPPED_STARS, "SELECT doc_id, center FROM stars", True),
+    "match_pairs_filtered": _with(SEGMENTS + "," + FILTERED_SOURCE + _on_filtered(MATCHES), "SELECT * FROM matches"),
+    "threshold_eval_filtered": _with(SEGMENTS + "," + FILTERED_SOURCE + _on_filtered(EVAL, URL_OR_WWW),
+                                     """SELECT threshold, tp, fp, tn, fn, precision_ AS "precision", recall_ AS "recall", f1 FROM evaluated"""),
     "stable_mapping": _with(STARS, "SELECT * FROM mapping", True),
     "cluster_summary": _with(STARS, """SELECT count(*) AS clusters, CAST(sum(docs) AS BIGINT) AS mapped, CAST(sum(created) AS BIGINT) AS created,
   CAST(sum(reused) AS BIGINT) AS reused, max(docs) AS largest

@@ -28,14 +28,22 @@ def characters(normalized: Column) -> Column:
     return F.array_remove(F.split(normalized, ""), "")
 
 
+def _each_start(sequence: Column, n: int, each: Callable[[Column], Column]) -> Column:
+    """``each`` of every 0-based start of ``n`` neighbours; an empty array if there are fewer."""
+    count = F.size(sequence) - (n - 1)
+    starts = F.sequence(F.lit(0), F.greatest(count - 1, F.lit(0)))
+    return F.slice(F.transform(starts, each), 1, F.greatest(count, F.lit(0)))
+
+
 def windows(sequence: Column, n: int, joiner: str, each: Callable[[Column], Column]) -> Column:
-    """``each`` of every run of ``n`` neighbours joined to one text; an empty array if there are fewer.
+    """``each`` of the text of every run of ``n`` neighbours.
 
     ``sequence`` must be a plain column, not an expression: the lambda would evaluate it per element.
     """
-    count = F.size(sequence) - (n - 1)
-    grams = F.transform(
-        F.sequence(F.lit(1), F.greatest(count, F.lit(1))),
-        lambda i: each(F.array_join(F.slice(sequence, i, n), joiner)),
-    )
-    return F.slice(grams, 1, F.greatest(count, F.lit(0)))
+    gram = lambda i: F.concat_ws(joiner, *[F.get(sequence, i + k) for k in range(n)])
+    return _each_start(sequence, n, lambda i: each(gram(i)))
+
+
+def window_hashes(sequence: Column, n: int) -> Column:
+    """64-bit hash of every run of ``n`` neighbours, without building its text."""
+    return _each_start(sequence, n, lambda i: F.xxhash64(*[F.get(sequence, i + k) for k in range(n)]))

@@ -215,16 +215,20 @@ def config_summary(sizes: DataFrame, counts: DataFrame, survived: DataFrame) ->
     )
 
 
-def cap_sweep(pairs: DataFrame, sigs: DataFrame, caps: tuple[int, ...] = CAPS, bands: int = 32, rows: int = 4) -> DataFrame:
-    """Retrieved pairs per bucket cap and label: a pair needs one shared bucket no larger than the cap."""
-    shared = F.array_compact(F.array(*[
+def shared_bands(bands: int, rows: int) -> Column:
+    """Array of (band, bucket_hash) in which sig_a and sig_b agree."""
+    return F.array_compact(F.array(*[
         F.when(
             band_slice(F.col("sig_a"), b, rows) == band_slice(F.col("sig_b"), b, rows),
             F.struct(F.lit(b).alias("band"), F.xxhash64(F.lit(b), band_slice(F.col("sig_a"), b, rows)).alias("bucket_hash")),
         )
         for b in range(bands)
     ]))
-    keyed = with_signatures(pairs, sigs).select(*pairs.columns, F.inline_outer(shared))
+
+
+def cap_sweep(pairs: DataFrame, sigs: DataFrame, caps: tuple[int, ...] = CAPS, bands: int = 32, rows: int = 4) -> DataFrame:
+    """Retrieved pairs per bucket cap and label: a pair needs one shared bucket no larger than the cap."""
+    keyed = with_signatures(pairs, sigs).select(*pairs.columns, F.inline_outer(shared_bands(bands, rows)))
     sizes = bucket_sizes(lsh_buckets(sigs, bands, rows))
     smallest = (
         keyed.join(sizes, list(BUCKET), "left")

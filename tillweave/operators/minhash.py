@@ -19,7 +19,7 @@ SEED = 42
 SIGNATURE_SIZE = 128
 NGRAM = 5
 
-HASH_BLOCK = 4096
+HASH_BLOCK = 128
 
 
 def coefficients(k: int = SIGNATURE_SIZE, seed: int = SEED) -> list[tuple[int, int]]:
@@ -44,37 +44,47 @@ def permuted(h: Column, a: int, b: int) -> Column:
     return F.pmod(high + h * F.lit(a & 0xFFFF) + F.lit(b), F.lit(PRIME))
 
 
-def _hashes(digests: str) -> np.ndarray:
-    w = np.frombuffer(bytes.fromhex(digests), dtype=">u4").reshape(-1, 4).astype(np.int64)
-    return np.unique((w[:, 3] - 15 * w[:, 2] + 225 * w[:, 1] - 3375 * w[:, 0]) % PRIME)
+def _minima(k: int, seed: int):
+    """Arrow UDF from the joined MD5 digests of a document to its ``k`` minima.
 
+    The helpers are nested so that they travel to the executors with the function.
+    """
+    pairs = np.array(coefficients(k, seed), dtype=np.uint64)
+    prime, half, block = np.uint64(PRIME), np.uint64(16), HASH_BLOCK
+    a_high, a_low, b = pairs[None, :, 0] >> half, pairs[None, :, 0] & np.uint64(0xFFFF), pairs[None, :, 1]
+
+    def modulo(x: np.ndarray) -> np.ndarray:
+        return x - x // prime * prime  # numpy vectorises the division by a scalar, not the remainder
+
+    def hashes(digests: str) -> np.ndarray:
+        w = np.frombuffer(bytes.fromhex(digests), dtype=">u4").reshape(-1, 4).astype(np.int64)
+        return np.unique((w[:, 3] - 15 * w[:, 2] + 225 * w[:, 1] - 3375 * w[:, 0]) % int(prime)).astype(np.uint64)
+
+    def lowest(digests: str) -> np.ndarray:
+        result = np.full(k, prime, dtype=np.uint64)
+        values = hashes(digests)
+        for start in range(0, len(values), block):
+            h = values[start : start + block, None]
+            permuted = modulo((modulo(a_high * h) << half) + a_low * h + b)
+            np.minimum(result, permuted.min(axis=0), out=result)
+        return result.astype(np.int64)
+
+    @F.pandas_udf("array<bigint>")
+    def minima(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for digests in batches:
+            yield digests.map(lowest)
 
-def _signature(digests: str, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    lowest = np.full(a.shape[1], PRIME, dtype=np.int64)
-    hashes = _hashes(digests)
-    for start in range(0, len(hashes), HASH_BLOCK):
-        h = hashes[start : start + HASH_BLOCK, None]
-        value = (((a >> 16) * h % PRIME << 16) + (a & 0xFFFF) * h + b) % PRIME
-        lowest = np.minimum(lowest, value.min(axis=0))
-    return lowest
+    return minima
 
 
 def signatures(docs: DataFrame, k: int = SIGNATURE_SIZE, seed: int = SEED) -> DataFrame:
     """(doc_id, sig) for documents with at least one 5-gram; a map-only pass over the text.
 
-    Spark normalises, cuts and digests; only the 128 minima over the digests are taken in Arrow batches.
+    Spark normalises, cuts and digests; only the minima over the digests are taken in Arrow batches.
     """
-    pairs = np.array(coefficients(k, seed), dtype=np.int64)
-    a, b = pairs[None, :, 0], pairs[None, :, 1]
-
-    @F.pandas_udf("array<bigint>")
-    def minima(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for digests in batches:
-            yield pd.Series([_signature(d, a, b) for d in digests])
-
     digests = F.array_join(windows(F.col("words"), NGRAM, " ", F.md5), "")
     long_enough = tokens(docs).where(F.size("words") >= NGRAM)
-    return long_enough.select("doc_id", minima(digests).alias("sig"))
+    return long_enough.select("doc_id", _minima(k, seed)(digests).alias("sig"))
 
 
 def too_short(docs: DataFrame) -> DataFrame:

@@ -2,18 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillweave.functions.text import characters, normalize_text, windows, words
-
-SETS = {"word3": ("words", 3, " "), "word5": ("words", 5, " "), "char5": ("chars", 5, "")}
-
+from tillweave.functions.text import characters, normalize_text, window_hashes, windows, words
 
-def spread(df: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Give text work to all cores when the input comes in fewer splits; large inputs are left as read."""
-    wanted = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(wanted, key) if df.rdd.getNumPartitions() < 2 * wanted else df
+# Set name -> (what is cut, run length).
+SETS = {"word3": ("words", 3), "word5": ("words", 5), "char5": ("chars", 5)}
 
 
 def _once(df: DataFrame, column: Column, name: str, *keep: str) -> DataFrame:
@@ -46,17 +45,39 @@ def char_ngrams(docs: DataFrame, n: int) -> DataFrame:
     return chars.select("doc_id", F.explode(grams).alias("shingle"))
 
 
-def shingle_sets(docs: DataFrame, *names: str) -> DataFrame:
-    """(doc_id, one array of 64-bit shingle hashes per name), without any exchange.
+def _char_codes(n: int):
+    """Distinct character runs of a normalised (ASCII) text, each packed into one integer; n up to 7."""
+
+    @F.pandas_udf("array<bigint>")
+    def codes(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        def pack(text: str) -> np.ndarray:
+            chars = np.frombuffer(text.encode("ascii"), dtype=np.uint8).astype(np.int64)
+            count = len(chars) - n + 1
+            if count < 1:
+                return np.empty(0, dtype=np.int64)
+            packed = np.zeros(count, dtype=np.int64)
+            for k in range(n):
+                packed = (packed << 8) | chars[k : k + count]
+            return np.unique(packed)
+
+        for texts in batches:
+            yield texts.map(pack)
 
-    ``names`` are keys of ``SETS``. Hashes stand for the shingles in set sizes and intersections.
+    return codes
+
+
+def shingle_sets(docs: DataFrame, *names: str, strip_www: bool = False) -> DataFrame:
+    """(doc_id, one duplicate-free array of integers per name), without any exchange.
+
+    ``names`` are keys of ``SETS``. Word runs are 64-bit hashes, character runs are packed exactly.
     """
-    normal = _once(docs, normalize_text(F.col("text")), "normal", "doc_id")
-    cut = {"words": words(F.col("normal")), "chars": characters(F.col("normal"))}
-    needed = sorted({SETS[name][0] for name in names})
-    pieces = _once(normal, F.struct(*[cut[field].alias(field) for field in needed]), "pieces", "doc_id")
-    grams = lambda field, n, joiner: windows(F.col(f"pieces.{field}"), n, joiner, lambda g: F.xxhash64(g))
-    return pieces.select("doc_id", *[F.array_distinct(grams(*SETS[name])).alias(name) for name in names])
+    normal = _once(docs, normalize_text(F.col("text"), strip_www), "normal", "doc_id")
+    cut = _once(normal, words(F.col("normal")), "words", "doc_id", "normal")
+
+    def grams(what: str, n: int) -> Column:
+        return _char_codes(n)("normal") if what == "chars" else F.array_distinct(window_hashes(F.col("words"), n))
+
+    return cut.select("doc_id", *[grams(*SETS[name]).alias(name) for name in names])
 
 
 def jaccard(a: Column, b: Column) -> Column:

@@ -6,27 +6,39 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillweave.functions.text import normalize_text
-from tillweave.operators import clusters, evaluation, lsh, minhash, portals, shingles
+from tillweave.operators import clusters, evaluation, lsh, minhash, overflow, portals, shingles
 from tillweave.operators.joins import insert_if_absent, upsert
 from tillweave.plans import neardup_inputs as inputs
-from tillweave.session import stage, tune
+from tillweave.session import spread, stage, tune
+
+FILTER_SHARE = 0.1
+SMALL_CAP = 3
+
 
 
 class NearDup:
     """Tables of the job; stage tables are written once per application and read by what follows."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir = tune(spark), sf_dir
+    def __init__(self, spark: SparkSession, sf_dir: str, boilerplate_share: float | None = None):
+        """With ``boilerplate_share`` the job runs on texts without their portal's common lines."""
+        self.spark, self.sf_dir, self.share = tune(spark), sf_dir, boilerplate_share
 
     def _stage(self, name, make) -> DataFrame:
-        return stage(self.spark, self.sf_dir, name, make)
+        suffix = "" if self.share is None else f"_filtered_{self.share}"
+        return stage(self.spark, self.sf_dir, name + suffix, make)
 
     def docs(self) -> DataFrame:
-        return inputs.documents(self.spark, self.sf_dir)
+        docs = inputs.documents(self.spark, self.sf_dir)
+        if self.share is None:
+            return docs
+        cleaned = portals.boilerplate_filter(docs, self.share)
+        return self._stage("documents", lambda: cleaned.select(
+            "doc_id", "portal", F.col("filtered").alias("text"), F.col("doc_id").alias("published_at")
+        ))
 
     def work(self) -> DataFrame:
         """Documents for the CPU-heavy text passes."""
-        return shingles.spread(self.docs())
+        return spread(self.docs(), "doc_id")
 
     def sets(self) -> DataFrame:
         return self._stage("shingle_sets", lambda: shingles.shingle_sets(self.work(), "word3", "word5"))
@@ -81,6 +93,24 @@ class NearDup:
     def matches(self) -> DataFrame:
         return evaluation.final_matches(self.scored())
 
+    def contents(self) -> DataFrame:
+        return self._stage("contents", lambda: overflow.content_groups(self.docs(), self.sets()))
+
+    def all_matches(self, cap: int = lsh.CAP) -> DataFrame:
+        """Matches between different contents with no bucket left out: paired up to the cap, searched above it."""
+        reps = self.contents().where("doc_id = rep").select("doc_id")
+        sigs = self.signatures().join(reps, "doc_id", "left_semi")
+        buckets = lsh.lsh_buckets(sigs)
+        paired = evaluation.final_matches(shingles.pair_jaccard(lsh.candidates(buckets, cap), self.sets()))
+        searched = overflow.crowded_matches(buckets, self.sets(), sigs, evaluation.MATCH_THRESHOLD, cap)
+        return paired.unionByName(searched).distinct()
+
+    def all_stars(self, cap: int = lsh.CAP) -> DataFrame:
+        """Clusters of the uncapped match graph."""
+        copies = self.contents().where("doc_id <> rep")
+        docs = self.docs().select("doc_id", "published_at").join(copies, "doc_id", "left_anti")
+        return overflow.with_copies(clusters.star_clusters(docs, self.all_matches(cap)), copies)
+
     def stars(self) -> DataFrame:
         return clusters.star_clusters(self.docs().select("doc_id", "published_at"), self.matches())
 
@@ -111,10 +141,22 @@ def insert_matches(n: NearDup) -> DataFrame:
 
 
 def boilerplate(n: NearDup) -> DataFrame:
-    cleaned = portals.boilerplate_filter(n.docs(), 0.1)
+    cleaned = portals.boilerplate_filter(n.docs(), FILTER_SHARE)
     return cleaned.select("doc_id", "portal", F.md5("filtered").alias("filtered_md5"), "removed")
 
 
+def filtered(n: NearDup) -> NearDup:
+    return NearDup(n.spark, n.sf_dir, FILTER_SHARE)
+
+
+def filtered_eval(n: NearDup) -> DataFrame:
+    """Thresholds against the labels of the raw texts, scored on filtered texts with ``www`` links removed."""
+    f = filtered(n)
+    sets = shingles.shingle_sets(f.work(), "word5", strip_www=True)
+    scored = shingles.pair_jaccard(n.pairs(), sets)
+    return evaluation.threshold_eval(scored)
+
+
 def stable_mapping(n: NearDup) -> DataFrame:
     """Mapping when every tenth document already has an id from an earlier run."""
     prior = n.docs().where("doc_id % 10 = 0").select(
@@ -169,6 +211,11 @@ QUERIES = {
     "match_pairs": lambda n: n.matches(),
     "insert_if_absent": insert_matches,
     "star_clusters": lambda n: n.stars(),
+    "content_copies": lambda n: n.contents().where("doc_id <> rep"),
+    "uncapped_matches": lambda n: n.all_matches(SMALL_CAP),
+    "uncapped_clusters": lambda n: n.all_stars(SMALL_CAP),
+    "match_pairs_filtered": lambda n: filtered(n).matches(),
+    "threshold_eval_filtered": filtered_eval,
     "stable_mapping": stable_mapping,
     "cluster_summary": lambda n: clusters.cluster_summary(stable_mapping(n)),
     "portal_volume": lambda n: portals.portal_volume(n.docs()),

@@ -16,6 +16,8 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillweave.session import spread
+
 MONEY, QTY = "decimal(12,2)", "decimal(12,3)"
 
 
@@ -34,7 +36,7 @@ def _money(cents: Column, kind: str = MONEY) -> Column:
 def sales_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Normalised lines of all files, re-sends included."""
     col = F.col
-    item = table(spark, sf_dir, "lineitem").select(
+    item = spread(table(spark, sf_dir, "lineitem"), "l_orderkey").select(
         F.concat(F.lit("S"), F.lpad((col("l_suppkey") % 12 + 1).cast("string"), 2, "0")).alias("store_id"),
         col("l_shipdate").cast("date").alias("business_date"),
         col("l_orderkey").alias("order_key"),
