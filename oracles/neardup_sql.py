@@ -219,9 +219,8 @@ DATE_TEXT = {
 }
 MONEY_TEXT = r"(?i)(?:rs\.?|inr|rupees)\s*([0-9][0-9,]*(?:\.[0-9]+)?)\s*(lakh|cr)?|\b([0-9]{7,12})\b"
 REFERENCE_TEXT = r"\b(NPAS-\d{4}-\d{7}|SPC/\d{4}-\d{2}/\d{6}|PWD/\d{4}/\d{5}|ref-\d{4}-\d{5}|MC/\d{4}/W/\d{5}|TN-\d{6}/\d{4}|\d{8})\b"
-FIRST_DATE = "coalesce(" + ", ".join(
-    f"try_strptime(regexp_extract(\"text\", '{p}', 1), '{f}')" for f, p in DATE_TEXT.items()) + ")"
 ANY_DATE = "|".join(f"(?:{p})" for p in DATE_TEXT.values())
+FIRST_DATE = f"try_strptime(regexp_extract(\"text\", '{ANY_DATE}', 0), [" + ", ".join(f"'{f}'" for f in DATE_TEXT) + "])"
 
 
 def _with(tables: str, select: str, recursive: bool = False) -> str:
@@ -324,6 +323,10 @@ SQL = {
   GROUP BY d.doc_id, d.source"""),
     "corrigendum_flag": f"""SELECT doc_id, regexp_matches(string_split("text", chr(10))[1], '{CORRIGENDUM}') AS in_title,
   regexp_matches("text", '{CORRIGENDUM}') AS in_body FROM documents""",
+    "corrigendum_links": _with(MATCHES + f""",
+flags AS (SELECT doc_id, regexp_matches("text", '{CORRIGENDUM}') AS flag FROM documents)""",
+                               """SELECT m.id_a, m.id_b, m.jaccard, a.flag AS flag_a, b.flag AS flag_b, a.flag <> b.flag AS is_link
+  FROM matches m JOIN flags a ON a.doc_id = m.id_a JOIN flags b ON b.doc_id = m.id_b"""),
     "portal_field_parse": f"""SELECT source AS portal, count(*) AS docs, count(*) FILTER (regexp_matches("text", '{ANY_DATE}')) AS date_texts,
   count({FIRST_DATE}) AS dates, count(*) FILTER (regexp_matches("text", '{MONEY_TEXT}')) AS money_texts,
   count(*) FILTER (coalesce(nullif(regexp_extract("text", '{MONEY_TEXT}', 1), ''), nullif(regexp_extract("text", '{MONEY_TEXT}', 3), '')) IS NOT NULL) AS amounts,

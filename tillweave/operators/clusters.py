@@ -5,13 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillweave.session import shared_dir
-
-
-def _cut(df: DataFrame) -> DataFrame:
-    """Checkpoint in the shared folder, so that a lost executor costs one round and not all of them."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+from tillweave.session import write_through
 
 
 def _ranked_edges(ranks: DataFrame, matches: DataFrame) -> DataFrame:
@@ -31,20 +25,23 @@ def covered_documents(edges: DataFrame) -> DataFrame:
     neighbours. Done in rounds: a document without an undecided earlier neighbour is a center, its
     later neighbours are covered, decided documents leave. Only blocking edges (lo before hi, both
     ordered) take part; everything that is never covered is a center.
+
+    Each round is written to the shared folder: a lost executor costs one round, and the size of the
+    written table lets the planner broadcast the late, small rounds.
     """
-    live = _cut(
+    live = write_through(
         edges.where("v_rank is not null and u_rank is not null and v_rank < u_rank")
-        .select(F.col("v").alias("lo"), F.col("u").alias("hi"))
+        .select(F.col("v").alias("lo"), F.col("u").alias("hi")), "live"
     )
     covered = None
     while not live.isEmpty():
         later = live.select(F.col("hi").alias("lo")).distinct()
         centers = live.select("lo").distinct().join(later, "lo", "left_anti")
-        fresh = _cut(live.join(centers, "lo", "left_semi").select("hi").distinct())
-        live = _cut(
+        fresh = write_through(live.join(centers, "lo", "left_semi").select("hi").distinct(), "covered")
+        live = write_through(
             live.join(fresh, "hi", "left_anti")
             .join(fresh.select(F.col("hi").alias("lo")), "lo", "left_anti")
-            .select("lo", "hi")
+            .select("lo", "hi"), "live"
         )
         covered = fresh if covered is None else covered.unionByName(fresh)
     if covered is None:
@@ -59,7 +56,7 @@ def star_clusters(docs: DataFrame, matches: DataFrame) -> DataFrame:
     document is its earliest neighbour that is a center; membership does not spread any further.
     """
     ranks = docs.select("doc_id", F.struct("published_at", "doc_id").alias("rank"))
-    edges = _cut(_ranked_edges(ranks, matches))
+    edges = write_through(_ranked_edges(ranks, matches), "edges")
     covered = covered_documents(edges)
     centers = ranks.join(covered, "doc_id", "left_anti").select(F.col("doc_id").alias("u"))
     owner = (

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillweave.session import write_through
+
 # Date forms and their patterns, money forms, reference families, cut lengths.
 DATE_FORMS = {
     "d-M-yyyy": r"\b(\d{1,2}-\d{1,2}-\d{4})\b",
@@ -32,7 +34,7 @@ def portal_volume(docs: DataFrame, n: int = 15) -> DataFrame:
 
 
 def segments(text: Column) -> Column:
-    return F.array_remove(F.transform(F.split(F.coalesce(text, F.lit("")), "\n"), F.trim), "")
+    return F.array_remove(F.transform(F.split(F.coalesce(text, F.lit("")), "\n"), lambda line: F.trim(line)), "")
 
 
 def boilerplate_filter(docs: DataFrame, share: float = 0.3) -> DataFrame:
@@ -40,17 +42,18 @@ def boilerplate_filter(docs: DataFrame, share: float = 0.3) -> DataFrame:
 
     Adds filtered and removed to (doc_id, portal, text). Only 64-bit line hashes are shuffled; the text
     stays where it was read. A portal has at most mean-lines / share such lines, so the list that
-    travels to its documents is short whatever the number of documents.
+    travels to its documents is short whatever the number of documents. The lists are written first:
+    the planner then knows their size when it decides whether to broadcast them.
     """
     cut = docs.select("doc_id", "portal", F.explode(F.array(segments(F.col("text")))).alias("lines"))
     hashed = cut.select("portal", F.explode(F.array_distinct(F.transform("lines", lambda line: F.xxhash64(line)))).alias("line"))
     per_line = hashed.groupBy("portal", "line").agg(F.count("*").alias("docs"))
     per_portal = docs.groupBy("portal").agg(F.count("*").alias("portal_docs"))
-    common = (
+    common = write_through(
         per_line.join(per_portal, "portal")
         .where(F.col("docs") >= F.col("portal_docs") * share)
         .groupBy("portal")
-        .agg(F.collect_list("line").alias("common"))
+        .agg(F.collect_list("line").alias("common")), "common_lines"
     )
     kept = F.filter("lines", lambda line: ~F.array_contains("common", F.xxhash64(line)))
     return (
@@ -86,26 +89,30 @@ def found(text: Column, pattern: str, group: int = 1) -> Column:
     return F.nullif(F.regexp_extract(text, pattern, group), F.lit(""))
 
 
-def first_date(text: Column) -> Column:
-    """First date of each known form, in the order of the forms."""
-    return F.coalesce(*[F.try_to_date(found(text, pattern), form) for form, pattern in DATE_FORMS.items()])
+def date_of(token: Column) -> Column:
+    """A date in any of the known forms."""
+    return F.coalesce(*[F.try_to_date(token, form) for form in DATE_FORMS])
 
 
-def first_amount(text: Column) -> Column:
-    """First amount in units of one; lakh and crore are scaled."""
-    number = F.regexp_replace(F.coalesce(found(text, MONEY, 1), found(text, MONEY, 3)), ",", "")
-    unit = F.lower(found(text, MONEY, 2))
+def amount_of(token: Column) -> Column:
+    """An amount in units of one; lakh and crore are scaled."""
+    number = F.regexp_replace(F.regexp_extract(token, r"[0-9][0-9,]*(?:\.[0-9]+)?", 0), ",", "")
+    unit = F.lower(found(token, "(?i)(lakh|cr)$"))
     scale = F.when(unit == "lakh", UNITS["lakh"]).when(unit == "cr", UNITS["cr"]).otherwise(1)
     return (number.try_cast("decimal(20,3)") * scale).cast("decimal(22,3)")
 
 
 def parsed_fields(docs: DataFrame) -> DataFrame:
-    text = F.col("text")
-    looks_dated = text.rlike("|".join(f"(?:{p})" for p in DATE_FORMS.values()))
-    return docs.select(
-        "doc_id", "portal", looks_dated.alias("has_date_text"), first_date(text).alias("date"),
-        text.rlike(MONEY).alias("has_money_text"), first_amount(text).alias("amount"),
-        found(text, REFERENCE).alias("reference"),
+    """First date, amount and reference of every text: one scan of the text for each, parsed from what it finds."""
+    any_date = "|".join(f"(?:{p})" for p in DATE_FORMS.values())
+    tokens = F.struct(
+        found(F.col("text"), any_date, 0).alias("date_text"), found(F.col("text"), MONEY, 0).alias("money_text"),
+        found(F.col("text"), REFERENCE).alias("reference"),
+    )
+    cut = docs.select("doc_id", "portal", F.explode(F.array(tokens)).alias("t"))
+    return cut.select(
+        "doc_id", "portal", "t.date_text", date_of(F.col("t.date_text")).alias("date"),
+        "t.money_text", amount_of(F.col("t.money_text")).alias("amount"), "t.reference",
     )
 
 
@@ -113,8 +120,8 @@ def parse_coverage(fields: DataFrame) -> DataFrame:
     """Per portal: how many texts look dated or priced, and how many of them parse."""
     n = lambda condition: F.count(F.when(condition, 1))
     return fields.groupBy("portal").agg(
-        F.count("*").alias("docs"), n(F.col("has_date_text")).alias("date_texts"),
-        n(F.col("date").isNotNull()).alias("dates"), n(F.col("has_money_text")).alias("money_texts"),
+        F.count("*").alias("docs"), F.count("date_text").alias("date_texts"),
+        n(F.col("date").isNotNull()).alias("dates"), F.count("money_text").alias("money_texts"),
         n(F.col("amount").isNotNull()).alias("amounts"), n(F.col("reference").isNotNull()).alias("refs"),
     )
 

@@ -98,8 +98,8 @@ class NearDup:
 
     def all_matches(self, cap: int = lsh.CAP) -> DataFrame:
         """Matches between different contents with no bucket left out: paired up to the cap, searched above it."""
-        reps = self.contents().where("doc_id = rep").select("doc_id")
-        sigs = self.signatures().join(reps, "doc_id", "left_semi")
+        copies = self.contents().where("doc_id <> rep")
+        sigs = self.signatures().join(copies, "doc_id", "left_anti")
         buckets = lsh.lsh_buckets(sigs)
         paired = evaluation.final_matches(shingles.pair_jaccard(lsh.candidates(buckets, cap), self.sets()))
         searched = overflow.crowded_matches(buckets, self.sets(), sigs, evaluation.MATCH_THRESHOLD, cap)
@@ -221,6 +221,7 @@ QUERIES = {
     "portal_volume": lambda n: portals.portal_volume(n.docs()),
     "boilerplate_filter": boilerplate,
     "corrigendum_flag": lambda n: portals.corrigendum_flag(n.docs()),
-    "portal_field_parse": lambda n: portals.parse_coverage(portals.parsed_fields(n.docs())),
+    "corrigendum_links": lambda n: portals.corrigendum_links(n.matches(), portals.corrigendum_flag(n.docs())),
+    "portal_field_parse": lambda n: portals.parse_coverage(portals.parsed_fields(n.work())),
     "portal_profile": lambda n: portals.portal_profile(n.docs()),
 }
