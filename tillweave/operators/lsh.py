@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillweave.session import write_through
+
 # The three bandings compared, the bucket caps tried, the cap in use.
 CONFIGURATIONS = {"32x4": (32, 4), "16x8": (16, 8), "8x16": (8, 16)}
 CAPS = (50, 100, 150, 200, 300)
@@ -97,12 +99,13 @@ def candidate_counts(buckets: DataFrame, ids: DataFrame, cap: int = CAP) -> Data
 
     Pairs are only formed in buckets up to ``cap``. Documents of larger buckets are grouped by the set
     of large buckets they are in; the neighbours through large buckets are sums over such groups, and
-    small-bucket partners that also share a large bucket are not counted twice.
+    small-bucket partners that also share a large bucket are not counted twice. The profiles (only
+    documents of large buckets have one, with at most one entry per band) are written once.
     """
     large = buckets.join(overfull(buckets, cap), ["configuration", *BUCKET], "left_semi")
-    profile = large.groupBy("configuration", "doc_id").agg(
+    profile = write_through(large.groupBy("configuration", "doc_id").agg(
         F.sort_array(F.collect_list(F.struct(*BUCKET))).alias("profile")
-    )
+    ), "profiles")
     groups = profile.groupBy("configuration", "profile").agg(F.count("*").alias("weight"))
     entries = groups.select("configuration", "profile", "weight", F.explode("profile").alias("bucket"))
     linked = (

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tillweave.operators import lsh
 from tillweave.operators.shingles import pair_jaccard
+from tillweave.session import write_through
 
 
 def content_groups(docs: DataFrame, sets: DataFrame, column: str = "word5") -> DataFrame:
@@ -42,8 +43,10 @@ def crowded_matches(
     n - ceil(t * n) + 1 shingles of each, so only documents that meet in such a rare shingle and are
     of fitting size are compared.
     """
-    large = lsh.overfull(buckets, cap)
-    inside = buckets.join(large, list(lsh.BUCKET), "left_semi").select("doc_id").distinct()
+    large = write_through(lsh.overfull(buckets, cap), "crowded_buckets")
+    inside = write_through(
+        buckets.join(large, list(lsh.BUCKET), "left_semi").select("doc_id").distinct(), "crowded_docs"
+    )
     long = (
         sets.join(inside, "doc_id", "left_semi")
         .select("doc_id", F.size("word5").alias("n"), F.explode("word5").alias("shingle"))
