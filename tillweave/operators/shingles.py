@@ -80,22 +80,25 @@ def shingle_sets(docs: DataFrame, *names: str, strip_www: bool = False) -> DataF
     return cut.select("doc_id", *[grams(*SETS[name]).alias(name) for name in names])
 
 
-def jaccard(a: Column, b: Column) -> Column:
-    """Jaccard of two duplicate-free arrays; two empty sets are equal, one empty set is unlike any other."""
-    common = F.size(F.array_intersect(a, b))
-    union = F.size(a) + F.size(b) - common
-    return F.when(union == 0, F.lit(1.0)).otherwise(common / union)
-
-
 def pair_jaccard(pairs: DataFrame, sets: DataFrame, measures: dict[str, str] | None = None) -> DataFrame:
-    """Add one Jaccard column per entry of ``measures`` (set column -> result column) to (id_a, id_b, ...)."""
+    """Add one Jaccard column per entry of ``measures`` (set column -> result column) to (id_a, id_b, ...).
+
+    Two empty sets are equal, one empty set is unlike any other. ``sets`` should be a stored table: the
+    size of arrays that are still to be computed is underestimated, and they could be broadcast.
+    """
     measures = measures or {"word5": "jaccard"}
     side = lambda s: sets.select(F.col("doc_id").alias(f"id_{s}"), *[F.col(m).alias(f"{m}_{s}") for m in measures])
     joined = pairs.join(side("a"), "id_a").join(side("b"), "id_b")
-    return joined.select(
-        *pairs.columns,
-        *[jaccard(F.col(f"{m}_a"), F.col(f"{m}_b")).alias(out) for m, out in measures.items()],
+    counted = joined.select(*pairs.columns, *[
+        column for m in measures for column in (
+            F.size(F.array_intersect(f"{m}_a", f"{m}_b")).alias(f"{m}_common"),
+            (F.size(f"{m}_a") + F.size(f"{m}_b")).alias(f"{m}_total"),
+        )
+    ])
+    score = lambda m: F.when(F.col(f"{m}_total") == 0, 1.0).otherwise(
+        F.col(f"{m}_common") / (F.col(f"{m}_total") - F.col(f"{m}_common"))
     )
+    return counted.select(*pairs.columns, *[score(m).alias(out) for m, out in measures.items()])
 
 
 def pair_endpoints(pairs: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from tillweave.functions.text import normalize_text
 from tillweave.operators import clusters, evaluation, lsh, minhash, overflow, portals, shingles
 from tillweave.operators.joins import insert_if_absent, upsert
 from tillweave.plans import neardup_inputs as inputs
-from tillweave.session import spread, stage, tune
+from tillweave.session import spread, stage, tune, write_through
 
 FILTER_SHARE = 0.1
 SMALL_CAP = 3
@@ -41,29 +41,30 @@ class NearDup:
         return spread(self.docs(), "doc_id")
 
     def sets(self) -> DataFrame:
-        return self._stage("shingle_sets", lambda: shingles.shingle_sets(self.work(), "word3", "word5"))
+        return self._stage("shingle_sets", lambda: shingles.shingle_sets(self.work(), "word5"))
 
     def pairs(self) -> DataFrame:
         return self._stage("labelled_pairs", lambda: inputs.labelled_pairs(self.docs()))
 
+    def endpoints(self) -> DataFrame:
+        return shingles.only_endpoints(self.work(), self.pairs())
+
     def signatures(self) -> DataFrame:
         return self._stage("signatures", lambda: minhash.signatures(self.work()))
 
     def similarity(self) -> DataFrame:
         """Labelled pairs with the three exact measures."""
         def make() -> DataFrame:
-            wanted = shingles.only_endpoints(self.work(), self.pairs())
-            sets = shingles.shingle_sets(wanted, *shingles.SETS)
+            sets = write_through(shingles.shingle_sets(self.endpoints(), *shingles.SETS), "pair_sets")
             return shingles.pair_jaccard(self.pairs(), sets, {m: f"{m}_jaccard" for m in shingles.SETS})
         return self._stage("pair_similarity", make)
 
     def exact(self) -> DataFrame:
-        return self.similarity().select("id_a", "id_b", "label", F.col("word5_jaccard").alias("jaccard"))
+        return self._stage("exact", lambda: shingles.pair_jaccard(self.pairs(), self.sets()))
 
     def errors(self) -> DataFrame:
         def make() -> DataFrame:
-            wanted = shingles.only_endpoints(self.work(), self.pairs())
-            sigs = minhash.signatures(wanted, max(evaluation.ESTIMATE_SIZES))
+            sigs = write_through(minhash.signatures(self.endpoints(), max(evaluation.ESTIMATE_SIZES)), "pair_signatures")
             estimated = minhash.minhash_estimate(self.exact(), sigs, evaluation.ESTIMATE_SIZES)
             return evaluation.estimate_errors(estimated)
         return self._stage("estimate_errors", make)
@@ -152,7 +153,7 @@ def filtered(n: NearDup) -> NearDup:
 def filtered_eval(n: NearDup) -> DataFrame:
     """Thresholds against the labels of the raw texts, scored on filtered texts with ``www`` links removed."""
     f = filtered(n)
-    sets = shingles.shingle_sets(f.work(), "word5", strip_www=True)
+    sets = write_through(shingles.shingle_sets(f.work(), "word5", strip_www=True), "www_sets")
     scored = shingles.pair_jaccard(n.pairs(), sets)
     return evaluation.threshold_eval(scored)
 
@@ -178,7 +179,7 @@ QUERIES = {
     ),
     "label_counts": lambda n: evaluation.label_counts(n.pairs()),
     "pair_endpoints": lambda n: shingles.pair_endpoints(n.pairs()),
-    "pair_jaccard": lambda n: shingles.pair_jaccard(n.pairs(), n.sets()),
+    "pair_jaccard": lambda n: n.exact(),
     "pair_similarity": lambda n: n.similarity(),
     "similarity_summary": lambda n: evaluation.similarity_summary(n.similarity()),
     "pair_extremes": lambda n: evaluation.pair_extremes(n.similarity()),
