@@ -312,6 +312,7 @@ SQL = {
     "threshold_eval_filtered": _with(SEGMENTS + "," + FILTERED_SOURCE + _on_filtered(EVAL, URL_OR_WWW),
                                      """SELECT threshold, tp, fp, tn, fn, precision_ AS "precision", recall_ AS "recall", f1 FROM evaluated"""),
     "stable_mapping": _with(STARS, "SELECT * FROM mapping", True),
+    "cluster_table": _with(STARS, "SELECT cluster_id, center AS canonical_doc_id FROM mapping WHERE created", True),
     "cluster_summary": _with(STARS, """SELECT count(*) AS clusters, CAST(sum(docs) AS BIGINT) AS mapped, CAST(sum(created) AS BIGINT) AS created,
   CAST(sum(reused) AS BIGINT) AS reused, max(docs) AS largest
   FROM (SELECT cluster_id, count(*) AS docs, sum(created::INT) AS created, sum(reused::INT) AS reused FROM mapping GROUP BY cluster_id)""", True),

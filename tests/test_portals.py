@@ -1,8 +1,6 @@
 import datetime
 from decimal import Decimal
 
-from pyspark.sql import functions as F
-
 from tillweave.operators import portals
 
 

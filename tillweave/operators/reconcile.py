@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillweave.functions.money import money_sum
-
 
 def _difference(pipeline: str, finance: str) -> list[Column]:
     gap = F.col(pipeline) - F.col(finance)
@@ -72,9 +70,3 @@ def label_causes(by_rule: DataFrame, finance: DataFrame, missing: DataFrame, tol
         "month", "finance_revenue", "canonical", "fact_script", "cross_system", "missing_store_days",
         *_difference("canonical", "finance_revenue"), cause.alias("cause"),
     )
-
-
-def pipeline_by_month(daily: DataFrame) -> DataFrame:
-    return daily.groupBy(F.date_format("business_date", "yyyy-MM").alias("month")).agg(
-        money_sum().alias("pipeline_revenue")
-    )

@@ -10,11 +10,6 @@ from tillweave.operators.joins import join_valid
 from tillweave.operators.lines import without_void_bills
 from tillweave.operators.products import BILL_LEVEL, NO_PRODUCT
 
-FACT_COLUMNS = (
-    "store_id", "business_date", "bill_no", "line_no", "product_sk", "category_id",
-    "qty", "unit_price", "line_type", "revenue", "ts", "source_file",
-)
-
 
 def counted_lines(lines: DataFrame, rule: str) -> DataFrame:
     return lines.where(F.col("line_type").isin(*RULE_TYPES[rule]))

@@ -218,6 +218,7 @@ QUERIES = {
     "match_pairs_filtered": lambda n: filtered(n).matches(),
     "threshold_eval_filtered": filtered_eval,
     "stable_mapping": stable_mapping,
+    "cluster_table": lambda n: clusters.cluster_table(stable_mapping(n)),
     "cluster_summary": lambda n: clusters.cluster_summary(stable_mapping(n)),
     "portal_volume": lambda n: portals.portal_volume(n.docs()),
     "boilerplate_filter": boilerplate,

@@ -84,7 +84,7 @@ class Retail:
         return inputs.finance_monthly(self.staged_by_rule())
 
     def monthly(self) -> DataFrame:
-        return reconcile.pipeline_by_month(self.daily())
+        return revenue.revenue_by_month_key(self.daily())
 
 
 def file_name_contract(r: Retail) -> DataFrame:
