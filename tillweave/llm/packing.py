@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import heapq
 import os
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -40,6 +41,10 @@ PIECES = (
 CHUNKS, CHUNK_BYTES = 200_000, 48
 # ASCII punctuation that may end a chunk; the apostrophe is left out because it opens tokens of its own ('s, 't, ...).
 TRAILING = b".,!?;:*$%&#"
+# Words of the small letters a-z and U+00DF-U+00F6, U+00F8-U+00FF in UTF-8.
+PLAIN = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+")
+# Fixed values of byte-level vocabularies: the sign that stands for a byte that has no printable one of its own.
+BYTE_SIGNS = {byte: 256 + 33 + byte - 127 for byte in range(127, 161)} | {173: 256 + 33 + 34}
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -64,6 +69,11 @@ class Encoder:
         self.known: dict[bytes, bytes] = {b"": b""}
         self.older: dict[bytes, bytes] = {}
 
+    def _word(self, stem: bytes) -> bytes:
+        """ids of one word of small Latin letters, which no normalisation changes: straight from the merges."""
+        signs = stem.decode() if stem.isascii() else stem.decode("latin-1").translate(BYTE_SIGNS)
+        return np.array([token.id for token in self.tokenizer.model.tokenize(signs)], dtype="<u4").tobytes()
+
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(code.ids, dtype="<u4").tobytes() for code in found]
@@ -75,9 +85,13 @@ class Encoder:
                 known[chunk] = older[chunk]
                 continue
             stem = chunk.rstrip(TRAILING)
-            if stem and len(stem) < len(chunk) and stem.decode().isalpha():
-                parts.append((chunk, stem))  # letters and a run of punctuation are tokens apart
-                new.update(part for part in (stem, chunk[len(stem) :]) if part not in known)
+            if PLAIN.fullmatch(stem):
+                if stem not in known:
+                    known[stem] = older[stem] if stem in older else self._word(stem)
+                if len(stem) < len(chunk):  # letters and a run of punctuation are tokens apart
+                    parts.append((chunk, stem))
+                    if chunk[len(stem) :] not in known:
+                        new.add(chunk[len(stem) :])
             else:
                 new.add(chunk)
         unknown = list(new)
