@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,3 +38,13 @@ def unit_hash(key: Column, seed: int = 0) -> Column:
     """A number in [0, 1) that only depends on the key: the first 13 hex digits of an MD5 digest."""
     digest = F.md5(F.concat_ws(":", F.lit(str(seed)), key.cast("string")).cast("binary"))
     return F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
+
+
+@contextmanager
+def batch_rows(spark: SparkSession, rows: str):
+    """Arrow batches of another length for the tables written inside the block."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
