@@ -87,7 +87,8 @@ def ranked(text: np.ndarray, size: int = PROFILE) -> np.ndarray:
 def fit_sample(docs: DataFrame, learn: Column, per_language: int = FIT_DOCS) -> DataFrame:
     """(text, lang) of about ``per_language`` learnable documents of each language."""
     usable = docs.where(learn & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    share = usable.groupBy("lang").agg((F.lit(float(per_language)) / F.count("*")).alias("share"))
+    # Stored first, so that its true size decides whether it is broadcast; a shuffle of the texts by language is never wanted.
+    share = frames.store(usable.groupBy("lang").agg((F.lit(float(per_language)) / F.count("*")).alias("share")), "shares")
     return usable.join(share, "lang").where(frames.unit_hash(F.col("doc_id")) < F.col("share")).select("lang", "text")
 
 

@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 from tillweave.llm.language import op10_language
+from tillweave.llm.mixing import op3_mixing
 from tillweave.llm.packing import op2_packing
 from tillweave.llm.scan import op7_dimension_scan
 from tillweave.llm.topk import op6_exact_top_k
+from tillweave.llm.urls import op4_url_filter
 
 QUERIES = {
     "op2_packing": op2_packing,
+    "op3_mixing": op3_mixing,
+    "op4_url_filter": op4_url_filter,
     "op6_exact_top_k": op6_exact_top_k,
     "op7_dimension_scan": op7_dimension_scan,
     "op10_language": op10_language,
