@@ -7,9 +7,11 @@ from tillweave.llm.mixing import op3_mixing
 from tillweave.llm.packing import op2_packing
 from tillweave.llm.scan import op7_dimension_scan
 from tillweave.llm.topk import op6_exact_top_k
+from tillweave.llm.toxicity import op1_toxicity
 from tillweave.llm.urls import op4_url_filter
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
     "op2_packing": op2_packing,
     "op3_mixing": op3_mixing,
     "op4_url_filter": op4_url_filter,
