@@ -143,3 +143,13 @@ def anchors(hashes: np.ndarray, window: int) -> np.ndarray:
             low = np.minimum(low[: width - window], low[window - width :])
         found.append(start + 0xFFFF - (low & U(0xFFFF)).astype(np.int64))
     return np.concatenate(found) if len(found) > 1 else found[0]
+
+
+def document_words(column: pa.Array) -> Iterator[np.ndarray]:
+    """Word hashes of each text, in order."""
+    data, offsets = utf8(column)
+    for first, end in runs(offsets):
+        bounds = offsets[first : end + 1] - offsets[first]
+        hashes, _, _, at = words(data[offsets[first] : offsets[end]], bounds)
+        for a, b in zip(at[:-1], at[1:]):
+            yield hashes[a:b]

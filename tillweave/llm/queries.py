@@ -5,6 +5,7 @@ from __future__ import annotations
 from tillweave.llm.language import op10_language
 from tillweave.llm.mixing import op3_mixing
 from tillweave.llm.packing import op2_packing
+from tillweave.llm.sampling import op8_near_duplicates
 from tillweave.llm.scan import op7_dimension_scan
 from tillweave.llm.topk import op6_exact_top_k
 from tillweave.llm.toxicity import op1_toxicity
@@ -17,6 +18,7 @@ QUERIES = {
     "op4_url_filter": op4_url_filter,
     "op6_exact_top_k": op6_exact_top_k,
     "op7_dimension_scan": op7_dimension_scan,
+    "op8_near_duplicates": op8_near_duplicates,
     "op10_language": op10_language,
 }
 

@@ -40,6 +40,7 @@ RIDGE = 1e-3
 FIT_DOCS = 4000
 FIT_UNITS = 16000
 CALIBRATION_SHARE = 4  # every fourth sampled document fits the logistic curve, the others the machine
+CURVE_CLEAN = 2.0  # weight of the clean class, against 1 for the toxic one, where the logistic curve is fitted
 WIDTH = 22  # letters of a unit; longer ones are read in windows that overlap by half
 CACHE = 200_000
 LOWEST = -2.0
@@ -265,7 +266,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column) -> tuple[np.ndarray,
     if held["toxic"].nunique() < 2:
         held = largest(sample, ["toxic"], weights, bias).toPandas()
     values, toxic = held["decision"].to_numpy(), held["toxic"].to_numpy()
-    weight = np.where(toxic == 1, of_class[1] / max((toxic == 1).sum(), 1), of_class[0] / max((toxic == 0).sum(), 1))
+    weight = np.where(toxic == 1, 1 / max((toxic == 1).sum(), 1), CURVE_CLEAN / max((toxic == 0).sum(), 1))
     return weights, bias, *curve(values, toxic, weight)
 
 
