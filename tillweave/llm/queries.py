@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tillweave.llm.language import op10_language
+from tillweave.llm.licenses import op9_license_scan
 from tillweave.llm.mixing import op3_mixing
 from tillweave.llm.packing import op2_packing
 from tillweave.llm.sampling import op8_near_duplicates
@@ -19,6 +20,7 @@ QUERIES = {
     "op6_exact_top_k": op6_exact_top_k,
     "op7_dimension_scan": op7_dimension_scan,
     "op8_near_duplicates": op8_near_duplicates,
+    "op9_license_scan": op9_license_scan,
     "op10_language": op10_language,
 }
 
