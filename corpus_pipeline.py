@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillweave.llm import frames, language, packing
+from tillweave.llm import frames, language, mixing, packing, passages, sampling
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -22,6 +22,30 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return judged.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") > 0)).select(*COLUMNS)
 
 
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each class of near-duplicates the document with the smallest id stays, once."""
+    frames.ready(spark)
+    classes = frames.store(sampling.near_duplicates(docs.select("doc_id", "text")), "pipeline-classes")
+    others = classes.where(F.col("class_id") != F.col("doc_id")).select("doc_id").distinct()
+    repeated = docs.groupBy("doc_id").count().where("count > 1").select("doc_id")
+    if repeated.isEmpty():
+        return docs.select(*COLUMNS).join(others, "doc_id", "left_anti").select(*COLUMNS)
+    return docs.select(*COLUMNS).join(others, "doc_id", "left_anti").dropDuplicates(["doc_id"]).select(*COLUMNS)
+
+
+def remove_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts lose the passages that a document with a smaller id has; n_chars follows. Every document stays."""
+    frames.ready(spark)
+    left = passages.without_repeats(docs.select(*COLUMNS), [name for name in COLUMNS if name not in ("text", "n_chars")], text=True)
+    return left.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*COLUMNS)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents drawn with the probabilities that fit the target shares of sources, languages and topics."""
+    frames.ready(spark)
+    return mixing.sample(docs.select(*COLUMNS)).select(*COLUMNS)
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of full training sequences."""
     frames.ready(spark)
@@ -30,6 +54,9 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("language", identify_language),
+    ("near-duplicates", drop_near_duplicates),
+    ("passages", remove_repeated_passages),
+    ("mixing", mix),
     ("packing", pack),
 ]
 

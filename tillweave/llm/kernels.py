@@ -115,6 +115,13 @@ def shingles(hashes: np.ndarray, n: int = 5) -> np.ndarray:
     return mix(total)
 
 
+def spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hash of the bytes from each start to its end, which also tells lengths apart."""
+    total = np.zeros(len(data) + 1, dtype=U)
+    np.cumsum(_BYTE[data] * powers(_BASE, len(data)), out=total[1:])
+    return mix((total[ends] - total[starts]) * powers(_BASE_INVERSE, len(data))[starts] + (ends - starts).astype(U))
+
+
 def gram_hashes(data: np.ndarray, k: int) -> np.ndarray:
     """Hash of the ``k`` bytes that start at each position (the last k - 1 positions have none)."""
     count = len(data) - k + 1

@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 from tillweave.llm import frames
 
 MARGINS = ("source", "lang", "topic")
-TEMPER = 0.9
-SWEEPS = 12
+TEMPER = 0.95
+SWEEPS = 8
 SEED = 17
 # What a text is about, by the first list it holds a word of; everything else is general.
 TOPICS = (

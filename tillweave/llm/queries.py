@@ -6,6 +6,7 @@ from tillweave.llm.language import op10_language
 from tillweave.llm.licenses import op9_license_scan
 from tillweave.llm.mixing import op3_mixing
 from tillweave.llm.packing import op2_packing
+from tillweave.llm.passages import op5_suffix_dedup
 from tillweave.llm.sampling import op8_near_duplicates
 from tillweave.llm.scan import op7_dimension_scan
 from tillweave.llm.topk import op6_exact_top_k
@@ -17,6 +18,7 @@ QUERIES = {
     "op2_packing": op2_packing,
     "op3_mixing": op3_mixing,
     "op4_url_filter": op4_url_filter,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_exact_top_k": op6_exact_top_k,
     "op7_dimension_scan": op7_dimension_scan,
     "op8_near_duplicates": op8_near_duplicates,
