@@ -16,9 +16,17 @@ segs AS MATERIALIZED (
   SELECT doc_id, source AS portal, pos, trim(seg) AS seg FROM (
     SELECT doc_id, source, unnest(string_split("text", chr(10))) AS seg, generate_subscripts(string_split("text", chr(10)), 1) AS pos
     FROM documents) WHERE trim(seg) <> ''),
+content_key AS MATERIALIZED (SELECT doc_id, portal, string_agg(seg, chr(10) ORDER BY pos) AS body FROM segs GROUP BY doc_id, portal),
 common AS (
-  SELECT s.portal, seg FROM segs s JOIN (SELECT source AS portal, count(*) AS n FROM documents GROUP BY 1) p ON p.portal = s.portal
-  GROUP BY s.portal, seg, n HAVING count(DISTINCT doc_id) >= n * 0.1)"""
+  SELECT s.portal, seg FROM segs s JOIN content_key k USING (doc_id)
+  JOIN (SELECT d.source AS portal, count(DISTINCT coalesce(body, '')) AS n FROM documents d LEFT JOIN content_key USING (doc_id) GROUP BY 1) p
+    ON p.portal = s.portal
+  GROUP BY s.portal, seg, n HAVING count(DISTINCT body) >= greatest(3, n * 0.1)),
+left_over AS (
+  SELECT d.doc_id, d.source AS portal, string_agg(s.seg, chr(10) ORDER BY s.pos) AS whole,
+    string_agg(s.seg, chr(10) ORDER BY s.pos) FILTER (c.seg IS NULL) AS rest, count(c.seg) AS cut
+  FROM documents d LEFT JOIN segs s ON s.doc_id = d.doc_id LEFT JOIN common c ON c.portal = s.portal AND c.seg = s.seg
+  GROUP BY d.doc_id, d.source)"""
 
 TEXT = f"""
 normal AS MATERIALIZED (SELECT doc_id, {_normal(URL)} AS normal FROM documents),
@@ -116,8 +124,17 @@ cands AS MATERIALIZED (
   FROM buckets a JOIN buckets b ON a.band = b.band AND a.key = b.key AND a.doc_id < b.doc_id
   JOIN (SELECT band, key FROM buckets GROUP BY band, key HAVING count(*) <= 100) ok ON ok.band = a.band AND ok.key = a.key)"""
 SCORED = CANDIDATES + "," + _scores("cands", "word5", "scored")
-MATCHES = SCORED + """,
-matches AS MATERIALIZED (SELECT * FROM scored WHERE jaccard >= 0.5)"""
+# Every bucket counts, whatever its size.
+MATCHES = BUCKETS + """,
+linked AS MATERIALIZED (
+  SELECT DISTINCT a.doc_id AS id_a, b.doc_id AS id_b FROM buckets a JOIN buckets b ON a.band = b.band AND a.key = b.key AND a.doc_id < b.doc_id)
+""" + "," + _scores("linked", "word5", "all_scored") + """,
+matches AS MATERIALIZED (SELECT * FROM all_scored WHERE jaccard >= 0.5),
+content AS MATERIALIZED (
+  SELECT doc_id, min(doc_id) OVER (PARTITION BY grams) AS rep FROM (
+    SELECT doc_id, string_agg(g, '|' ORDER BY g) AS grams FROM word5 GROUP BY doc_id)),
+different AS (SELECT * FROM all_scored WHERE id_a IN (SELECT rep FROM content) AND id_b IN (SELECT rep FROM content)),
+match_pairs AS MATERIALIZED (SELECT * FROM different WHERE jaccard >= 0.5)"""
 # Documents with neighbours are visited in order; the list of centers so far decides each next one.
 STARS = MATCHES + """,
 edges AS (SELECT id_a AS v, id_b AS u FROM matches UNION SELECT id_b, id_a FROM matches),
@@ -139,21 +156,12 @@ mapping AS (
       h[1:8] || '-' || h[9:12] || '-' || h[13:16] || '-' || h[17:20] || '-' || h[21:32]) AS cluster_id,
     doc_id = center AND doc_id % 10 <> 0 AS created, doc_id = center AND doc_id % 10 = 0 AS reused
   FROM (SELECT *, sha256(CAST(center AS VARCHAR)) AS h FROM stars))"""
-UNCAPPED = BUCKETS + """,
-linked AS MATERIALIZED (
-  SELECT DISTINCT a.doc_id AS id_a, b.doc_id AS id_b FROM buckets a JOIN buckets b ON a.band = b.band AND a.key = b.key AND a.doc_id < b.doc_id)
-""" + "," + _scores("linked", "word5", "scored") + """,
-matches AS MATERIALIZED (SELECT * FROM scored WHERE jaccard >= 0.5)"""
 CONTENTS = """,
 content AS MATERIALIZED (
   SELECT doc_id, min(doc_id) OVER (PARTITION BY grams) AS rep FROM (
     SELECT doc_id, string_agg(g, '|' ORDER BY g) AS grams FROM word5 GROUP BY doc_id))"""
-UNCAPPED_STARS = UNCAPPED + STARS[len(MATCHES):]
 FILTERED_SOURCE = """
-filtered AS MATERIALIZED (
-  SELECT d.doc_id, coalesce(string_agg(s.seg, chr(10) ORDER BY s.pos) FILTER (c.seg IS NULL), '') AS "text"
-  FROM documents d LEFT JOIN segs s ON s.doc_id = d.doc_id LEFT JOIN common c ON c.portal = s.portal AND c.seg = s.seg
-  GROUP BY d.doc_id),"""
+filtered AS MATERIALIZED (SELECT doc_id, coalesce(rest, whole, '') AS "text" FROM left_over),"""
 
 
 def _on_filtered(query: str, url: str = URL) -> str:
@@ -294,21 +302,20 @@ SQL = {
   (VALUES {", ".join(f"({c})" for c in CAPS)}) v(cap) GROUP BY cap, label"""),
     "lsh_candidates": _with(CANDIDATES, "SELECT * FROM cands"),
     "scored_candidates": _with(SCORED, "SELECT * FROM scored"),
-    "threshold_counts": _with(SCORED, f"""SELECT threshold, (SELECT count(*) FROM scored WHERE jaccard >= threshold) AS pairs
+    "threshold_counts": _with(MATCHES, f"""SELECT threshold, (SELECT count(*) FROM different WHERE jaccard >= threshold) AS pairs
   FROM (VALUES {", ".join(f"({t}::DOUBLE)" for t in SCORE_THRESHOLDS)}) v(threshold)"""),
     "threshold_eval": _with(EVAL, """SELECT threshold, tp, fp, tn, fn, precision_ AS "precision", recall_ AS "recall", f1 FROM evaluated"""),
     "threshold_cost": _with(EVAL, f"""SELECT ratio, minimum_cost, threshold FROM (
   SELECT CAST(ratio AS BIGINT) AS ratio, fp * ratio + fn AS minimum_cost, threshold,
     row_number() OVER (PARTITION BY ratio ORDER BY fp * ratio + fn, threshold) AS place
   FROM evaluated, (VALUES {", ".join(f"({r})" for r in COST_RATIOS)}) v(ratio)) WHERE place = 1"""),
-    "match_pairs": _with(MATCHES, "SELECT * FROM matches"),
-    "insert_if_absent": _with(MATCHES, "SELECT id_a, id_b, CASE WHEN id_a % 2 = 0 THEN 0.0::DOUBLE ELSE jaccard END AS jaccard FROM matches"),
+    "match_pairs": _with(MATCHES, "SELECT * FROM match_pairs"),
+    "insert_if_absent": _with(MATCHES, "SELECT id_a, id_b, CASE WHEN id_a % 2 = 0 THEN 0.0::DOUBLE ELSE jaccard END AS jaccard FROM match_pairs"),
     "star_clusters": _with(STARS, "SELECT doc_id, center FROM stars", True),
     "content_copies": _with(WORD5 + CONTENTS, "SELECT doc_id, rep FROM content WHERE doc_id <> rep"),
-    "uncapped_matches": _with(UNCAPPED + CONTENTS, """SELECT id_a, id_b, jaccard FROM matches
-  WHERE id_a IN (SELECT rep FROM content) AND id_b IN (SELECT rep FROM content)"""),
-    "uncapped_clusters": _with(UNCAPPED_STARS, "SELECT doc_id, center FROM stars", True),
-    "match_pairs_filtered": _with(SEGMENTS + "," + FILTERED_SOURCE + _on_filtered(MATCHES), "SELECT * FROM matches"),
+    "uncapped_matches": _with(MATCHES, "SELECT * FROM match_pairs"),
+    "uncapped_clusters": _with(STARS, "SELECT doc_id, center FROM stars", True),
+    "match_pairs_filtered": _with(SEGMENTS + "," + FILTERED_SOURCE + _on_filtered(MATCHES), "SELECT * FROM match_pairs"),
     "threshold_eval_filtered": _with(SEGMENTS + "," + FILTERED_SOURCE + _on_filtered(EVAL, URL_OR_WWW),
                                      """SELECT threshold, tp, fp, tn, fn, precision_ AS "precision", recall_ AS "recall", f1 FROM evaluated"""),
     "stable_mapping": _with(STARS, "SELECT * FROM mapping", True),
@@ -317,17 +324,14 @@ SQL = {
   CAST(sum(reused) AS BIGINT) AS reused, max(docs) AS largest
   FROM (SELECT cluster_id, count(*) AS docs, sum(created::INT) AS created, sum(reused::INT) AS reused FROM mapping GROUP BY cluster_id)""", True),
     "portal_volume": """SELECT source AS portal, count(*) AS docs FROM documents GROUP BY 1 ORDER BY docs DESC, portal LIMIT 15""",
-    "boilerplate_filter": _with(SEGMENTS, """SELECT d.doc_id, d.source AS portal,
-  md5(coalesce(string_agg(s.seg, chr(10) ORDER BY s.pos) FILTER (c.seg IS NULL), '')) AS filtered_md5,
-  count(c.seg) AS removed
-  FROM documents d LEFT JOIN segs s ON s.doc_id = d.doc_id LEFT JOIN common c ON c.portal = s.portal AND c.seg = s.seg
-  GROUP BY d.doc_id, d.source"""),
+    "boilerplate_filter": _with(SEGMENTS, """SELECT doc_id, portal, md5(coalesce(rest, whole, '')) AS filtered_md5,
+  CASE WHEN rest IS NULL THEN 0 ELSE cut END AS removed FROM left_over"""),
     "corrigendum_flag": f"""SELECT doc_id, regexp_matches(string_split("text", chr(10))[1], '{CORRIGENDUM}') AS in_title,
   regexp_matches("text", '{CORRIGENDUM}') AS in_body FROM documents""",
     "corrigendum_links": _with(MATCHES + f""",
 flags AS (SELECT doc_id, regexp_matches("text", '{CORRIGENDUM}') AS flag FROM documents)""",
                                """SELECT m.id_a, m.id_b, m.jaccard, a.flag AS flag_a, b.flag AS flag_b, a.flag <> b.flag AS is_link
-  FROM matches m JOIN flags a ON a.doc_id = m.id_a JOIN flags b ON b.doc_id = m.id_b"""),
+  FROM match_pairs m JOIN flags a ON a.doc_id = m.id_a JOIN flags b ON b.doc_id = m.id_b"""),
     "portal_field_parse": f"""SELECT source AS portal, count(*) AS docs, count(*) FILTER (regexp_matches("text", '{ANY_DATE}')) AS date_texts,
   count({FIRST_DATE}) AS dates, count(*) FILTER (regexp_matches("text", '{MONEY_TEXT}')) AS money_texts,
   count(*) FILTER (coalesce(nullif(regexp_extract("text", '{MONEY_TEXT}', 1), ''), nullif(regexp_extract("text", '{MONEY_TEXT}', 3), '')) IS NOT NULL) AS amounts,

@@ -33,6 +33,15 @@ def test_common_lines_are_dropped_per_portal(spark):
     assert got == {**{i: (f"own {i}", 2) for i in range(4)}, 9: ("PREAMBLE\nx", 0), 10: ("y", 0), 11: ("", 0)}
 
 
+def test_small_portals_keep_their_texts(spark):
+    one, five = [(1, "one", "a\nb")], [(10 + i, "five", f"shared\nown {i}" if i < 2 else f"own {i}") for i in range(5)]
+    reposts = [(20 + i, "posts", "same\ntext") for i in range(10)]
+    only = [(40 + i, "only", "PREAMBLE" if i < 3 else f"PREAMBLE\nown {i}") for i in range(10)]
+    got = {r.doc_id: (r.filtered, r.removed) for r in portals.boilerplate_filter(texts(spark, one + five + reposts + only), 0.1).collect()}
+    assert all(got[i] == (t, 0) for i, _, t in one + five + reposts)
+    assert all(got[40 + i] == (("PREAMBLE", 0) if i < 3 else (f"own {i}", 1)) for i in range(10))
+
+
 def test_corrigenda(spark):
     docs = texts(spark, [(1, "p", "Corrigendum to road work\nbody"), (2, "p", "Road work\nbody\nCORRIGENDUM new date"), (3, "p", "Road work\nbody"), (4, "p", None)])
     flags = portals.corrigendum_flag(docs)

@@ -66,6 +66,9 @@ def _members(buckets: DataFrame, cap: int) -> DataFrame:
     The limit also runs before the exchange, so the largest bucket sends ``cap + 1`` rows per map
     task; a list of ``cap + 1`` only says that the bucket is over the cap.
     """
+    limit = int(buckets.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold"))
+    if cap + 1 > limit:  # beyond it the limit would only run after the exchange
+        raise ValueError(f"cap {cap} needs spark.sql.optimizer.windowGroupLimitThreshold above {cap}, it is {limit}")
     keys = [c for c in buckets.columns if c != "doc_id"]
     position = F.row_number().over(Window.partitionBy(*keys).orderBy("doc_id"))
     bounded = buckets.withColumn("n", position).where(F.col("n") <= cap + 1)

@@ -27,6 +27,9 @@ CUT_LENGTHS = (1200, 2500)
 CUT_SLACK = 25
 CORRIGENDUM = r"(?i)corrigend(um|a)"
 
+# A line is a portal's boilerplate only if at least so many different contents of the portal have it.
+MIN_CONTENTS = 3
+
 
 def portal_volume(docs: DataFrame, n: int = 15) -> DataFrame:
     counts = docs.groupBy("portal").agg(F.count("*").alias("docs"))
@@ -37,21 +40,25 @@ def segments(text: Column) -> Column:
     return F.array_remove(F.transform(F.split(F.coalesce(text, F.lit("")), "\n"), lambda line: F.trim(line)), "")
 
 
-def boilerplate_filter(docs: DataFrame, share: float = 0.3) -> DataFrame:
-    """Drop lines that at least ``share`` of a portal's documents contain.
+def boilerplate_filter(docs: DataFrame, share: float = 0.3, least: int = MIN_CONTENTS) -> DataFrame:
+    """Drop lines that at least ``share`` of a portal's different contents contain, and at least ``least`` of them.
 
-    Adds filtered and removed to (doc_id, portal, text). Only 64-bit line hashes are shuffled; the text
-    stays where it was read. A portal has at most mean-lines / share such lines, so the list that
-    travels to its documents is short whatever the number of documents. The lists are written first:
-    the planner then knows their size when it decides whether to broadcast them.
+    Re-posts of one content count once, so a portal of few documents keeps its lines; a text that would lose every line
+    stays as it is. Adds filtered and removed to (doc_id, portal, text). Only 64-bit hashes are shuffled; the text stays where it
+    was read. A portal has at most mean-lines / share such lines, so the list that travels to its documents is short whatever the
+    number of documents. The lists are written first: the planner then knows their size when it decides whether to broadcast them.
     """
-    cut = docs.select("doc_id", "portal", F.explode(F.array(segments(F.col("text")))).alias("lines"))
-    hashed = cut.select("portal", F.explode(F.array_distinct(F.transform("lines", lambda line: F.xxhash64(line)))).alias("line"))
-    per_line = hashed.groupBy("portal", "line").agg(F.count("*").alias("docs"))
-    per_portal = docs.groupBy("portal").agg(F.count("*").alias("portal_docs"))
+    lines = segments(F.col("text"))
+    cut = docs.select("doc_id", "portal", F.explode(F.array(lines)).alias("lines"))
+    hashed = cut.select(
+        "portal", F.xxhash64("lines").alias("content"),
+        F.explode(F.array_distinct(F.transform("lines", lambda line: F.xxhash64(line)))).alias("line"),
+    )
+    per_line = hashed.groupBy("portal", "line").agg(F.countDistinct("content").alias("contents"))
+    per_portal = cut.groupBy("portal").agg(F.countDistinct(F.xxhash64("lines")).alias("portal_contents"))
     common = write_through(
         per_line.join(per_portal, "portal")
-        .where(F.col("docs") >= F.col("portal_docs") * share)
+        .where(F.col("contents") >= F.greatest(F.lit(least), F.col("portal_contents") * share))
         .groupBy("portal")
         .agg(F.collect_list("line").alias("common")), "common_lines"
     )
@@ -59,10 +66,11 @@ def boilerplate_filter(docs: DataFrame, share: float = 0.3) -> DataFrame:
     return (
         cut.join(common, "portal", "left")
         .withColumn("common", F.coalesce("common", F.array().cast("array<bigint>")))
-        .select("doc_id", "portal", F.size("lines").alias("lines"), F.explode(F.array(kept)).alias("kept"))
+        .select("doc_id", "portal", "lines", F.explode(F.array(kept)).alias("kept"))
+        .withColumn("kept", F.when(F.size("kept") > 0, F.col("kept")).otherwise(F.col("lines")))
         .select(
             "doc_id", "portal", F.array_join("kept", "\n").alias("filtered"),
-            (F.col("lines") - F.size("kept")).alias("removed"),
+            (F.size("lines") - F.size("kept")).alias("removed"),
         )
     )
 

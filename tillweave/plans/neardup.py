@@ -9,11 +9,9 @@ from tillweave.functions.text import normalize_text
 from tillweave.operators import clusters, evaluation, lsh, minhash, overflow, portals, shingles
 from tillweave.operators.joins import insert_if_absent, upsert
 from tillweave.plans import neardup_inputs as inputs
-from tillweave.session import spread, stage, tune, write_through
+from tillweave.session import stage, tune, write_through
 
 FILTER_SHARE = 0.1
-SMALL_CAP = 3
-
 
 
 class NearDup:
@@ -31,26 +29,21 @@ class NearDup:
         docs = inputs.documents(self.spark, self.sf_dir)
         if self.share is None:
             return docs
-        cleaned = portals.boilerplate_filter(docs, self.share)
-        return self._stage("documents", lambda: cleaned.select(
+        return self._stage("documents", lambda: portals.boilerplate_filter(docs, self.share).select(
             "doc_id", "portal", F.col("filtered").alias("text"), F.col("doc_id").alias("published_at")
         ))
 
-    def work(self) -> DataFrame:
-        """Documents for the CPU-heavy text passes."""
-        return spread(self.docs(), "doc_id")
-
     def sets(self) -> DataFrame:
-        return self._stage("shingle_sets", lambda: shingles.shingle_sets(self.work(), "word5"))
+        return self._stage("shingle_sets", lambda: shingles.shingle_sets(self.docs(), "word5"))
 
     def pairs(self) -> DataFrame:
         return self._stage("labelled_pairs", lambda: inputs.labelled_pairs(self.docs()))
 
     def endpoints(self) -> DataFrame:
-        return shingles.only_endpoints(self.work(), self.pairs())
+        return shingles.only_endpoints(self.docs(), self.pairs())
 
     def signatures(self) -> DataFrame:
-        return self._stage("signatures", lambda: minhash.signatures(self.work()))
+        return self._stage("signatures", lambda: minhash.signatures(self.docs()))
 
     def similarity(self) -> DataFrame:
         """Labelled pairs with the three exact measures."""
@@ -91,29 +84,31 @@ class NearDup:
     def scored(self) -> DataFrame:
         return self._stage("scored", lambda: shingles.pair_jaccard(self.candidates(), self.sets()))
 
-    def matches(self) -> DataFrame:
-        return evaluation.final_matches(self.scored())
-
     def contents(self) -> DataFrame:
         return self._stage("contents", lambda: overflow.content_groups(self.docs(), self.sets()))
 
-    def all_matches(self, cap: int = lsh.CAP) -> DataFrame:
-        """Matches between different contents with no bucket left out: paired up to the cap, searched above it."""
+    def links(self, threshold: float = evaluation.MATCH_THRESHOLD, cap: int = lsh.CAP) -> DataFrame:
+        """Pairs of different contents at or above ``threshold`` with no bucket left out.
+
+        Buckets up to ``cap`` are paired, larger ones are searched by rare shingles; the cap only decides which way is taken.
+        """
         copies = self.contents().where("doc_id <> rep")
         sigs = self.signatures().join(copies, "doc_id", "left_anti")
         buckets = lsh.lsh_buckets(sigs)
-        paired = evaluation.final_matches(shingles.pair_jaccard(lsh.candidates(buckets, cap), self.sets()))
-        searched = overflow.crowded_matches(buckets, self.sets(), sigs, evaluation.MATCH_THRESHOLD, cap)
+        paired = shingles.pair_jaccard(lsh.candidates(buckets, cap), self.sets()).where(F.col("jaccard") >= threshold)
+        searched = overflow.crowded_matches(buckets, self.sets(), sigs, threshold, cap)
         return paired.unionByName(searched).distinct()
 
-    def all_stars(self, cap: int = lsh.CAP) -> DataFrame:
-        """Clusters of the uncapped match graph."""
-        copies = self.contents().where("doc_id <> rep")
-        docs = self.docs().select("doc_id", "published_at").join(copies, "doc_id", "left_anti")
-        return overflow.with_copies(clusters.star_clusters(docs, self.all_matches(cap)), copies)
+    def matches(self) -> DataFrame:
+        return self._stage("matches", self.links)
 
     def stars(self) -> DataFrame:
-        return clusters.star_clusters(self.docs().select("doc_id", "published_at"), self.matches())
+        """Clusters of the match graph; copies follow the first document of their content."""
+        def make() -> DataFrame:
+            copies = self.contents().where("doc_id <> rep")
+            docs = self.docs().select("doc_id", "published_at").join(copies, "doc_id", "left_anti")
+            return overflow.with_copies(clusters.star_clusters(docs, self.matches()), copies)
+        return self._stage("stars", make)
 
 
 def normalized(n: NearDup, strip_www: bool = False) -> DataFrame:
@@ -153,7 +148,7 @@ def filtered(n: NearDup) -> NearDup:
 def filtered_eval(n: NearDup) -> DataFrame:
     """Thresholds against the labels of the raw texts, scored on filtered texts with ``www`` links removed."""
     f = filtered(n)
-    sets = write_through(shingles.shingle_sets(f.work(), "word5", strip_www=True), "www_sets")
+    sets = write_through(shingles.shingle_sets(f.docs(), "word5", strip_www=True), "www_sets")
     scored = shingles.pair_jaccard(n.pairs(), sets)
     return evaluation.threshold_eval(scored)
 
@@ -169,12 +164,12 @@ def stable_mapping(n: NearDup) -> DataFrame:
 QUERIES = {
     "normalize_text": normalized,
     "normalize_text_www": lambda n: normalized(n, True),
-    "word_tokens": lambda n: shingles.word_tokens(n.work()),
-    "word_ngrams": lambda n: shingles.word_ngrams(n.work(), 5),
-    "char_ngrams": lambda n: shingles.char_ngrams(n.work(), 5).groupBy("doc_id").agg(
+    "word_tokens": lambda n: shingles.word_tokens(n.docs()),
+    "word_ngrams": lambda n: shingles.word_ngrams(n.docs(), 5),
+    "char_ngrams": lambda n: shingles.char_ngrams(n.docs(), 5).groupBy("doc_id").agg(
         F.count("*").alias("shingles"), F.min("shingle").alias("first"), F.max("shingle").alias("last")
     ),
-    "shingle_hash": lambda n: shingles.word_ngrams(n.work(), 5).select(
+    "shingle_hash": lambda n: shingles.word_ngrams(n.docs(), 5).select(
         "doc_id", "shingle", minhash.shingle_hash(F.col("shingle")).alias("hash")
     ),
     "label_counts": lambda n: evaluation.label_counts(n.pairs()),
@@ -204,7 +199,7 @@ QUERIES = {
     "bucket_cap_sweep": lambda n: lsh.cap_sweep(n.pairs(), n.signatures()),
     "lsh_candidates": lambda n: n.candidates(),
     "scored_candidates": lambda n: n.scored(),
-    "threshold_counts": lambda n: evaluation.threshold_counts(n.scored()),
+    "threshold_counts": lambda n: evaluation.threshold_counts(n.links(min(evaluation.SCORE_THRESHOLDS))),
     "threshold_eval": lambda n: evaluation.threshold_eval(n.exact()),
     "threshold_cost": lambda n: evaluation.cheapest_threshold(
         evaluation.cost_curve(evaluation.threshold_eval(n.exact()))
@@ -213,8 +208,8 @@ QUERIES = {
     "insert_if_absent": insert_matches,
     "star_clusters": lambda n: n.stars(),
     "content_copies": lambda n: n.contents().where("doc_id <> rep"),
-    "uncapped_matches": lambda n: n.all_matches(SMALL_CAP),
-    "uncapped_clusters": lambda n: n.all_stars(SMALL_CAP),
+    "uncapped_matches": lambda n: n.matches(),
+    "uncapped_clusters": lambda n: n.stars(),
     "match_pairs_filtered": lambda n: filtered(n).matches(),
     "threshold_eval_filtered": filtered_eval,
     "stable_mapping": stable_mapping,
@@ -224,6 +219,6 @@ QUERIES = {
     "boilerplate_filter": boilerplate,
     "corrigendum_flag": lambda n: portals.corrigendum_flag(n.docs()),
     "corrigendum_links": lambda n: portals.corrigendum_links(n.matches(), portals.corrigendum_flag(n.docs())),
-    "portal_field_parse": lambda n: portals.parse_coverage(portals.parsed_fields(n.work())),
+    "portal_field_parse": lambda n: portals.parse_coverage(portals.parsed_fields(n.docs())),
     "portal_profile": lambda n: portals.portal_profile(n.docs()),
 }

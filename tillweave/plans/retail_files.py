@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tillweave.operators.lines import dedup_lines
 from tillweave.operators.revenue import fact_sales, store_category_day
 from tillweave.session import tune
-from tillweave.sources.sales_files import LANDING, PARTITIONS, land_sales, read_landed, write_partitioned
+from tillweave.sources.sales_files import LANDING, PARTITIONS, land_sales, read_landed, read_lines, write_partitioned
 from tillweave.sources.tables import replace
 
 
@@ -17,8 +17,8 @@ def load(spark: SparkSession, exports: str, products: DataFrame, warehouse: str)
     Every table is replaced (whole or by touched partition), so any number of runs gives the same rows.
     """
     tune(spark)
-    land_sales(spark, exports, f"{warehouse}/landed", f"{warehouse}/quarantine")
-    landed = read_landed(spark, f"{warehouse}/landed").drop(*LANDING)
+    land_sales(spark, exports, f"{warehouse}/landed")
+    landed = read_lines(spark, f"{warehouse}/landed").drop(*LANDING)
     write_partitioned(dedup_lines(landed), f"{warehouse}/clean")
     clean = clean_lines(spark, warehouse)
     write_partitioned(fact_sales(clean, products), f"{warehouse}/fact_sales")

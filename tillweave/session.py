@@ -17,6 +17,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Small files of CPU-heavy texts are cut into splits for all cores at the scan.
+    "spark.sql.files.openCostInBytes": "1m",
 }
 
 _written: dict[tuple[str, str, str], str] = {}
@@ -38,12 +40,6 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Give a scan to all cores when it comes in fewer splits than that; large inputs are left as read."""
-    wanted = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(wanted, key) if df.rdd.getNumPartitions() < 2 * wanted else df
-
-
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by spark.checkpoint.dir; a temporary one only in local mode."""
     sc = spark.sparkContext
