@@ -26,9 +26,9 @@ from pyspark.sql import functions as F
 from tillweave.llm import frames, vectors
 
 LISTS = 64
-PROBES = 40
+PROBES = 48
 STEP = 8
-EPSILON = 2.1
+EPSILON = 2.6
 
 
 def rotation(size: int, seed: int = 5) -> np.ndarray:
