@@ -56,12 +56,15 @@ def grouped(symbols: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.nda
         tops = order[ends[open_lanes] - 1]
         starts = group[tops]
         sizes = size[starts]
-        # All suffixes of the groups, and the nearest suffix before each that lies in a lower group.
-        if sizes.max() == 1:
-            members, own = tops, starts
-        else:
-            members = order[np.repeat(starts, sizes) + ramp(sizes)]
-            own = np.repeat(starts, sizes)
+        # All suffixes of the groups, and the nearest suffix before each that lies in a lower group. Most groups hold one
+        # suffix; they come first and need no counting below.
+        alone = sizes == 1
+        members, own = tops[alone], starts[alone]
+        singles = len(members)
+        if singles < len(tops):
+            heads, sizes = starts[~alone], sizes[~alone]
+            members = np.concatenate((members, order[np.repeat(heads, sizes) + ramp(sizes)]))
+            own = np.concatenate((own, np.repeat(heads, sizes)))
         found = pointer[members]
         search = np.flatnonzero(found >= 0)
         search = search[group[found[search]] >= own[search]]
@@ -73,20 +76,19 @@ def grouped(symbols: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.nda
         pointer[members] = found
         ends[open_lanes] = starts
         open_lanes = open_lanes[starts > bounds[open_lanes]]
-        pointed = found[found >= 0]
-        if not len(pointed):
-            continue
-        if sizes.max() > 1:
+        pointed = found[:singles]
+        pointed = pointed[pointed >= 0]  # lanes share no groups, so each is moved on its own
+        if len(pointed):
+            regroup(pointed, group[pointed], None, order, rank, group, size, moved)
+        pointed = found[singles:]
+        pointed = pointed[pointed >= 0]
+        if len(pointed):
             np.add.at(count, pointed, 1)
             pointed = np.unique(pointed)
             old, times = group[pointed], count[pointed]
             count[pointed] = 0
             by = np.lexsort((-times, old))
-            pointed, old, times = pointed[by], old[by], times[by]
-        else:  # one suffix in each lane, and lanes share no groups
-            old = group[pointed]
-            times = None
-        regroup(pointed, old, times, order, rank, group, size, moved)
+            regroup(pointed[by], old[by], times[by], order, rank, group, size, moved)
     return group, pointer
 
 
@@ -98,33 +100,35 @@ def ramp(sizes: np.ndarray) -> np.ndarray:
 
 def regroup(pointed, old, times, order, rank, group, size, moved) -> None:
     """Move ``pointed`` (sorted by group, most pointed-to first) to new groups at the end of their old ones."""
-    if times is None:
-        ends = old + size[old]
-        target = ends - 1
-        new_start = target
-        leaving = np.ones(len(old), dtype=np.int64)
-        heads = old
-        new_heads, new_sizes = target, leaving
-    else:
-        first = np.ones(len(old), dtype=bool)
-        first[1:] = old[1:] != old[:-1]
-        begins = np.flatnonzero(first)
-        leaving = np.diff(begins, append=len(old))
-        heads = old[begins]
-        place = ramp(leaving)
-        target = old + size[old] - 1 - place
-        cut = first.copy()
-        cut[1:] |= times[1:] != times[:-1]
-        runs = np.flatnonzero(cut)
-        new_sizes = np.diff(runs, append=len(old))
-        new_heads = target[runs + new_sizes - 1]
-        new_start = np.repeat(new_heads, new_sizes)
+    if times is None:  # one suffix of each group changes places with the last of it
+        target = old + size[old] - 1
+        place = rank[pointed]
+        standing = order[target]
+        order[place], rank[standing] = standing, place
+        order[target], rank[pointed] = pointed, target
+        size[old] -= 1
+        size[target] = 1
+        group[pointed] = target
+        return
+    first = np.ones(len(old), dtype=bool)
+    first[1:] = old[1:] != old[:-1]
+    begins = np.flatnonzero(first)
+    leaving = np.diff(begins, append=len(old))
+    heads = old[begins]
+    place = ramp(leaving)
+    target = old + size[old] - 1 - place
+    cut = first.copy()
+    cut[1:] |= times[1:] != times[:-1]
+    runs = np.flatnonzero(cut)
+    new_sizes = np.diff(runs, append=len(old))
+    new_heads = target[runs + new_sizes - 1]
+    new_start = np.repeat(new_heads, new_sizes)
     # Whoever stands in a place at the end without moving swaps with a mover from further ahead; both lists are in
     # the order of the groups and equally long in each.
     moved[pointed] = True
     standing = order[target]
     stay = standing[~moved[standing]]
-    tail = np.repeat(heads + size[heads] - leaving, leaving) if times is not None else target
+    tail = np.repeat(heads + size[heads] - leaving, leaving)
     vacated = rank[pointed][rank[pointed] < tail]
     order[vacated] = stay
     rank[stay] = vacated
