@@ -11,6 +11,22 @@ def _normal(url: str) -> str:
     return f"""trim(regexp_replace(regexp_replace(lower(coalesce("text", '')), '{url}', ' ', 'g'), '[^a-z0-9]+', ' ', 'g'))"""
 
 
+NOTICES = """
+days AS (SELECT doc_id, source, coalesce("text", '') AS body, CAST(doc_id AS VARCHAR) AS n, DATE '2024-01-01' + CAST(doc_id % 366 AS INTEGER) AS d FROM documents),
+lines AS (
+  SELECT doc_id, source, body, concat_ws(' ', CASE WHEN doc_id % 9 = 0 THEN 'Corrigendum' ELSE 'Notice' END, 'dated',
+    CASE WHEN doc_id % 11 = 0 THEN '41-13-2024' ELSE CASE doc_id % 7 WHEN 0 THEN strftime(d, '%d-%m-%Y') WHEN 1 THEN strftime(d, '%d/%m/%Y') WHEN 2 THEN strftime(d, '%d.%m.%Y') WHEN 3 THEN strftime(d, '%Y-%m-%d') WHEN 4 THEN strftime(d, '%d %b %Y') WHEN 5 THEN strftime(d, '%b %d, %Y')
+      ELSE strftime(d, '%d-%b-%y') END END, 'value',
+    CASE doc_id % 5 WHEN 0 THEN 'Rs. 4,50,' || lpad(n, 3, '0') || '/-' WHEN 1 THEN 'Rs. ' || n || '.50 lakh' WHEN 2 THEN 'INR 4.' || lpad(n, 3, '0') || ' Cr'
+      WHEN 3 THEN '4' || lpad(n, 7, '0') ELSE 'no amount' END, 'no.',
+    CASE doc_id % 8 WHEN 0 THEN 'NPAS-2024-' || lpad(n, 7, '0') WHEN 1 THEN 'SPC/2024-25/' || lpad(n, 6, '0') WHEN 2 THEN 'PWD/2024/' || lpad(n, 5, '0')
+      WHEN 3 THEN '0' || lpad(n, 7, '0') WHEN 4 THEN 'ref-2024-' || lpad(n, 5, '0') WHEN 5 THEN 'MC/2025/W/' || lpad(n, 5, '0')
+      WHEN 6 THEN 'TN-' || lpad(n, 6, '0') || '/2024' ELSE 'none' END, 'see',
+    CASE doc_id % 3 WHEN 0 THEN 'http://portal.example/' || n WHEN 1 THEN 'www.portal.example/' || n ELSE 'no link' END) AS line
+  FROM days),
+notices AS MATERIALIZED (
+  SELECT doc_id, source, body || chr(10) || CASE WHEN doc_id % 7 = 4 AND doc_id % 2 = 0 THEN upper(line) ELSE line END AS "text" FROM lines)"""
+
 SEGMENTS = """
 segs AS MATERIALIZED (
   SELECT doc_id, source AS portal, pos, trim(seg) AS seg FROM (
@@ -222,11 +238,11 @@ by_bin AS (
 DATE_TEXT = {
     "%d-%m-%Y": r"\b(\d{1,2}-\d{1,2}-\d{4})\b", "%d/%m/%Y": r"\b(\d{1,2}/\d{1,2}/\d{4})\b",
     "%d.%m.%Y": r"\b(\d{1,2}\.\d{1,2}\.\d{4})\b", "%Y-%m-%d": r"\b(\d{4}-\d{1,2}-\d{1,2})\b",
-    "%d %b %Y": r"\b(\d{1,2} [A-Z][a-z]{2} \d{4})\b", "%b %d, %Y": r"\b([A-Z][a-z]{2} \d{1,2}, \d{4})\b",
-    "%d-%b-%y": r"\b(\d{1,2}-[A-Z][a-z]{2}-\d{2})\b",
+    "%d %b %Y": r"\b(\d{1,2} [A-Z][A-Za-z]{2} \d{4})\b", "%b %d, %Y": r"\b([A-Z][A-Za-z]{2} \d{1,2}, \d{4})\b",
+    "%d-%b-%y": r"\b(\d{1,2}-[A-Z][A-Za-z]{2}-\d{2})\b",
 }
-MONEY_TEXT = r"(?i)(?:rs\.?|inr|rupees)\s*([0-9][0-9,]*(?:\.[0-9]+)?)\s*(lakh|cr)?|\b([0-9]{7,12})\b"
-REFERENCE_TEXT = r"\b(NPAS-\d{4}-\d{7}|SPC/\d{4}-\d{2}/\d{6}|PWD/\d{4}/\d{5}|ref-\d{4}-\d{5}|MC/\d{4}/W/\d{5}|TN-\d{6}/\d{4}|\d{8})\b"
+MONEY_TEXT = r"(?i)(?:rs\.?|inr|rupees)\s*([0-9][0-9,]*(?:\.[0-9]+)?)\s*(lakh|cr)?|\b([1-9][0-9]{6,11})\b"
+REFERENCE_TEXT = r"\b(NPAS-\d{4}-\d{7}|SPC/\d{4}-\d{2}/\d{6}|PWD/\d{4}/\d{5}|ref-\d{4}-\d{5}|MC/\d{4}/W/\d{5}|TN-\d{6}/\d{4}|0\d{7})\b"
 ANY_DATE = "|".join(f"(?:{p})" for p in DATE_TEXT.values())
 FIRST_DATE = f"try_strptime(regexp_extract(\"text\", '{ANY_DATE}', 0), [" + ", ".join(f"'{f}'" for f in DATE_TEXT) + "])"
 
@@ -244,8 +260,8 @@ LONG_SIMILARITY = " UNION ALL ".join(
     f"SELECT '{m}' AS measure, label, {m} AS value FROM similarity" for m in ("word3_jaccard", "word5_jaccard", "char5_jaccard"))
 
 SQL = {
-    "normalize_text": f"SELECT doc_id, {_normal(URL)} AS normalized FROM documents",
-    "normalize_text_www": f"SELECT doc_id, {_normal(URL_OR_WWW)} AS normalized FROM documents",
+    "normalize_text": _with(NOTICES, f"SELECT doc_id, {_normal(URL)} AS normalized FROM notices"),
+    "normalize_text_www": _with(NOTICES, f"SELECT doc_id, {_normal(URL_OR_WWW)} AS normalized FROM notices"),
     "word_tokens": _with(TEXT, "SELECT doc_id, CAST(i - 1 AS BIGINT) AS pos, t[i] AS token FROM (SELECT doc_id, t, unnest(range(1, len(t) + 1)) AS i FROM toks)"),
     "word_ngrams": _with(WORD5, "SELECT doc_id, g AS shingle FROM word5"),
     "char_ngrams": _with(TEXT + "," + CHAR5, "SELECT doc_id, count(*) AS shingles, min(g) AS first, max(g) AS last FROM char5 GROUP BY doc_id"),
@@ -326,16 +342,16 @@ SQL = {
     "portal_volume": """SELECT source AS portal, count(*) AS docs FROM documents GROUP BY 1 ORDER BY docs DESC, portal LIMIT 15""",
     "boilerplate_filter": _with(SEGMENTS, """SELECT doc_id, portal, md5(coalesce(rest, whole, '')) AS filtered_md5,
   CASE WHEN rest IS NULL THEN 0 ELSE cut END AS removed FROM left_over"""),
-    "corrigendum_flag": f"""SELECT doc_id, regexp_matches(string_split("text", chr(10))[1], '{CORRIGENDUM}') AS in_title,
-  regexp_matches("text", '{CORRIGENDUM}') AS in_body FROM documents""",
-    "corrigendum_links": _with(MATCHES + f""",
-flags AS (SELECT doc_id, regexp_matches("text", '{CORRIGENDUM}') AS flag FROM documents)""",
+    "corrigendum_flag": _with(NOTICES, f"""SELECT doc_id, regexp_matches(string_split("text", chr(10))[1], '{CORRIGENDUM}') AS in_title,
+  regexp_matches("text", '{CORRIGENDUM}') AS in_body FROM notices"""),
+    "corrigendum_links": _with(MATCHES + "," + NOTICES + f""",
+flags AS (SELECT doc_id, regexp_matches("text", '{CORRIGENDUM}') AS flag FROM notices)""",
                                """SELECT m.id_a, m.id_b, m.jaccard, a.flag AS flag_a, b.flag AS flag_b, a.flag <> b.flag AS is_link
   FROM match_pairs m JOIN flags a ON a.doc_id = m.id_a JOIN flags b ON b.doc_id = m.id_b"""),
-    "portal_field_parse": f"""SELECT source AS portal, count(*) AS docs, count(*) FILTER (regexp_matches("text", '{ANY_DATE}')) AS date_texts,
+    "portal_field_parse": _with(NOTICES, f"""SELECT source AS portal, count(*) AS docs, count(*) FILTER (regexp_matches("text", '{ANY_DATE}')) AS date_texts,
   count({FIRST_DATE}) AS dates, count(*) FILTER (regexp_matches("text", '{MONEY_TEXT}')) AS money_texts,
   count(*) FILTER (coalesce(nullif(regexp_extract("text", '{MONEY_TEXT}', 1), ''), nullif(regexp_extract("text", '{MONEY_TEXT}', 3), '')) IS NOT NULL) AS amounts,
-  count(nullif(regexp_extract("text", '{REFERENCE_TEXT}', 1), '')) AS refs FROM documents GROUP BY 1""",
+  count(nullif(regexp_extract("text", '{REFERENCE_TEXT}', 1), '')) AS refs FROM notices GROUP BY 1"""),
     "portal_profile": """SELECT p.portal, docs, upper_share, near_1200, near_2500, length AS mode_length, n AS mode_docs FROM (
   SELECT source AS portal, count(*) AS docs, round(avg(("text" = upper("text"))::INT), 6) AS upper_share,
     round(avg((abs(length("text") - 1200) <= 25)::INT), 6) AS near_1200, round(avg((abs(length("text") - 2500) <= 25)::INT), 6) AS near_2500

@@ -20,16 +20,40 @@ def label_counts(pairs: DataFrame) -> DataFrame:
     return pairs.groupBy("label").agg(F.count("*").alias("pairs"))
 
 
+def percentile_of(rows: DataFrame, keys: list[str], value: str, point: float, name: str, bins: int = 1024) -> DataFrame:
+    """(keys, name): exact percentile with linear interpolation of values in [0, 1], without all values of a group in one task.
+
+    Counts per fixed bin tell which bins hold the two ranks around the percentile; only the values of those bins are put in order.
+    """
+    freq = rows.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("n"))
+    freq = freq.withColumn("bin", F.floor(F.col(value) * bins))
+    in_order = Window.partitionBy(*keys).orderBy("bin")
+    counts = freq.groupBy(*keys, "bin").agg(F.sum("n").alias("inside"))
+    place = F.sum("inside").over(Window.partitionBy(*keys)) - 1
+    ranked = counts.select(
+        *keys, "bin", (F.sum("inside").over(in_order) - F.col("inside")).alias("before"), "inside", (place * F.lit(point)).alias("rank"))
+    holds = lambda rank: (F.col("before") <= rank) & (rank < F.col("before") + F.col("inside"))
+    wanted = ranked.where(holds(F.floor("rank")) | holds(F.ceil("rank"))).drop("inside")
+    in_bin = Window.partitionBy(*keys, "bin").orderBy(value)
+    values = freq.join(wanted, [*keys, "bin"]).select(
+        *keys, value, "rank", "n", (F.col("before") + F.sum("n").over(in_bin) - F.col("n")).alias("first"))
+    at = lambda rank: F.max(F.when((F.col("first") <= rank) & (rank < F.col("first") + F.col("n")), F.col(value)))
+    found = values.groupBy(*keys, "rank").agg(at(F.floor("rank")).alias("low"), at(F.ceil("rank")).alias("high"))
+    part = F.col("rank") - F.floor("rank")
+    return found.select(*keys, F.round(F.col("low") + (F.col("high") - F.col("low")) * part, 6).alias(name))
+
+
 def similarity_summary(scored: DataFrame, measures: tuple[str, ...] = MEASURES) -> DataFrame:
     """Count, mean, median, min and max of every measure per label."""
     long = scored.select("label", F.inline(F.array(*[
         F.struct(F.lit(m).alias("measure"), F.col(m).alias("value")) for m in measures
     ])))
-    return long.groupBy("measure", "label").agg(
+    keys = ["measure", "label"]
+    summary = long.groupBy(*keys).agg(
         F.count("value").alias("count"), F.round(F.avg("value"), 6).alias("mean"),
-        F.round(F.percentile("value", F.lit(0.5)), 6).alias("median"),
         F.round(F.min("value"), 6).alias("min"), F.round(F.max("value"), 6).alias("max"),
     )
+    return summary.join(percentile_of(long, keys, "value", 0.5, "median"), keys, "left")
 
 
 def pair_extremes(scored: DataFrame, n: int = 10) -> DataFrame:
@@ -60,19 +84,21 @@ def estimate_errors(estimated: DataFrame, sizes: tuple[int, ...] = ESTIMATE_SIZE
 
 def error_summary(errors: DataFrame) -> DataFrame:
     error = F.col("error")
-    return errors.groupBy("signature_size").agg(
+    summary = errors.groupBy("signature_size").agg(
         F.round(F.avg(error), 6).alias("mae"),
         F.round(F.sqrt(F.avg(error * error)), 6).alias("rmse"),
-        F.round(F.percentile("error", F.lit(0.95)), 6).alias("p95_absolute_error"),
         F.round(F.max(error), 6).alias("max_absolute_error"),
     )
+    high = percentile_of(errors, ["signature_size"], "error", 0.95, "p95_absolute_error")
+    return summary.join(high, "signature_size", "left")
 
 
 def error_by_label(errors: DataFrame) -> DataFrame:
-    return errors.groupBy("signature_size", "label").agg(
-        F.count("error").alias("count"), F.round(F.avg("error"), 6).alias("mean"),
-        F.round(F.percentile("error", F.lit(0.5)), 6).alias("median"), F.round(F.max("error"), 6).alias("max"),
+    keys = ["signature_size", "label"]
+    summary = errors.groupBy(*keys).agg(
+        F.count("error").alias("count"), F.round(F.avg("error"), 6).alias("mean"), F.round(F.max("error"), 6).alias("max"),
     )
+    return summary.join(percentile_of(errors, keys, "error", 0.5, "median"), keys, "left")
 
 
 def worst_errors(errors: DataFrame, n: int = 5) -> DataFrame:

@@ -13,15 +13,16 @@ DATE_FORMS = {
     "d/M/yyyy": r"\b(\d{1,2}/\d{1,2}/\d{4})\b",
     "d.M.yyyy": r"\b(\d{1,2}\.\d{1,2}\.\d{4})\b",
     "yyyy-M-d": r"\b(\d{4}-\d{1,2}-\d{1,2})\b",
-    "d MMM yyyy": r"\b(\d{1,2} [A-Z][a-z]{2} \d{4})\b",
-    "MMM d, yyyy": r"\b([A-Z][a-z]{2} \d{1,2}, \d{4})\b",
-    "d-MMM-yy": r"\b(\d{1,2}-[A-Z][a-z]{2}-\d{2})\b",
+    "d MMM yyyy": r"\b(\d{1,2} [A-Z][A-Za-z]{2} \d{4})\b",
+    "MMM d, yyyy": r"\b([A-Z][A-Za-z]{2} \d{1,2}, \d{4})\b",
+    "d-MMM-yy": r"\b(\d{1,2}-[A-Z][A-Za-z]{2}-\d{2})\b",
 }
-MONEY = r"(?i)(?:rs\.?|inr|rupees)\s*([0-9][0-9,]*(?:\.[0-9]+)?)\s*(lakh|cr)?|\b([0-9]{7,12})\b"
+# A bare number of seven to twelve digits is an amount, unless it starts with 0: then, with eight digits, it is a reference.
+MONEY = r"(?i)(?:rs\.?|inr|rupees)\s*([0-9][0-9,]*(?:\.[0-9]+)?)\s*(lakh|cr)?|\b([1-9][0-9]{6,11})\b"
 UNITS = {"lakh": 100000, "cr": 10000000}
 REFERENCE = (
     r"\b(NPAS-\d{4}-\d{7}|SPC/\d{4}-\d{2}/\d{6}|PWD/\d{4}/\d{5}|ref-\d{4}-\d{5}|"
-    r"MC/\d{4}/W/\d{5}|TN-\d{6}/\d{4}|\d{8})\b"
+    r"MC/\d{4}/W/\d{5}|TN-\d{6}/\d{4}|0\d{7})\b"
 )
 CUT_LENGTHS = (1200, 2500)
 CUT_SLACK = 25
@@ -99,6 +100,8 @@ def found(text: Column, pattern: str, group: int = 1) -> Column:
 
 def date_of(token: Column) -> Column:
     """A date in any of the known forms."""
+    named = F.regexp_extract(token, "[A-Z][A-Za-z]{2}", 0)  # months come as Mar or MAR
+    token = F.when(named != "", F.replace(token, named, F.initcap(named))).otherwise(token)
     return F.coalesce(*[F.try_to_date(token, form) for form in DATE_FORMS])
 
 

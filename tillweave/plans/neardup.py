@@ -33,6 +33,10 @@ class NearDup:
             "doc_id", "portal", F.col("filtered").alias("text"), F.col("doc_id").alias("published_at")
         ))
 
+    def notices(self) -> DataFrame:
+        """The documents with the dates, amounts, references and links that notices carry."""
+        return inputs.notices(self.docs())
+
     def sets(self) -> DataFrame:
         return self._stage("shingle_sets", lambda: shingles.shingle_sets(self.docs(), "word5"))
 
@@ -112,7 +116,7 @@ class NearDup:
 
 
 def normalized(n: NearDup, strip_www: bool = False) -> DataFrame:
-    return n.docs().select("doc_id", normalize_text(F.col("text"), strip_www).alias("normalized"))
+    return n.notices().select("doc_id", normalize_text(F.col("text"), strip_www).alias("normalized"))
 
 
 def lsh_buckets(n: NearDup) -> DataFrame:
@@ -217,8 +221,8 @@ QUERIES = {
     "cluster_summary": lambda n: clusters.cluster_summary(stable_mapping(n)),
     "portal_volume": lambda n: portals.portal_volume(n.docs()),
     "boilerplate_filter": boilerplate,
-    "corrigendum_flag": lambda n: portals.corrigendum_flag(n.docs()),
-    "corrigendum_links": lambda n: portals.corrigendum_links(n.matches(), portals.corrigendum_flag(n.docs())),
-    "portal_field_parse": lambda n: portals.parse_coverage(portals.parsed_fields(n.docs())),
+    "corrigendum_flag": lambda n: portals.corrigendum_flag(n.notices()),
+    "corrigendum_links": lambda n: portals.corrigendum_links(n.matches(), portals.corrigendum_flag(n.notices())),
+    "portal_field_parse": lambda n: portals.parse_coverage(portals.parsed_fields(n.notices())),
     "portal_profile": lambda n: portals.portal_profile(n.docs()),
 }

@@ -17,6 +17,33 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def notices(docs: DataFrame) -> DataFrame:
+    """The documents with a last line as a notice has it: date, amount, reference, link and now and then a correction.
+
+    Every form of the portals comes up, chosen by the id; one date of each form in eleven is no date, a seventh of the lines is in capitals.
+    """
+    n = F.col("doc_id")
+    day = F.date_add(F.lit("2024-01-01").cast("date"), F.pmod(n, F.lit(366)).cast("int"))
+    dated = lambda form: F.date_format(day, form)
+    date = F.element_at(F.array(*[dated(f) for f in ("dd-MM-yyyy", "dd/MM/yyyy", "dd.MM.yyyy", "yyyy-MM-dd", "dd MMM yyyy", "MMM dd, yyyy", "dd-MMM-yy")]),
+                        (n % 7 + 1).cast("int"))
+    date = F.when(n % 11 == 0, "41-13-2024").otherwise(date)
+    digits = lambda width: F.lpad(n.cast("string"), width, "0")
+    money = F.element_at(F.array(
+        F.concat(F.lit("Rs. 4,50,"), digits(3), F.lit("/-")), F.concat(F.lit("Rs. "), n.cast("string"), F.lit(".50 lakh")),
+        F.concat(F.lit("INR 4."), digits(3), F.lit(" Cr")), F.concat(F.lit("4"), digits(7)), F.lit("no amount")), (n % 5 + 1).cast("int"))
+    reference = F.element_at(F.array(
+        F.concat(F.lit("NPAS-2024-"), digits(7)), F.concat(F.lit("SPC/2024-25/"), digits(6)), F.concat(F.lit("PWD/2024/"), digits(5)),
+        F.concat(F.lit("0"), digits(7)), F.concat(F.lit("ref-2024-"), digits(5)), F.concat(F.lit("MC/2025/W/"), digits(5)),
+        F.concat(F.lit("TN-"), digits(6), F.lit("/2024")), F.lit("none")), (n % 8 + 1).cast("int"))
+    link = F.element_at(F.array(F.concat(F.lit("http://portal.example/"), n.cast("string")), F.concat(F.lit("www.portal.example/"), n.cast("string")), F.lit("no link")),
+                        (n % 3 + 1).cast("int"))
+    word = F.when(n % 9 == 0, "Corrigendum").otherwise("Notice")
+    line = F.concat_ws(" ", word, F.lit("dated"), date, F.lit("value"), money, F.lit("no."), reference, F.lit("see"), link)
+    line = F.when((n % 7 == 4) & (n % 2 == 0), F.upper(line)).otherwise(line)
+    return docs.withColumn("text", F.concat(F.coalesce("text", F.lit("")), F.lit("\n"), line))
+
+
 def labelled_pairs(docs: DataFrame) -> DataFrame:
     """(id_a, id_b, label), derived over all documents.
 
