@@ -242,7 +242,7 @@ def test_licence_scan(documents):
     rows, wanted = [], Counter()
     for i, (name, text) in enumerate(sorted(licenses.TEMPLATES.items()) * 6):
         body = text if i % 2 else text.upper()
-        if len(text.split()) > 20 and i % 3 == 0:
+        if len(text.split()) > 30 and i % 3 == 0:
             words = body.split()
             words[len(words) // 2] = "changed"
             body = " ".join(words)

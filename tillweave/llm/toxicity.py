@@ -35,18 +35,20 @@ from tillweave.llm import frames
 
 DECAY, SPAN = 0.5, 6
 LANDMARKS = 256
+# The most telling units also train in disguise, with one letter put in, at this share of their weight.
+DISGUISED, DISGUISE_SHARE = 300, 0.5
 CLEAN_COST = 3.0
 RIDGE = 1e-3
 FIT_DOCS = 4000
 FIT_UNITS = 16000
 CALIBRATION_SHARE = 4  # every fourth sampled document fits the logistic curve, the others the machine
-CURVE_CLEAN = 2.0  # weight of the clean class, against 1 for the toxic one, where the logistic curve is fitted
+CURVE_CLEAN = 4.0  # weight of the clean class, against 1 for the toxic one, where the logistic curve is fitted
 WIDTH = 22  # letters of a unit; longer ones are read in windows that overlap by half
 CACHE = 200_000
 LOWEST = -2.0
 
 # Signs read as the letters they look like.
-LOOKALIKE = str.maketrans("013457@$!|", "oieastasii")
+LOOKALIKE = str.maketrans("013457@$", "oieastas")
 SPELLED = re.compile(r"(?<!\w)(?:\w[\W_]{1,3}){3,}\w(?!\w)")
 SENTENCE = re.compile(r"[.!?]+\s|\n+")
 _EDGES = " \t.,;:!?*$%&#\"'()[]{}<>+-_=/\\|~`^…«»„“”’"
@@ -221,6 +223,23 @@ def machine(units: list[str], toxic: np.ndarray, clean: np.ndarray) -> tuple[np.
     return folded.T @ solution[:-1], float(solution[-1])
 
 
+def disguised(units: list[str], toxic: np.ndarray, clean: np.ndarray, seed: int = 13) -> tuple[list[str], np.ndarray]:
+    """(variants, shares of toxic documents): the most telling units with a letter put in, each in four ways."""
+    draw = np.random.default_rng(seed)
+    lift = toxic - CLEAN_COST * clean
+    found: dict[str, float] = {}
+    for i in np.argsort(-lift, kind="stable")[:DISGUISED]:
+        unit = units[i]
+        if lift[i] <= 0 or not 4 <= len(unit) < WIDTH:
+            continue
+        for _ in range(4):
+            at, letter = int(draw.integers(1, len(unit))), chr(97 + int(draw.integers(26)))
+            found[unit[:at] + letter + unit[at:]] = float(toxic[i]) * DISGUISE_SHARE / 4
+    known = set(units)
+    variants = [unit for unit in found if unit not in known]
+    return variants, np.array([found[unit] for unit in variants])
+
+
 def curve(values: np.ndarray, toxic: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
     """Slope and offset of the logistic curve, by Newton steps on a lightly smoothed likelihood."""
     slope, offset = 1.0, 0.0
@@ -260,8 +279,11 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column) -> tuple[np.ndarray,
     rare = units.orderBy(F.md5(F.col("unit").cast("binary")), "unit").limit(FIT_UNITS // 4)
     rows = {row["unit"]: row for part in (often, telling, rare) for row in part.collect()}
     names = sorted(rows)
+    toxic_share = np.array([rows[n]["toxic"] for n in names]) / size[1]
+    clean_share = np.array([rows[n]["clean"] for n in names]) / size[0]
+    variants, shares = disguised(names, toxic_share, clean_share)
     weights, bias = machine(
-        names, np.array([rows[n]["toxic"] for n in names]) / size[1], np.array([rows[n]["clean"] for n in names]) / size[0])
+        names + variants, np.concatenate((toxic_share, shares)), np.concatenate((clean_share, np.zeros(len(variants)))))
     held = largest(sample.where(for_curve), ["toxic"], weights, bias).toPandas()
     if held["toxic"].nunique() < 2:
         held = largest(sample, ["toxic"], weights, bias).toPandas()

@@ -28,6 +28,8 @@ MOMENTUM = 0.9
 RIDGE = 1e-4
 # Share of the loss that goes to the labelled URLs to block: without evidence a URL is allowed.
 BLOCK_SHARE = 0.25
+# A URL is blocked above this probability; hosts without any known n-gram come close to one half.
+BLOCK_ABOVE = 0.58
 # The small labelled table is made of these words: hosts of two words, or of one and a plain ending, at neutral addresses.
 BLOCK_WORDS = (
     "casino", "bets", "poker", "slots", "jackpot", "pills", "viagra", "cheap", "free", "adult", "porn", "escort", "cams", "spam",
@@ -132,9 +134,9 @@ def labelled_table(spark: SparkSession) -> DataFrame:
 
 
 def judge(split: DataFrame, weights: list[float], bias: float) -> DataFrame:
-    """(page_id, host, path, rule, verdict, score): the rule's verdict, else block from a probability above one half."""
+    """(page_id, host, path, rule, verdict, score): the rule's verdict, else block from a probability above ``BLOCK_ABOVE``."""
     chance = F.lit(1.0) / (F.lit(1.0) + F.exp(-margin(places(F.col("host"), F.col("path")), weights, bias)))
-    learned = F.when(F.col("score") > 0.5, "block").otherwise("allow")
+    learned = F.when(F.col("score") > BLOCK_ABOVE, "block").otherwise("allow")
     return split.withColumn("score", chance).select(
         "page_id", "host", "path", F.col("fits.rule").alias("rule"),
         F.coalesce(F.col("fits.verdict"), learned).alias("verdict"), "score")
