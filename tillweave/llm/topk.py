@@ -131,11 +131,12 @@ def exact_top_k(rows: DataFrame, every: int, k: int) -> DataFrame:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", frames.ARROW_ROWS)
     assigned = vectors.assign(numbered, pivots, whole_numbers)
     cells = frames.store(vectors.packed(assigned, "cell", vectors.CELL), "topk-cells")
-    norm = F.aggregate("vec", F.lit(0.0), lambda total, x: total + F.floor(x * SCALE) * F.floor(x * SCALE))
-    longest = float(np.sqrt(numbered.agg(F.max(norm.cast("double"))).first()[0] or 0.0))
+    whole = lambda x: F.floor(x * SCALE).cast("double")
+    norm = F.aggregate("vec", F.lit(0.0), lambda total, x: total + whole(x) * whole(x))
+    longest = float(np.sqrt(numbered.agg(F.max(norm)).first()[0] or 0.0))
     with frames.batch_rows(spark, vectors.PACKED_ROWS):
         asked = frames.store(seeds(cells, every, k), "topk-queries")
-    blocks = frames.store(vectors.packed(asked, "block", vectors.QUERY_BLOCK, extra=True), "topk-blocks")
+    blocks = frames.store(vectors.packed(asked, "block", vectors.QUERY_BLOCK, extra=True, mixed=True), "topk-blocks")
     with frames.batch_rows(spark, vectors.PACKED_ROWS):
         near = reach(blocks, pivots, longest)
         where = cells.select("cell", "pivot", "dmin", "dmax")

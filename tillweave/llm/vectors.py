@@ -95,17 +95,30 @@ def assign(rows: DataFrame, pivots: np.ndarray, change: Callable[[np.ndarray], n
     return rows.mapInArrow(work, "pivot int, dist double, vec_id bigint, vec array<double>")
 
 
-def packed(rows: DataFrame, id_name: str, size: int, extra: bool = False) -> DataFrame:
+def to_bytes(values: np.ndarray) -> bytes:
+    """A matrix in the smallest type that holds it exactly, its type first."""
+    for code in "hf":
+        small = values.astype(code) if np.abs(values).max(initial=0.0) < 32768 else values
+        if small.dtype == np.dtype(code) and (small == values).all():
+            return code.encode() + small.tobytes()
+    return b"d" + values.tobytes()
+
+
+def from_bytes(data: bytes, rows: int) -> np.ndarray:
+    return np.frombuffer(data, dtype=chr(data[0]), offset=1).astype(np.float64).reshape(rows, -1)
+
+
+def packed(rows: DataFrame, id_name: str, size: int, extra: bool = False, mixed: bool = False) -> DataFrame:
     """Rows (pivot, dist, vec_id, vec) packed to at most ``size`` of one pivot, sorted by distance, with a unique id.
 
     Rows are dealt out by ranges of (pivot, dist, vec_id), so a pivot that holds most of the vectors, or most of them at
-    one distance, is split like any other.
+    one distance, is split like any other. With ``mixed`` rows of all pivots share a pack, in no order.
     """
 
     def pack(part: dict[str, np.ndarray], number: int) -> tuple:
         add = part["extra"].astype(np.float64).tobytes() if extra else b""
         return (number, int(part["pivot"][0]), float(part["dist"][0]), float(part["dist"][-1]), len(part["dist"]),
-                part["vec_id"].tobytes(), part["dist"].tobytes(), part["vec"].tobytes(), add)
+                part["vec_id"].tobytes(), part["dist"].tobytes(), to_bytes(part["vec"]), add)
 
     names = [id_name, "pivot", "dmin", "dmax", "n", "ids", "dists", "mat", "extra"]
     types = [pa.int64(), pa.int32(), pa.float64(), pa.float64(), pa.int32(), *[pa.binary()] * 4]
@@ -118,7 +131,8 @@ def packed(rows: DataFrame, id_name: str, size: int, extra: bool = False) -> Dat
         def cut(final: bool) -> Iterator[tuple]:
             nonlocal held, number
             while held and len(held["pivot"]):
-                end = int(np.searchsorted(held["pivot"], held["pivot"][0], side="right"))
+                whole = len(held["pivot"])
+                end = whole if mixed else int(np.searchsorted(held["pivot"], held["pivot"][0], side="right"))
                 if end < size and end == len(held["pivot"]) and not final:
                     return
                 end = min(end, size)
@@ -139,6 +153,9 @@ def packed(rows: DataFrame, id_name: str, size: int, extra: bool = False) -> Dat
         if found := list(cut(True)):
             yield batch_of(found)
 
+    if mixed:
+        dealt = rows.repartition(max(1, -(-rows.count() // size)))
+        return dealt.mapInArrow(work, f"{id_name} bigint, {PACKED}")
     partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = rows.repartitionByRange(partitions, "pivot", "dist", "vec_id").sortWithinPartitions("pivot", "dist", "vec_id")
     return dealt.mapInArrow(work, f"{id_name} bigint, {PACKED}")
@@ -148,7 +165,7 @@ def unpack(row: dict, number: int) -> tuple[np.ndarray, np.ndarray, np.ndarray,
     """(ids, dists, matrix, extra) of a packed row."""
     count = row["n"][number]
     return (np.frombuffer(row["ids"][number], dtype=np.int64), np.frombuffer(row["dists"][number]),
-            np.frombuffer(row["mat"][number]).reshape(count, -1), np.frombuffer(row["extra"][number]))
+            from_bytes(row["mat"][number], count), np.frombuffer(row["extra"][number]))
 
 
 def once(ids: np.ndarray, vecs: np.ndarray) -> np.ndarray:
