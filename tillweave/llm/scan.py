@@ -95,31 +95,57 @@ def ask(cells: DataFrame, every: int, k: int, longest: float, turned: np.ndarray
     return cells.mapInArrow(work, "pivot int, dist double, vec_id bigint, vec array<double>, extra double")
 
 
+class Best:
+    """The ``k`` best found so far for every query of a block, and the limits that follow from them."""
+
+    def __init__(self, row: dict, number: int, k: int, longest: float, turned: np.ndarray):
+        self.queries, _, self.asked, limits = vectors.unpack(row, number)
+        self.limits, self.k = limits.copy(), k
+        self.turned = np.column_stack([self.asked, np.zeros(len(self.asked))]) @ turned
+        self.reach = (self.asked * self.asked).sum(axis=1) + longest * longest
+        self.found = [(np.zeros(0, dtype=np.int64), np.zeros(0))] * len(self.queries)
+
+    def visit(self, ids: np.ndarray, mat: np.ndarray, columns: np.ndarray) -> None:
+        for q in range(len(self.queries)):
+            alive = survivors(columns, self.turned[q], self.limits[q])
+            alive = alive[ids[alive] != self.queries[q]]
+            if len(alive):
+                own = np.concatenate((self.found[q][0], ids[alive]))
+                score = np.concatenate((self.found[q][1], (mat[alive] * self.asked[q]).sum(axis=1)))
+                first = vectors.best(own, score, self.k)
+                self.found[q] = own[first], score[first]
+                if len(first) == self.k:
+                    self.limits[q] = min(self.limits[q], self.reach[q] - 2.0 * score[first[-1]])
+
+    def rows(self) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.repeat(self.queries, [len(ids) for ids, _ in self.found])),
+             pa.array(np.concatenate([ids for ids, _ in self.found])), pa.array(np.concatenate([s for _, s in self.found]))],
+            names=["query_id", "vec_id", "score"])
+
+
 def search(pairs: DataFrame, k: int, longest: float, turned: np.ndarray) -> DataFrame:
-    """The ``k`` best survivors of each query in each cell, scored on the original vectors."""
+    """The ``k`` best survivors of each query, scored on the original vectors.
+
+    Pairs of one query block that follow each other share their limits and give one set of rows.
+    """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best, current = None, None
         for batch in batches:
-            row, out = batch.to_pydict(), []
+            row = batch.to_pydict()
             block = {name[2:]: values for name, values in row.items() if name.startswith("q_")}
             for number in range(batch.num_rows):
                 ids, _, mat, _ = vectors.unpack(row, number)
-                queries, _, asked, limits = vectors.unpack(block, number)
                 new = vectors.once(ids, mat)
                 ids, mat = ids[new], mat[new]
-                columns = np.ascontiguousarray((lengthened(mat, longest) @ turned).T)
-                turned_queries = np.column_stack([asked, np.zeros(len(asked))]) @ turned
-                for q in range(len(queries)):
-                    alive = survivors(columns, turned_queries[q], limits[q])
-                    alive = alive[ids[alive] != queries[q]]
-                    if len(alive):
-                        score = (mat[alive] * asked[q]).sum(axis=1)
-                        for place in vectors.best(ids[alive], score, k):
-                            out.append((int(queries[q]), int(ids[alive[place]]), float(score[place])))
-            if out:
-                types = [pa.int64(), pa.int64(), pa.float64()]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*out), types)], names=["query_id", "vec_id", "score"])
+                if row["block"][number] != current:
+                    if best:
+                        yield best.rows()
+                    best, current = Best(block, number, k, longest, turned), row["block"][number]
+                best.visit(ids, mat, np.ascontiguousarray((lengthened(mat, longest) @ turned).T))
+        if best:
+            yield best.rows()
 
     return pairs.mapInArrow(work, "query_id bigint, vec_id bigint, score double")
 
@@ -155,8 +181,9 @@ def nearest(rows: DataFrame, every: int, k: int) -> DataFrame:
         asked = frames.store(ask(cells, every, k, longest, turned, centres), "scan-queries")
     blocks = frames.store(vectors.packed(asked, "block", vectors.QUERY_BLOCK, extra=True), "scan-blocks")
     with frames.batch_rows(spark, vectors.PACKED_ROWS):
-        asking = blocks.select("pivot", *[F.col(c).alias(f"q_{c}") for c in ("n", "ids", "dists", "mat", "extra")])
-        found = frames.store(search(asking.join(cells, "pivot"), k, longest, turned), "scan-found")
+        asking = blocks.select("block", "pivot", *[F.col(c).alias(f"q_{c}") for c in ("n", "ids", "dists", "mat", "extra")])
+        pairs = asking.join(cells, "pivot").sortWithinPartitions("pivot", "block")
+        found = frames.store(search(pairs, k, longest, turned), "scan-found")
     return vectors.merged(found, k)
 
 
