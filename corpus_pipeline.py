@@ -6,25 +6,43 @@ folder and reads it again. A stage's docstring says what it does with its input.
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillweave.llm import frames, language, mixing, packing, passages, sampling
+from tillweave.session import write_through
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
+_left: list[str] = []
+
+
+def staged(stage):
+    """A stage with its settings; the intermediate tables of the stage before, whose result has been written, are deleted."""
+
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        frames.delete(spark, _left)
+        frames.ready(spark)
+        with frames.recording(_left):
+            return stage(spark, docs, sf_dir)
+
+    return run_stage
+
 
+@staged
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can be told stay; those without letters, or unlike every profile, go."""
-    frames.ready(spark)
     profiles = language.fit_profiles(language.fit_sample(docs, ~language.held_out()))
     judged = language.identify(docs.select(*COLUMNS), profiles, keep=COLUMNS)
     return judged.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") > 0)).select(*COLUMNS)
 
 
+@staged
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each class of near-duplicates the document with the smallest id stays, once."""
-    frames.ready(spark)
     classes = frames.store(sampling.near_duplicates(docs.select("doc_id", "text")), "pipeline-classes")
     others = classes.where(F.col("class_id") != F.col("doc_id")).select("doc_id").distinct()
     repeated = docs.groupBy("doc_id").count().where("count > 1").select("doc_id")
@@ -33,22 +51,22 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     return docs.select(*COLUMNS).join(others, "doc_id", "left_anti").dropDuplicates(["doc_id"]).select(*COLUMNS)
 
 
+@staged
 def remove_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts lose the passages that a document with a smaller id has; n_chars follows. Every document stays."""
-    frames.ready(spark)
     left = passages.without_repeats(docs.select(*COLUMNS), [name for name in COLUMNS if name not in ("text", "n_chars")], text=True)
     return left.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*COLUMNS)
 
 
+@staged
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents drawn with the probabilities that fit the target shares of sources, languages and topics."""
-    frames.ready(spark)
     return mixing.sample(docs.select(*COLUMNS)).select(*COLUMNS)
 
 
+@staged
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of full training sequences."""
-    frames.ready(spark)
     return packing.pack(docs, packing.vocabulary_path())
 
 
@@ -66,5 +84,5 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = frames.table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = frames.store(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        docs = write_through(stage(spark, docs, sf_dir), f"pipeline-{name}")
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -2,6 +2,7 @@
 
 import corpus_pipeline as pipeline
 from tillweave.llm import frames, queries
+from tillweave.session import write_through
 from test_duplicates import brute
 
 MIDDLE = "/root/testdata/sf0.01"
@@ -10,20 +11,20 @@ MIDDLE = "/root/testdata/sf0.01"
 def test_stages(spark):
     docs = frames.table(spark, MIDDLE, "documents")
     before = {r["doc_id"]: r for r in docs.collect()}
-    kept = frames.store(pipeline.STAGES[0][1](spark, docs, MIDDLE), "t0")
+    kept = write_through(pipeline.STAGES[0][1](spark, docs, MIDDLE), "t0")
     assert kept.columns == pipeline.COLUMNS
     gone = set(before) - {r["doc_id"] for r in kept.collect()}
     assert all(not any(c.isalpha() for c in before[i]["text"] or "") for i in gone)
-    apart = frames.store(pipeline.STAGES[1][1](spark, kept, MIDDLE), "t1")
+    apart = write_through(pipeline.STAGES[1][1](spark, kept, MIDDLE), "t1")
     classes = brute([(r["doc_id"], r["text"]) for r in kept.collect()])
     assert {r["doc_id"] for r in apart.collect()} == set(classes.values())
-    cut = frames.store(pipeline.STAGES[2][1](spark, apart, MIDDLE), "t2")
+    cut = write_through(pipeline.STAGES[2][1](spark, apart, MIDDLE), "t2")
     assert cut.columns == pipeline.COLUMNS and cut.count() == apart.count()
     seen = set()
     for r in sorted(cut.collect(), key=lambda r: r["doc_id"]):
         assert r["n_chars"] == len(r["text"]) and len(r["text"]) <= len(before[r["doc_id"]]["text"])
         seen.add(r["doc_id"])
-    mixed = frames.store(pipeline.STAGES[3][1](spark, cut, MIDDLE), "t3")
+    mixed = write_through(pipeline.STAGES[3][1](spark, cut, MIDDLE), "t3")
     assert mixed.columns == pipeline.COLUMNS and {r["doc_id"] for r in mixed.collect()} <= seen
     packed = pipeline.STAGES[4][1](spark, mixed, MIDDLE).collect()
     assert {r["doc_id"] for r in packed} == {r["doc_id"] for r in mixed.collect()}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,9 +25,35 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return ready(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_recording: list[list[str]] = []
+
+
 def store(df: DataFrame, name: str) -> DataFrame:
     """Write an intermediate table to the shared folder and read it back."""
-    return session.write_through(df, name)
+    spark = df.sparkSession
+    path = f"{session.shared_dir(spark)}/tables/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    for paths in _recording:
+        paths.append(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def recording(paths: list[str]):
+    """Note the tables stored inside the block in ``paths``."""
+    _recording.append(paths)
+    try:
+        yield
+    finally:
+        _recording.remove(paths)
+
+
+def delete(spark: SparkSession, paths: list[str]) -> None:
+    """Delete stored tables. What was derived from them must have been written."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    while paths:
+        place = hadoop.Path(paths.pop())
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def remainder(key: str, modulus: int) -> Column:
