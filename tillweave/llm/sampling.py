@@ -1,17 +1,19 @@
 """MinHash near-duplicates by improved consistent weighted sampling over TF-IDF shingles.
 
 A text is the weighted set of its five-word shingles; a text of one to four words has one shingle, all of it. A shingle weighs
-its count times 1 + idf, where the idf of a shingle is that of its rarest word, ln(documents / documents with the word), at
-most ln(1 / ``RARE``). Words rarer than that need not be told apart, so only words in at least ``RARE`` of all documents are looked
+its count times 1 + idf, where the idf of a shingle is that of its rarest word, ln(documents / documents with the word) over
+ln(1 / ``RARE``), at most 1. The plain part of the weight keeps the copies of a very frequent text together. Words rarer than that need not be told apart, so only words in at least ``RARE`` of all documents are looked
 up, and there can be no more of those than the words of an average document over ``RARE``.
 
 Two texts agree in a consistent weighted sample with a probability equal to their weighted Jaccard similarity. ``BANDS`` bands of
 ``ROWS`` samples retrieve a pair of similarity 0.8 with probability 0.9998, and the exact weighted Jaccard similarity, at least
 ``SIMILAR``, decides. Texts with equal weighted sets are one member; their copies never meet in a bucket.
 
-In a bucket every member is compared with the smallest one. Members that are not linked to it are compared with the others,
-unless the triangle inequality of the Jaccard distance rules a link out. So no bucket is capped, a bucket of n similar texts costs n
-comparisons, and links lost by the bands alone are the only ones lost. Classes are the connected components of the links.
+In a bucket every member is compared with its head, the member that meets most others in all its buckets. First each member is
+compared with its best head, then with its other heads unless links have joined the two already, and last, in pairs of blocks, with
+those members of its buckets that are in other classes by then. So no bucket is capped, n similar texts cost about n
+comparisons, and a link is only left out between texts that are in one class without it. Texts that share buckets but stay unlinked
+(similarity just below ``SIMILAR``) are all compared with each other. Classes are the connected components of the links.
 
 Defined results: a null text or one without words is a class of its own. Repeated rows of one doc_id and text fall together;
 of a doc_id with different texts every row gets the smallest class. An empty table gives no rows. Other columns are not read.
@@ -34,6 +36,7 @@ RARE = 1e-3
 # Words of one block of documents whose counts are summed before they are shuffled.
 BLOCK_WORDS = 2_000_000
 SHINGLE_WORDS = 5
+BLOCK = 256  # members of a block that is compared with another one at once
 U = np.uint64
 
 
@@ -68,7 +71,7 @@ def common_words(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     total = docs.count()
     rows = word_counts(docs).where(F.col("docs") >= total * RARE).collect()
     word = np.array([row["word"] for row in rows], dtype=np.int64).view(U)
-    idf = np.log(total / np.array([row["docs"] for row in rows], dtype=float)) if rows else np.zeros(0)
+    idf = np.log(total / np.array([row["docs"] for row in rows], dtype=float)) / -np.log(RARE) if rows else np.zeros(0)
     order = np.argsort(word)
     return word[order], idf[order]
 
@@ -78,7 +81,7 @@ def weighted_set(hashes: np.ndarray, words: np.ndarray, idf: np.ndarray) -> tupl
     n = min(SHINGLE_WORDS, len(hashes))
     if not n:
         return np.zeros(0, dtype=U), np.zeros(0, dtype=np.float32)
-    rarity = np.full(len(hashes), -np.log(RARE))
+    rarity = np.ones(len(hashes))
     if len(words):
         at = np.minimum(np.searchsorted(words, hashes), len(words) - 1)
         rarity = np.where(words[at] == hashes, idf[at], rarity)
@@ -200,36 +203,115 @@ def similarities(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         work, "a bigint, b bigint, similarity double")
 
 
-def star_pairs(buckets: DataFrame) -> DataFrame:
-    """(a, b, least, most): every member of a bucket of two or more with the smallest member, once."""
-    heads = buckets.groupBy("band").agg(F.min(F.struct("id", "total")).alias("head"), F.count("*").alias("n")).where("n > 1")
-    return (
-        buckets.join(heads, "band").where(F.col("id") != F.col("head.id"))
-        .select(F.col("head.id").alias("a"), F.col("id").alias("b"),
-                F.least("total", "head.total").alias("least"), F.greatest("total", "head.total").alias("most"))
-        .distinct()
-    )
+def with_heads(buckets: DataFrame) -> DataFrame:
+    """(band, n, id, total, head, head_total, score): members of buckets of two or more, with the head of their bucket.
+
+    The head meets the most members in all its buckets, the smallest id among equals; ``score`` is how many it meets.
+    """
+    shared = frames.store(buckets.groupBy("band").agg(F.count("*").alias("members")).where("members > 1"), "near-shared")
+    inside = frames.store(buckets.join(shared, "band"), "near-inside")
+    score = inside.groupBy("id").agg(F.sum("members").alias("score"))
+    scored = inside.join(score, "id")
+    heads = scored.groupBy("band").agg(F.max(F.struct("score", (-F.col("id")).alias("least"), "total")).alias("head"))
+    return frames.store(scored.join(heads, "band").select(
+        "band", "n", "id", "total", (-F.col("head.least")).alias("head"), F.col("head.total").alias("head_total"),
+        F.col("head.score").alias("score")), "near-heads")
 
 
-def rest_pairs(buckets: DataFrame, checked: DataFrame) -> DataFrame:
-    """(a, b) within buckets that may be linked although one of the two is not linked to the smallest member.
+def rest_links(headed: DataFrame, classes: DataFrame, sets: DataFrame, bands: DataFrame) -> DataFrame:
+    """(a, b) of different classes that share a bucket and are similar, where one is outside the class of the bucket's head.
 
-    With d the Jaccard distance to that member, |d(a) - d(b)| <= d(a, b), so only near values of d can be linked.
+    Members are dealt to blocks of about ``BLOCK`` by a hash, and each pair of blocks with members outside is one group: sets travel once
+    for each pair of blocks and no row stands for a pair of members. Pairs that share several buckets are judged in the first.
     """
-    heads = buckets.groupBy("band").agg(F.min("id").alias("head"), F.count("*").alias("n")).where("n > 2").select("band", "head")
-    away = checked.select(F.col("a").alias("head"), F.col("b").alias("id"), (1 - F.col("similarity")).alias("away"))
-    placed = buckets.join(heads, "band").where("id <> head").join(away, ["head", "id"]).select("band", "id", "total", "away")
-    far = placed.where(F.col("away") > 1 - SIMILAR + 1e-9)
-    other = placed.select("band", F.col("id").alias("other"), F.col("total").alias("other_total"), F.col("away").alias("other_away"))
-    fits = (
-        (F.abs(F.col("away") - F.col("other_away")) <= 1 - SIMILAR + 1e-9)
-        & (F.least("total", "other_total") >= SIMILAR * F.greatest("total", "other_total") - 1e-6)
-        & ((F.col("other_away") <= 1 - SIMILAR + 1e-9) | (F.col("id") < F.col("other")))
-    )
-    return (
-        far.join(other, "band").where((F.col("id") != F.col("other")) & fits)
-        .select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
+    own = classes.select(F.col("node").alias("id"), F.col("component").alias("own"))
+    of_head = classes.select(F.col("node").alias("head"), F.col("component").alias("head_class"))
+    placed = headed.join(own, "id", "left").join(of_head, "head", "left").select(
+        "band", "n", "id", F.coalesce("own", "id").alias("own"),
+        (F.coalesce("own", "id") != F.coalesce("head_class", "head")).alias("outside"))
+    placed = frames.store(placed, "near-placed")
+    blocks = lambda c: F.ceil(F.sum(F.col(c).cast("int")) / BLOCK).cast("int")
+    mixed = placed.withColumn("within", ~F.col("outside")).groupBy("band").agg(
+        blocks("outside").alias("out_blocks"), blocks("within").alias("in_blocks")).where("out_blocks > 0")
+    placed = placed.join(mixed, "band")
+    dealt = lambda count: F.pmod(F.xxhash64("id"), F.col(count)).cast("int")
+    upto = lambda count: F.sequence(F.lit(0), F.col(count) - 1)
+    out = placed.where("outside").withColumn("block", dealt("out_blocks"))
+    keys = ("band", "n", "id", "own")
+    groups = (
+        out.select(*keys, F.lit(True).alias("left"), F.lit(False).alias("crossed"), F.explode(upto("out_blocks")).alias("j"), "block")
+        .select(*keys, "left", "crossed", F.least("block", "j").alias("first"), F.greatest("block", "j").alias("second"),
+                (F.col("block") <= F.col("j")).alias("is_first"), (F.col("block") >= F.col("j")).alias("is_second"))
+        .unionByName(out.where("in_blocks > 0").select(
+            *keys, F.lit(True).alias("left"), F.lit(True).alias("crossed"), F.col("block").alias("first"),
+            F.explode(upto("in_blocks")).alias("second"), F.lit(True).alias("is_first"), F.lit(False).alias("is_second")))
+        .unionByName(placed.where("NOT outside").select(
+            *keys, F.lit(False).alias("left"), F.lit(True).alias("crossed"), F.explode(upto("out_blocks")).alias("first"),
+            dealt("in_blocks").alias("second"), F.lit(False).alias("is_first"), F.lit(True).alias("is_second")))
     )
+    full = groups.join(sets.withColumnRenamed("doc_id", "id"), "id").join(bands, "id")
+
+    def compare(table: pa.Table) -> pa.Table:
+        found_a, found_b = [], []
+        rows = {name: table[name].to_pylist() for name in ("id", "own", "is_first", "is_second", "grams", "weights", "bands")}
+        left = [i for i, flag in enumerate(rows["is_first"]) if flag]
+        right = [i for i, flag in enumerate(rows["is_second"]) if flag]
+        if left and right:
+            column = table["n"][0].as_py()
+            ids, classes_of = np.array(rows["id"]), np.array(rows["own"])
+            grams = [np.frombuffer(g, dtype=U) for g in rows["grams"]]
+            weights = [np.frombuffer(w, dtype=np.float32).astype(np.float64) for w in rows["weights"]]
+            totals = np.array([w.sum() for w in weights])
+            shared = np.array(rows["bands"], dtype=np.int64)
+            owner = np.repeat(np.arange(len(left)), [len(grams[i]) for i in left])
+            pool = np.concatenate([grams[i] for i in left])
+            order = np.argsort(pool, kind="stable")
+            pool, owner = pool[order], owner[order]
+            held = np.concatenate([weights[i] for i in left])[order]
+            left_ids, left_totals, left_bands = ids[left], totals[left], shared[left]
+            for i in right:
+                first = (left_bands == shared[i]).argmax(axis=1) == column
+                wanted = first & (classes_of[left] != classes_of[i]) & (left_ids != ids[i])
+                wanted &= np.minimum(left_totals, totals[i]) >= SIMILAR * np.maximum(left_totals, totals[i]) - 1e-6
+                if not wanted.any():
+                    continue
+                low, high = np.searchsorted(pool, grams[i], "left"), np.searchsorted(pool, grams[i], "right")
+                size = high - low
+                ends = np.cumsum(size)
+                at = np.arange(ends[-1]) - np.repeat(ends - size, size) + np.repeat(low, size)
+                both = np.bincount(owner[at], weights=np.minimum(held[at], np.repeat(weights[i], size)), minlength=len(left))
+                alike = both / (left_totals + totals[i] - both) >= SIMILAR - 1e-9
+                for other in left_ids[wanted & alike].tolist():
+                    found_a.append(min(other, int(ids[i])))
+                    found_b.append(max(other, int(ids[i])))
+        return pa.table({"a": pa.array(found_a, pa.int64()), "b": pa.array(found_b, pa.int64())})
+
+    return full.groupBy("band", "crossed", "first", "second").applyInArrow(compare, "a bigint, b bigint").distinct()
+
+
+def linked(checked: DataFrame) -> DataFrame:
+    return checked.where(F.col("similarity") >= SIMILAR - 1e-9).select("a", "b")
+
+
+def member_links(buckets: DataFrame, bands: DataFrame, sets_of) -> DataFrame:
+    """(node, component) over the members. ``sets_of`` makes the weighted sets of the members it is given."""
+    headed = with_heads(buckets)
+    sets = frames.store(sets_of(headed.select(F.col("id").alias("doc_id")).distinct()), "near-sets")
+    fitting = F.least("total", "head_total") >= SIMILAR * F.greatest("total", "head_total") - 1e-6
+    star = headed.where((F.col("id") != F.col("head")) & fitting).select(
+        F.col("head").alias("a"), F.col("id").alias("b"), "score").distinct()
+    star = frames.store(star, "near-star")
+    best = star.groupBy("b").agg(F.max(F.struct("score", (-F.col("a")).alias("least"))).alias("best"))
+    best = best.select((-F.col("best.least")).alias("a"), "b")
+    first = frames.store(similarities(best, sets), "near-first")
+    classes = graph.components(linked(first))
+    of = lambda side: classes.select(F.col("node").alias(side), F.col("component").alias(f"class_{side}"))
+    others = star.select("a", "b").join(best, ["a", "b"], "left_anti").join(of("a"), "a", "left").join(of("b"), "b", "left")
+    others = frames.store(others.where(F.coalesce("class_a", "a") != F.coalesce("class_b", "b")).select("a", "b"), "near-others")
+    links = frames.store(linked(first.unionByName(similarities(others, sets))), "near-links")
+    classes = graph.components(links)
+    rest = frames.store(rest_links(headed, classes, sets, bands), "near-rest")
+    return classes if rest.isEmpty() else graph.components(links.unionByName(rest))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -239,21 +321,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     alike = keyed.groupBy("k1", "k2").agg(F.min("doc_id").alias("id"), F.max("total").alias("total"), F.first("bands").alias("bands"))
     alike = frames.store(alike, "near-alike")
     banded = alike.select("id", "total", F.posexplode("bands").alias("n", "key"))
-    buckets = frames.store(banded.select(F.xxhash64("n", "key").alias("band"), "id", "total"), "near-buckets")
-    fitting = F.col("least") >= SIMILAR * F.col("most") - 1e-6
-    star = frames.store(star_pairs(buckets), "near-star")
-    shared = buckets.groupBy("band").agg(F.count("*").alias("n")).where("n > 1").select("band")
-    inside = buckets.join(shared, "band", "left_semi").select(F.col("id").alias("doc_id")).distinct()
-    representatives = docs.select("doc_id", "text").join(inside, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    sets = frames.store(weighted_sets(representatives, words, idf), "near-sets")
-    checked = frames.store(similarities(star.where(fitting).select("a", "b"), sets), "near-checked")
-    # Members too unlike in total weight were not compared; they count as far away from the smallest one.
-    bound = star.where(~fitting).select("a", "b", (F.col("least") / F.col("most")).alias("similarity"))
-    rest = frames.store(rest_pairs(buckets, checked.unionByName(bound)), "near-rest")
-    second = similarities(rest, sets)
-    links = frames.store(
-        checked.unionByName(second).where(F.col("similarity") >= SIMILAR - 1e-9).select("a", "b"), "near-links")
-    classes = graph.components(links)
+    buckets = banded.select(F.xxhash64("n", "key").alias("band"), "n", "id", "total")
+
+    def sets_of(wanted: DataFrame) -> DataFrame:
+        texts = docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi")
+        return weighted_sets(texts, words, idf)
+
+    classes = member_links(buckets, alike.select("id", "bands"), sets_of)
     of_member = alike.select("k1", "k2", "id").join(classes.withColumnRenamed("node", "id"), "id", "left").select(
         "k1", "k2", F.col("id").alias("member_id"), F.coalesce("component", "id").alias("class_id"))
     found = keyed.select("doc_id", "k1", "k2").join(of_member, ["k1", "k2"]).select("doc_id", "class_id", "member_id")
