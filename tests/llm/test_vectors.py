@@ -86,6 +86,34 @@ def test_dimension_scan_recall(spark, hot):
         assert all(abs(best[i] - s) < 1e-12 for i, s in found if i in best)
 
 
+def test_dimension_scan_row_repeated_over_cells(spark, monkeypatch):
+    """One row 3,000 times fills more cells than there are places; it is one neighbour, and one query, like any other."""
+    monkeypatch.setattr(scan.vectors, "CELL", 128)
+    rows = list(enumerate(clustered(3000, 32, seed=2).tolist()))
+    copied = 40
+    got, wanted = lists(scan.nearest(made(spark, rows + [rows[copied]] * 3000), 20, 20)), exact(rows, 20, 20, lambda x: x, False)
+    assert set(got) == set(wanted) and all(len({i for i, _ in found}) == len(found) == 20 for found in got.values())
+    near = [q for q in wanted if copied in {i for i, _ in wanted[q]}]
+    for asked in (list(wanted), near):
+        assert sum(len({i for i, _ in got[q]} & {i for i, _ in wanted[q]}) for q in asked) >= 0.9 * 20 * len(asked)
+
+
+def test_best_keeps_one_entry_for_a_row_in_every_cell():
+    rng = np.random.default_rng(6)
+    query, mat = rng.normal(size=8), rng.normal(size=(60, 8))
+    mat[0] = query * 3
+    longest = float(np.sqrt((mat * mat).sum(axis=1).max()))
+    block = {"n": [1], "ids": [np.array([900]).tobytes()], "dists": [np.zeros(1).tobytes()],
+             "mat": [scan.vectors.to_bytes(query[None, :])], "extra": [np.array([np.inf]).tobytes()]}
+    best = scan.Best(block, 0, 20, longest, np.eye(9))
+    columns = np.ascontiguousarray(scan.lengthened(mat, longest).T)
+    for _ in range(20):
+        best.visit(np.arange(1), mat[:1], columns[:, :1])
+    best.visit(np.arange(60), mat, columns)
+    rows = best.rows().to_pydict()
+    assert rows["vec_id"] == np.argsort(-(mat @ query))[:20].tolist()
+
+
 def test_dimension_scan_lengths_and_small(spark):
     """Vectors of different lengths: the largest inner product is not the smallest angle."""
     vecs = clustered(1500, 24, seed=3) * np.linspace(0.2, 3, 1500)[:, None].astype(np.float32)

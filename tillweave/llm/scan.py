@@ -78,7 +78,9 @@ def ask(cells: DataFrame, every: int, k: int, longest: float, turned: np.ndarray
                     continue
                 limits = np.empty(len(asked))
                 for place, q in enumerate(asked):
-                    score = np.sort((mat * mat[q]).sum(axis=1)[ids != ids[q]])
+                    others = ids != ids[q]
+                    score = (mat * mat[q]).sum(axis=1)[others]
+                    score = np.sort(score[vectors.one_each(ids[others], score)])
                     least = score[-k] if len(score) >= k else -np.inf
                     limits[place] = (mat[q] @ mat[q]) + longest * longest - 2.0 * least
                 turned_queries = np.column_stack([mat[asked], np.zeros(len(asked))]) @ turned
@@ -112,6 +114,9 @@ class Best:
             if len(alive):
                 own = np.concatenate((self.found[q][0], ids[alive]))
                 score = np.concatenate((self.found[q][1], (mat[alive] * self.asked[q]).sum(axis=1)))
+                # A row can be repeated in several cells; its copies take one place.
+                single = vectors.one_each(own, score)
+                own, score = own[single], score[single]
                 first = vectors.best(own, score, self.k)
                 self.found[q] = own[first], score[first]
                 if len(first) == self.k:

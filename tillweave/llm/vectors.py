@@ -175,6 +175,14 @@ def once(ids: np.ndarray, vecs: np.ndarray) -> np.ndarray:
     return new
 
 
+def one_each(ids: np.ndarray, scores: np.ndarray) -> np.ndarray:
+    """Places of one entry for each id, the one with its highest score."""
+    order = np.lexsort((-scores, ids))
+    first = np.ones(len(ids), dtype=bool)
+    first[1:] = ids[order[1:]] != ids[order[:-1]]
+    return order[first]
+
+
 def best(ids: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
     """Places of the ``k`` highest scores, ties to the smaller id, highest first."""
     if len(scores) > k:
