@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from functools import wraps
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tillweave.llm import frames, language, mixing, packing, passages, sampling
@@ -42,13 +42,19 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 @staged
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of near-duplicates the document with the smallest id stays, once."""
-    classes = frames.store(sampling.near_duplicates(docs.select("doc_id", "text")), "pipeline-classes")
-    others = classes.where(F.col("class_id") != F.col("doc_id")).select("doc_id").distinct()
-    repeated = docs.groupBy("doc_id").count().where("count > 1").select("doc_id")
-    if repeated.isEmpty():
-        return docs.select(*COLUMNS).join(others, "doc_id", "left_anti").select(*COLUMNS)
-    return docs.select(*COLUMNS).join(others, "doc_id", "left_anti").dropDuplicates(["doc_id"]).select(*COLUMNS)
+    """Of each class of near-duplicates the row with the smallest doc_id stays, once.
+
+    Decided for each (doc_id, text), known by a 64-bit hash: different texts of one doc_id have classes of their own, and rows
+    without a doc_id are told apart by their texts and come last in a class. Of equal (doc_id, text) the smallest other columns stay.
+    """
+    rows = docs.select(*COLUMNS, F.xxhash64("doc_id", "text").alias("row"))
+    classes = sampling.near_duplicates(rows.select(F.col("row").alias("doc_id"), "text"))
+    classes = frames.store(classes.select(F.col("doc_id").alias("row"), "class_id").distinct(), "pipeline-classes")
+    named = classes.join(rows.select("row", "doc_id").distinct(), "row")
+    first = named.groupBy("class_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row")).alias("first"))
+    place = F.row_number().over(Window.partitionBy("row").orderBy("lang", "source", "n_chars"))
+    once = rows.withColumn("place", place).where("place = 1")
+    return once.join(first.select("first.row"), "row", "left_semi").select(*COLUMNS)
 
 
 @staged

@@ -41,6 +41,17 @@ def test_awkward_rows(spark, documents, folder):
     assert pipeline.run(spark, f"{folder}/none").count() == 0
 
 
+def test_repeated_and_missing_ids(spark, documents):
+    """Different texts under one doc_id, or under none, are different rows; only exact repeats and later class members go."""
+    text = lambda word: " ".join(f"{word}{i}" for i in range(40))
+    rows = [(1, text("a")), (1, text("a")), (3, text("a")), (3, text("b")), (3, text("c")), (4, text("c")), (4, text("d"))]
+    rows += [(None, text("e")), (None, text("f")), (None, text("e")), (None, text("b"))]
+    got = pipeline.drop_near_duplicates(spark, documents(rows), MIDDLE)
+    assert got.columns == pipeline.COLUMNS
+    wanted = [(1, "a"), (3, "b"), (3, "c"), (4, "d"), (None, "e"), (None, "f")]
+    assert sorted((str(r["doc_id"]), r["text"]) for r in got.collect()) == sorted((str(i), text(word)) for i, word in wanted)
+
+
 def test_every_query_is_registered():
     numbers = {int(name[2:].split("_")[0]) for name in queries.QUERIES}
     assert numbers == set(range(1, 11)) and len(queries.QUERIES) == 10
