@@ -210,6 +210,18 @@ def test_url_filter(spark):
     assert urls.judge(urls.parts(table.where("page_id < 0"), urls.RULES), weights, bias).count() == 0
 
 
+def test_url_sides(spark):
+    """A long path does not hide a host to block, and a path can be to block on its own."""
+    long = "/en/" + "some-quiet-letters-about-the-weather-of-" * 5
+    blocked = [f"http://{host}.example.org{path}" for host in ("casino-win", "cheap-pills") for path in ("", "/", "/en/123", long[:60], long[:200])]
+    blocked += [f"http://example.org/{path}" for path in ("cheap-viagra-pills-casino", "en/12/cheap-viagra-pills-casino.html", "2024/05/page/section/archive/cheap-viagra-pills-casino")]
+    allowed = [f"http://{host}.example.org{path}" for host in ("www", "city-news") for path in ("", "/", "/en/123", "/about", "/river-garden.html", long[:60], long[:200])]
+    frames.ready(spark)
+    table = spark.createDataFrame(list(enumerate(blocked + allowed)), "page_id int, url string")
+    got = {r["page_id"]: r for r in urls.judge(urls.parts(table, urls.RULES), *urls.train(urls.labelled_table(spark))).collect()}
+    assert [(u, round(got[i]["score"], 2)) for i, u in enumerate(blocked + allowed) if (got[i]["verdict"] == "block") != (u in blocked)] == []
+
+
 def test_url_training_is_logistic_regression(spark):
     """The distributed steps equal the same steps in plain Python, and one kind of label alone teaches nothing."""
     table = spark.createDataFrame([("bad-site.com", "/", 1), ("good-site.com", "/a", 0), ("fine.org", "/", 0)], "host string, path string, label int")

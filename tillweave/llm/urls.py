@@ -1,8 +1,9 @@
 """URL filter: host and path rules first, then a logistic regression on hashed character n-grams.
 
 Built from DataFrame and SQL functions only. The features of a URL are the ``GRAM``-character n-grams of its host and of its
-path, kept apart and with all digits read as 0, hashed to ``BUCKETS`` places and counted as present or absent, scaled by one over the root of their number. The regression
-is trained on a small table of labelled URLs by full-batch gradient steps with momentum; each step is one aggregation over
+path, kept apart and with all digits read as 0, hashed to ``BUCKETS`` places and counted as present or absent, scaled by one over the root of their number.
+Host and path are judged each by its own n-grams and the larger probability counts, so a long path takes nothing from its host. The regression
+is trained on a small table of labelled hosts and paths by full-batch gradient steps with momentum; each step is one aggregation over
 that table, and only the ``BUCKETS`` weights pass through the driver.
 
 A rule (host, path prefix, verdict) fits its host and all subdomains if the URL's path starts with its path; the longest
@@ -40,6 +41,8 @@ ALLOW_WORDS = (
     "science", "history", "weather", "sport", "market", "forum", "photo", "river", "north", "house", "paper", "stone", "green",
 )
 PATHS = ("/", "/en/1204", "/de/88.html", "/fr/3301/", "/es/517", "/about", "/2024/05/post.html", "/index.php")
+# Frames of paths whose sign is in their words, short and long, for both kinds.
+PATH_FRAMES = ("/{0}-{1}", "/en/{0}-{1}.html", "/2024/05/page/section/{0}-{1}/archive/index/{2}-{3}/entry/1204.html")
 # Rules of the registered query: (host, path prefix, verdict).
 RULES = [
     ("net", "/", "block"),
@@ -122,20 +125,28 @@ def parts(pages: DataFrame, rules: list[tuple[str, str, str]]) -> DataFrame:
 
 
 def labelled_table(spark: SparkSession) -> DataFrame:
-    """(host, path, label): the small labelled table, 1 for URLs to block. Both kinds share their prefixes, ends and paths."""
-    rows = []
+    """(host, path, label): the small labelled table, 1 for what is to be blocked. A row has a host or a path.
+
+    Both kinds share their prefixes, ends and the frames of their paths; paths without a sign are to be allowed.
+    """
+    rows = [("", path, 0) for path in PATHS]
     for words, label in ((BLOCK_WORDS, 1), (ALLOW_WORDS, 0)):
         for i, word in enumerate(words):
             names = [f"{word}-{words[(i + step) % len(words)]}" for step in (1, 3, 7)] + [f"{word}{words[(i + 2) % len(words)]}"]
             for j, name in enumerate(names):
                 prefix, end = ("", "www.", "blog.", "m.")[(i + j) % 4], ("com", "net", "org")[(i + j) % 3]
-                rows.append((f"{prefix}{name}.example.{end}", PATHS[(i + 2 * j) % len(PATHS)], label))
+                rows.append((f"{prefix}{name}.example.{end}", "", label))
+            near = [words[(i + step) % len(words)] for step in (0, 1, 3, 7)]
+            rows += [("", frame.format(*near), label) for frame in PATH_FRAMES]
     return spark.createDataFrame(rows, "host string, path string, label int")
 
 
 def judge(split: DataFrame, weights: list[float], bias: float) -> DataFrame:
     """(page_id, host, path, rule, verdict, score): the rule's verdict, else block from a probability above ``BLOCK_ABOVE``."""
-    chance = F.lit(1.0) / (F.lit(1.0) + F.exp(-margin(places(F.col("host"), F.col("path")), weights, bias)))
+    none = F.lit("")
+    of_host = F.when(F.col("host") != "", margin(places(F.col("host"), none), weights, bias))
+    of_path = F.when(F.col("path") != "", margin(places(none, F.col("path")), weights, bias))
+    chance = F.lit(1.0) / (F.lit(1.0) + F.exp(-F.coalesce(F.greatest(of_host, of_path), F.lit(bias))))
     learned = F.when(F.col("score") > BLOCK_ABOVE, "block").otherwise("allow")
     return split.withColumn("score", chance).select(
         "page_id", "host", "path", F.col("fits.rule").alias("rule"),
