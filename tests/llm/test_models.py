@@ -272,6 +272,21 @@ def test_licence_scan(documents):
     assert licenses.scan(documents(rows).where("doc_id < 0")).count() == 0
 
 
+def test_licence_with_one_altered_word():
+    """Any one word of a template may be altered, except those that name the licence and its version."""
+    seeds = kernels.stream(licenses.BANDS, 41) | kernels.stream(1, 1).dtype.type(1)
+    groups = licenses.grouped(licenses.TEMPLATES, seeds)
+    found = lambda words: [name for name, *_ in licenses.hits(licenses.words_of(" ".join(words)), groups, seeds)]
+    around = [f"before{i}" for i in range(30)], [f"after{i}" for i in range(30)]
+    for name in ("mit", "cc-by-nc-4.0", "apache-2.0", "gpl-3.0", "bsd-notice", "mit-notice", "gpl-3.0-notice", "cc-by-sa-4.0-notice", "isc-notice", "mpl-2.0-notice", "lgpl-2.1-notice", "agpl-3.0-notice"):
+        words = [word.decode() for word in plain_words(licenses.TEMPLATES[name])]
+        fixed = [word.decode() for phrase in licenses.NAMED.get(name, ()) for word in plain_words(phrase)]
+        assert found(around[0] + words + around[1]) == [name]
+        for i, word in enumerate(words):
+            got = found(around[0] + words[:i] + ["changed"] + words[i + 1 :] + around[1])
+            assert got == [name] or word in fixed and got in ([], [name])
+
+
 # ---- mixing
 
 def test_mixing(spark, documents):
