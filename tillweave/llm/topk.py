@@ -2,8 +2,9 @@
 
 Every vector is keyed by its nearest pivot and its distance to it, and stored in cells sorted by that key. A query first
 searches the cell it lies in; the k-th score found there gives the radius within which anything better must lie, because
-2 * score = |q|^2 + |x|^2 - d(q, x)^2. For each pivot only the annulus of cells that the radius reaches is visited, by the
-triangle inequality |d(q, p) - d(x, p)| <= d(q, x), nearest annulus first, and the radius shrinks on the way.
+2 * score = |q|^2 + |x|^2 - d(q, x)^2. Of each pivot only the annulus that the radius reaches is looked at, by the triangle inequality
+|d(q, p) - d(x, p)| <= d(q, x). The radius is fixed: every (query block, cell) pair is searched on its own, in no order, and as a
+block mixes queries of all pivots, few cells are skipped whole; within a cell each query looks at its own annulus only.
 
 Pivots are centres of a bounded sample (``vectors.FIT_ROWS``); they only decide how much is skipped, never the result.
 
