@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tillweave.llm.language import op10_language
 from tillweave.llm.licenses import op9_license_scan
+from tillweave.llm.merkle import MERKLE_SQL, op12_merkle_manifest
 from tillweave.llm.mixing import op3_mixing
 from tillweave.llm.packing import op2_packing
 from tillweave.llm.passages import op5_suffix_dedup
@@ -24,6 +25,9 @@ QUERIES = {
     "op8_near_duplicates": op8_near_duplicates,
     "op9_license_scan": op9_license_scan,
     "op10_language": op10_language,
+    "op12_merkle_manifest": op12_merkle_manifest,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op12_merkle_manifest": MERKLE_SQL,
+}
