@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tillweave.llm.collocations import COLLOCATIONS_SQL, op13_collocations
 from tillweave.llm.language import op10_language
 from tillweave.llm.licenses import op9_license_scan
 from tillweave.llm.merkle import MERKLE_SQL, op12_merkle_manifest
@@ -26,8 +27,10 @@ QUERIES = {
     "op9_license_scan": op9_license_scan,
     "op10_language": op10_language,
     "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_collocations": op13_collocations,
 }
 
 SQL: dict[str, str] = {
     "op12_merkle_manifest": MERKLE_SQL,
+    "op13_collocations": COLLOCATIONS_SQL,
 }
