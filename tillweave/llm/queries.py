@@ -9,6 +9,7 @@ from tillweave.llm.merkle import MERKLE_SQL, op12_merkle_manifest
 from tillweave.llm.mixing import op3_mixing
 from tillweave.llm.packing import op2_packing
 from tillweave.llm.passages import op5_suffix_dedup
+from tillweave.llm.pii import op11_private_data
 from tillweave.llm.sampling import op8_near_duplicates
 from tillweave.llm.scan import op7_dimension_scan
 from tillweave.llm.topk import op6_exact_top_k
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_near_duplicates": op8_near_duplicates,
     "op9_license_scan": op9_license_scan,
     "op10_language": op10_language,
+    "op11_private_data": op11_private_data,
     "op12_merkle_manifest": op12_merkle_manifest,
     "op13_collocations": op13_collocations,
 }
