@@ -131,7 +131,7 @@ def test_distant_mentions_agree(spark, documents):
     assert [(s["start"], s["end"]) for s in first["spans"]] == [(5, 22), (late, late + 14)]
     for doc in (2, 3, 4, 5, 6):
         assert (doc, ()) in spans
-    assert (None, ((10, 16, "email"),)) in spans
+    assert (None, ((10, 18, "email"),)) in spans
     assert sum(1 for r in found if [s["kind"] for s in r["spans"]] == ["ip"]) == 2
     bare = pii.find(documents(cases[:1]), None, ["doc_id"]).first()
     assert len(bare["spans"]) == len(bare["base"]) == 1
