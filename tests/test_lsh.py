@@ -56,10 +56,9 @@ def test_capped_candidates(sigs, rows, cap):
     assert len(got) == len(expected) and {(r.id_a, r.id_b) for r in got} == expected
 
 
-@pytest.mark.parametrize("cap", [2, 10, 100])
-def test_candidate_counts_do_not_depend_on_the_cap(spark, sigs, rows, cap):
+def test_candidate_counts_are_unions_of_buckets(spark, sigs, rows):
     ids = spark.createDataFrame([(i, "p") for i, _ in rows] + [(999, "q")], "doc_id bigint, portal string")
-    got = {(r.configuration, r.doc_id): r.candidate_count for r in lsh.candidate_counts(lsh.buckets_of_all(sigs), ids, cap).collect()}
+    got = {(r.configuration, r.doc_id): r.candidate_count for r in lsh.candidate_counts(lsh.buckets_of_all(sigs), ids).collect()}
     for name, shape in lsh.CONFIGURATIONS.items():
         near = defaultdict(set)
         for members in brute_buckets(rows, shape).values():
@@ -70,6 +69,40 @@ def test_candidate_counts_do_not_depend_on_the_cap(spark, sigs, rows, cap):
         assert got[name, 999] == 0
 
 
+def test_a_crowded_bucket_makes_no_pairs(spark):
+    """3,000 documents in one bucket, and each with a partner in another: the bitmaps are a few rows, the counts exact."""
+    rows = [("c", 0, 7, i) for i in range(3000)] + [("c", 1 + i % 2, 100 + i // 2, i) for i in range(3000)]
+    rows += [("c", 5, 1, 1), ("c", 5, 1, 5000), ("c", 6, 2, 6000)]
+    buckets = spark.createDataFrame(rows, "configuration string, band int, bucket_hash bigint, doc_id bigint")
+    sets = lsh.member_sets(buckets)
+    assert sets.count() == 2
+    copies = buckets.unionByName(buckets.selectExpr("configuration", "band + 10 AS band", "bucket_hash", "doc_id"))
+    assert lsh.member_sets(copies).select("members").distinct().count() == 2
+    places = lsh.dense_ids(buckets.select("doc_id").distinct(), "doc_id")
+    bits = lsh.bitmaps(buckets.where("band = 0").join(places, "doc_id").select("configuration", "bucket_hash", "place"))
+    assert bits.count() == 1 and bits.selectExpr("bitmap_count(bits) AS n").first().n == 3000
+    ids = spark.createDataFrame([(i,) for i in (0, 1, 5000, 6000)], "doc_id bigint")
+    old = dict(lsh.CONFIGURATIONS)
+    lsh.CONFIGURATIONS.clear()
+    lsh.CONFIGURATIONS["c"] = (1, 1)
+    try:
+        got = {r.doc_id: r.candidate_count for r in lsh.candidate_counts(copies, ids).collect()}
+        plan = plan_text(lsh.candidate_counts(copies, ids))
+    finally:
+        lsh.CONFIGURATIONS.clear()
+        lsh.CONFIGURATIONS.update(old)
+    assert got == {0: 2999, 1: 3000, 5000: 1, 6000: 0}
+    assert "id_a" not in plan
+
+
+def test_dense_numbers(spark):
+    rows = spark.range(1000).selectExpr("id % 7 AS a", "id AS b").repartition(9)
+    got = lsh.dense_ids(rows, "a", "b").collect()
+    assert [(r.a, r.b) for r in sorted(got, key=lambda r: r.place)] == sorted((i % 7, i) for i in range(1000))
+    assert sorted(r.place for r in got) == list(range(1000))
+    assert lsh.dense_ids(rows.where("a > 10"), "a").count() == 0
+
+
 def test_largest_bucket_is_cut_before_the_exchange(sigs):
     plan = plan_text(lsh.candidates(lsh.lsh_buckets(sigs)))
     before, after = plan.split("Exchange", 1)

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillweave.operators.dense import dense_ids
 from tillweave.session import write_through
 
 # The three bandings compared, the bucket caps tried, the cap in use.
@@ -97,52 +98,74 @@ def overfull(buckets: DataFrame, cap: int = CAP) -> DataFrame:
     return bucket_sizes(buckets).where(F.col("bucket_size") > cap).select(*keys)
 
 
-def candidate_counts(buckets: DataFrame, ids: DataFrame, cap: int = CAP) -> DataFrame:
-    """Number of other documents that share any bucket with each document, with no bucket left out.
+def member_sets(buckets: DataFrame) -> DataFrame:
+    """Buckets of two or more documents with their size and ``members``, a hash that tells different sets of documents apart.
 
-    Pairs are only formed in buckets up to ``cap``. Documents of larger buckets are grouped by the set
-    of large buckets they are in; the neighbours through large buckets are sums over such groups, and
-    small-bucket partners that also share a large bucket are not counted twice. The profiles (only
-    documents of large buckets have one, with at most one entry per band) are written once.
+    Exact copies, and near copies that agree in several bands, fill several buckets with the same documents; these are
+    one set from here on.
     """
-    large = buckets.join(overfull(buckets, cap), ["configuration", *BUCKET], "left_semi")
-    profile = write_through(large.groupBy("configuration", "doc_id").agg(
-        F.sort_array(F.collect_list(F.struct(*BUCKET))).alias("profile")
-    ), "profiles")
-    groups = profile.groupBy("configuration", "profile").agg(F.count("*").alias("weight"))
-    entries = groups.select("configuration", "profile", "weight", F.explode("profile").alias("bucket"))
-    linked = (
-        entries.select("configuration", "bucket", "profile")
-        .join(
-            entries.select("configuration", "bucket", F.col("profile").alias("other"), "weight"),
-            ["configuration", "bucket"],
-        )
-        .select("configuration", "profile", "other", "weight")
-        .distinct()
-    )
-    reach = linked.groupBy("configuration", "profile").agg((F.sum("weight") - 1).alias("through_large"))
-    by_large = profile.join(reach, ["configuration", "profile"]).select("configuration", "doc_id", "through_large")
-
-    pairs = _pairs_of(_members(buckets, cap), cap)
-    of = lambda side: profile.select("configuration", F.col("doc_id").alias(f"id_{side}"), F.col("profile").alias(f"profile_{side}"))
-    apart = (
-        pairs.join(of("a"), ["configuration", "id_a"], "left")
-        .join(of("b"), ["configuration", "id_b"], "left")
-        .where(~F.coalesce(F.arrays_overlap("profile_a", "profile_b"), F.lit(False)))
-    )
-    by_small = (
-        apart.select("configuration", F.explode(F.array("id_a", "id_b")).alias("doc_id"))
-        .groupBy("configuration", "doc_id")
-        .agg(F.count("*").alias("through_small"))
+    keys = [c for c in buckets.columns if c != "doc_id"]
+    sized = buckets.groupBy(*keys).agg(
+        F.count("*").alias("bucket_size"),
+        F.bit_xor(F.xxhash64("doc_id")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "doc_id")).alias("y"),
     )
+    return sized.where("bucket_size > 1").select(*keys, "bucket_size", F.xxhash64("bucket_size", "x", "y").alias("members"))
+
+
+def bitmaps(sets: DataFrame) -> DataFrame:
+    """(set key..., chunk, bits): the places of each set as bitmaps of 32,768 bits."""
+    keys = [c for c in sets.columns if c != "place"]
+    number = F.col("place") + 1  # the first bitmap holds the numbers from 1
+    return sets.groupBy(*keys, F.bitmap_bucket_number(number).alias("chunk")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(number)).alias("bits"))
+
+
+def union_sizes(profiles: DataFrame, bits: DataFrame, keys: list[str]) -> DataFrame:
+    """(configuration, profile_id, reach): the number of documents in the union of a profile's sets.
+
+    ``profiles`` has (configuration, profile_id, members), one row for each set of a profile, ``bits`` the bitmaps of the sets.
+    """
+    chunks = profiles.join(bits, [*keys, "members"]).groupBy(*keys, "profile_id", "chunk").agg(
+        F.bitmap_count(F.bitmap_or_agg("bits")).alias("n"))
+    return chunks.groupBy(*keys, "profile_id").agg(F.sum("n").alias("reach"))
+
+
+def candidate_counts(buckets: DataFrame, ids: DataFrame) -> DataFrame:
+    """Number of other documents that share any bucket with each document, with no bucket left out and no pair made.
+
+    The documents that share a bucket with a document are the union of its buckets. Equal buckets are one set, a document's sets are
+    its profile, and a profile of one set needs no union. Each other profile's union is taken once, however many documents
+    have it, by or-ing bitmaps over dense document numbers. Numbers follow the first set of each document, so the members of
+    a set lie close together and a set takes few bitmaps.
+    """
+    sets = write_through(member_sets(buckets), "member_sets")
+    held = buckets.join(sets, ["configuration", *BUCKET]).select("configuration", "doc_id", "members", "bucket_size")
+    profiles = held.groupBy("configuration", "doc_id").agg(F.collect_set(F.struct("members", "bucket_size")).alias("sets"))
+    profiles = write_through(profiles.withColumn("sets", F.sort_array("sets")).withColumn("profile_id", F.xxhash64("sets")), "profiles")
+
+    several = write_through(
+        profiles.where(F.size("sets") > 1).groupBy("configuration", "profile_id").agg(F.first("sets").alias("sets"))
+        .select("configuration", "profile_id", F.explode("sets.members").alias("members")), "unions")
+    needed = several.select("configuration", "members").distinct()
+    shown = sets.join(needed, ["configuration", "members"], "left_semi").groupBy("configuration", "members").agg(
+        F.min(F.struct(*BUCKET)).alias("bucket")).select("configuration", "members", "bucket.*")
+    numbers = dense_ids(
+        profiles.where(F.size("sets") > 1).groupBy("doc_id").agg(F.min(F.col("sets")[0]["members"]).alias("first")), "first", "doc_id")
+    members = buckets.join(shown, ["configuration", *BUCKET]).select("configuration", "members", "doc_id")
+    # Documents of one set only are numbered too: they are in the unions of others.
+    rest = members.select("doc_id").distinct().join(numbers, "doc_id", "left_anti")
+    after = numbers.agg(F.coalesce(F.max("place") + 1, F.lit(0))).first()[0]
+    numbers = numbers.select("doc_id", "place").unionByName(
+        dense_ids(rest, "doc_id").select("doc_id", (F.col("place") + after).alias("place")))
+    bits = write_through(bitmaps(members.join(write_through(numbers, "numbers"), "doc_id").drop("doc_id")), "bitmaps")
+    reach = union_sizes(several, bits, ["configuration"])
+
+    counted = profiles.join(reach, ["configuration", "profile_id"], "left").select(
+        "configuration", "doc_id", (F.coalesce("reach", F.col("sets")[0]["bucket_size"]) - 1).alias("others"))
     names = F.array(*[F.lit(n) for n in CONFIGURATIONS])
     every = ids.select("*", F.explode(names).alias("configuration"))
-    zero = lambda c: F.coalesce(F.col(c), F.lit(0))
-    return (
-        every.join(by_large, ["configuration", "doc_id"], "left")
-        .join(by_small, ["configuration", "doc_id"], "left")
-        .select(*every.columns, (zero("through_large") + zero("through_small")).alias("candidate_count"))
-    )
+    return every.join(counted, ["configuration", "doc_id"], "left").select(
+        *every.columns, F.coalesce("others", F.lit(0)).alias("candidate_count"))
 
 
 def candidate_distribution(counts: DataFrame) -> DataFrame:
