@@ -62,3 +62,35 @@ def test_nothing_is_lost_above_the_cap(spark, cap, threshold):
         clusters.star_clusters(docs.join(copies, "doc_id", "left_anti").select("doc_id", "published_at"), rep_matches), copies)
     expected, _ = one_by_one([(i, i % 7) for i in range(len(texts))], alike, {})
     assert {r.doc_id: r.center for r in stars.collect()} == expected
+
+
+@pytest.mark.parametrize("threshold, size", [(0.5, 8), (0.3, 5), (0.8, 16), (0.5, 1000)])
+def test_blocks_lose_no_match(spark, threshold, size):
+    draw = random.Random(size)
+    common = [draw.randrange(10**9) for _ in range(60)]
+    rows = []
+    for i in range(90):
+        kept = draw.sample(common, draw.randrange(5, 60)) if i % 2 else common[: draw.randrange(10, 60)]
+        rows.append((i, sorted({*kept, *(draw.randrange(10**9) for _ in range(draw.randrange(0, 40)))})))
+    sets = spark.createDataFrame(rows, "doc_id bigint, word5 array<bigint>")
+    cut = overflow.blocks(overflow.rare_first(sets, threshold), threshold, size).cache()
+    met = {(r.id_a, r.id_b) for r in overflow.meetings(cut, threshold).collect()}
+    jaccard = lambda a, b: len(set(a) & set(b)) / len(set(a) | set(b))
+    alike = {(a, b) for (a, x), (b, y) in combinations(rows, 2) if jaccard(x, y) >= threshold}
+    assert alike and alike <= met and all(a < b for a, b in met)
+    if size < 1000:
+        assert cut.where("block IS NOT NULL").count() > 0
+
+
+def test_a_preamble_of_many_documents_makes_bounded_work(spark):
+    """2,000 documents share 90 shingles and have 80 of their own: Jaccard 0.35, so the bounds rule every block pair out."""
+    preamble = list(range(90))
+    rows = [(i, preamble + [1000 + 100 * i + k for k in range(80)]) for i in range(2000)]
+    rows += [(2000 + i, preamble + [1000 + 100 * i + k for k in range(78)]) for i in range(3)]
+    sets = spark.createDataFrame(rows, "doc_id bigint, word5 array<bigint>")
+    postings = overflow.rare_first(sets, 0.5).cache()
+    assert postings.where("docs > 2").count() >= 2000
+    cut = overflow.blocks(postings, 0.5).cache()
+    assert cut.selectExpr("max(size(items)) AS n").first().n <= 2 * overflow.BLOCK
+    assert overflow.block_pairs(cut, 0.5).count() == 0
+    assert {(r.id_a, r.id_b) for r in overflow.meetings(cut, 0.5).collect()} == {(i, 2000 + i) for i in range(3)}

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import math
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillweave.operators import lsh
@@ -10,6 +12,11 @@ from tillweave.operators.shingles import pair_jaccard
 from tillweave.session import write_through
 
 
+# Documents of one shingle in a block, and what comparisons of sizes leave for rounding.
+BLOCK = 128
+SLACK = 1e-6
+
+
 def content_groups(docs: DataFrame, sets: DataFrame, column: str = "word5") -> DataFrame:
     """(doc_id, rep): documents with the same shingle set share the earliest of them as ``rep``.
 
@@ -33,39 +40,98 @@ def content_groups(docs: DataFrame, sets: DataFrame, column: str = "word5") -> D
     return keyed.join(shared, ["k1", "k2"], "left").select("doc_id", F.coalesce("rep", "doc_id").alias("rep"))
 
 
+def rare_first(sets: DataFrame, threshold: float) -> DataFrame:
+    """(shingle, docs, doc_id, n, place): the shared shingles among each set's rarest n - ceil(t * n) + 1, with their places.
+
+    Two sets with Jaccard >= t have one of these in common.
+    """
+    long = sets.select("doc_id", F.size("word5").alias("n"), F.explode("word5").alias("shingle"))
+    frequency = long.groupBy("shingle").agg(F.count("*").alias("docs"))
+    order = Window.partitionBy("doc_id").orderBy("docs", "shingle")
+    length = F.col("n") - F.ceil(F.col("n") * threshold - SLACK) + 1
+    placed = long.join(frequency, "shingle").withColumn("place", F.row_number().over(order))
+    return placed.where((F.col("place") <= length) & (F.col("docs") > 1)).select("shingle", "docs", "doc_id", "n", "place")
+
+
+def may_match(n_a: Column, rest_a: Column, n_b: Column, rest_b: Column, threshold: float) -> Column:
+    """Can two sets that meet in a shingle with ``rest`` shingles behind it reach the threshold?
+
+    Their sizes have to fit, and if this is the first shingle they share, the common ones are it and at most the smaller
+    rest. A pair that fails here is either too different or was found at an earlier shingle.
+    """
+    sizes = F.least(n_a, n_b) >= F.greatest(n_a, n_b) * threshold - SLACK
+    return sizes & (F.least(rest_a, rest_b) + 1 >= (n_a + n_b) * (threshold / (1 + threshold)) - SLACK)
+
+
+def blocks(postings: DataFrame, threshold: float, size: int = BLOCK) -> DataFrame:
+    """(shingle, block, items, bounds): the documents of each shingle in blocks of about ``size``, with bounds on what they hold.
+
+    A shingle of at most ``size`` documents is one block. Others are cut by set size, in steps that no match is wider than two of, and
+    within a step by a hash of the document, so a shingle that a third of all documents have is spread over as many rows as needed.
+    """
+    hot = F.col("docs") > size
+    step = F.floor(F.log(F.col("n").cast("double")) / math.log(1 / threshold)) if threshold < 1 else F.col("n")
+    part = F.pmod(F.xxhash64("doc_id"), F.ceil(F.col("docs") / size))
+    block = F.when(hot, F.struct(step.cast("bigint").alias("step"), part.cast("bigint").alias("part")))
+    rest = (F.col("n") - F.col("place")).alias("rest")
+    return postings.select("shingle", block.alias("block"), "doc_id", "n", rest).groupBy("shingle", "block").agg(
+        F.collect_list(F.struct("doc_id", "n", "rest")).alias("items"),
+        F.min("n").alias("n_min"), F.max("n").alias("n_max"), F.max("rest").alias("rest_max"))
+
+
+def block_pairs(cut: DataFrame, threshold: float) -> DataFrame:
+    """(shingle, block_a, block_b): the blocks of frequent shingles that can hold a match, by their bounds alone; each pair once."""
+    side = lambda s: cut.where("block IS NOT NULL").select(
+        "shingle", *[F.col(c).alias(f"{c}_{s}") for c in ("block", "n_min", "n_max", "rest_max")])
+    fits = (
+        (F.col("block_a") <= F.col("block_b"))
+        & (F.col("n_max_a") >= F.col("n_min_b") * threshold - SLACK) & (F.col("n_max_b") >= F.col("n_min_a") * threshold - SLACK)
+        & (F.least("rest_max_a", "rest_max_b") + 1 >= (F.col("n_min_a") + F.col("n_min_b")) * (threshold / (1 + threshold)) - SLACK)
+    )
+    return side("a").join(side("b"), "shingle").where(fits).select("shingle", "block_a", "block_b")
+
+
+def _met(a: Column, b: Column, threshold: float, keep) -> Column:
+    """Pairs (id_a, id_b) of the items ``a`` x ``b`` that pass ``keep`` and may match, one row of pairs for each item of ``a``."""
+    found = F.filter(b, lambda y: keep(a, y) & may_match(a["n"], a["rest"], y["n"], y["rest"], threshold))
+    return F.transform(found, lambda y: F.struct(
+        F.least(a["doc_id"], y["doc_id"]).alias("id_a"), F.greatest(a["doc_id"], y["doc_id"]).alias("id_b")))
+
+
+def meetings(cut: DataFrame, threshold: float) -> DataFrame:
+    """Distinct pairs (id_a, id_b) that meet in a shingle where they may match.
+
+    A row of work is one document against one block, so what a task holds does not depend on how frequent a shingle is.
+    """
+    later = lambda x, y: x["doc_id"] < y["doc_id"]
+    inside = cut.where("block IS NULL AND size(items) > 1").select("items", F.explode("items").alias("item"))
+    near = inside.select(F.explode(_met(F.col("item"), F.col("items"), threshold, later)).alias("pair"))
+    pairs = write_through(block_pairs(cut, threshold), "block_pairs")
+    holds = lambda s: cut.select("shingle", F.col("block").alias(f"block_{s}"), F.col("items").alias(f"items_{s}"))
+    faced = (
+        pairs.join(holds("a"), ["shingle", "block_a"]).join(holds("b"), ["shingle", "block_b"])
+        .select((F.col("block_a") == F.col("block_b")).alias("own"), F.explode("items_a").alias("item"), "items_b")
+    )
+    other = lambda x, y: ~F.col("own") | later(x, y)
+    far = faced.select(F.explode(_met(F.col("item"), F.col("items_b"), threshold, other)).alias("pair"))
+    return near.unionByName(far).select("pair.*").distinct()
+
+
 def crowded_matches(
     buckets: DataFrame, sets: DataFrame, sigs: DataFrame, threshold: float,
     cap: int = lsh.CAP, bands: int = 32, rows: int = 4,
 ) -> DataFrame:
     """(id_a, id_b, jaccard) of all pairs at or above ``threshold`` that share a bucket above ``cap``.
 
-    A bucket is never paired with itself. Two sets with Jaccard >= t share one of the rarest
-    n - ceil(t * n) + 1 shingles of each, so only documents that meet in such a rare shingle and are
-    of fitting size are compared.
+    A bucket is never paired with itself. Documents are compared if they meet in one of their rarest shingles and the
+    places of that shingle leave room for a match; frequent shingles are searched block by block.
     """
     large = write_through(lsh.overfull(buckets, cap), "crowded_buckets")
     inside = write_through(
         buckets.join(large, list(lsh.BUCKET), "left_semi").select("doc_id").distinct(), "crowded_docs"
     )
-    long = (
-        sets.join(inside, "doc_id", "left_semi")
-        .select("doc_id", F.size("word5").alias("n"), F.explode("word5").alias("shingle"))
-    )
-    frequency = long.groupBy("shingle").agg(F.count("*").alias("docs"))
-    rarest_first = Window.partitionBy("doc_id").orderBy("docs", "shingle")
-    prefix_length = F.col("n") - F.ceil(F.col("n") * threshold - 1e-6) + 1
-    prefix = (
-        long.join(frequency, "shingle")
-        .withColumn("place", F.row_number().over(rarest_first))
-        .where((F.col("place") <= prefix_length) & (F.col("docs") > 1))
-        .select("shingle", "doc_id", "n")
-    )
-    side = lambda s: prefix.select("shingle", F.col("doc_id").alias(f"id_{s}"), F.col("n").alias(f"n_{s}"))
-    fitting = F.least("n_a", "n_b") >= F.greatest("n_a", "n_b") * threshold - 1e-6
-    met = (
-        side("a").join(side("b"), "shingle").where((F.col("id_a") < F.col("id_b")) & fitting)
-        .select("id_a", "id_b").distinct()
-    )
+    postings = rare_first(sets.join(inside, "doc_id", "left_semi"), threshold)
+    met = write_through(meetings(write_through(blocks(postings, threshold), "blocks"), threshold), "met")
     scored = pair_jaccard(met, sets).where(F.col("jaccard") >= threshold)
     return (
         lsh.with_signatures(scored, sigs)
