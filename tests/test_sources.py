@@ -52,17 +52,42 @@ def test_jdbc_scan_is_split_into_ranges():
     assert "partitionColumn" not in masters.jdbc_options("jdbc:postgresql://db/x", "stores")
 
 
+def rows_of(df):
+    return sorted(map(tuple, df.collect()))
+
+
 def test_table_updates(spark, folder):
-    path = f"{folder}/t"
-    schema = "k int, p int, v string"
-    spark.createDataFrame([(1, 0, "a"), (1, 1, "b")], schema).write.parquet(path)
+    path, schema = f"{folder}/t", "k int, p int, v string"
+    tables.replace(spark.createDataFrame([(1, 0, "a"), (1, 1, "b")], schema), path)
     more = spark.createDataFrame([(1, 1, "x"), (2, 0, "c")], schema)
-    for _ in range(3):
-        tables.append_absent(more, path, ["k", "p"])
-    assert sorted(map(tuple, spark.read.parquet(path).collect())) == [(1, 0, "a"), (1, 1, "b"), (2, 0, "c")]
+    made = [tables.append_absent(more, path, ["k", "p"]) for _ in range(3)]
+    assert made == [2, 2, 2] and rows_of(tables.read_table(spark, path)) == [(1, 0, "a"), (1, 1, "b"), (2, 0, "c")]
     for _ in range(2):
         tables.upsert_table(more, path, ["k", "p"])
-    assert sorted(map(tuple, spark.read.parquet(path).collect())) == [(1, 0, "a"), (1, 1, "x"), (2, 0, "c")]
+    assert rows_of(tables.read_table(spark, path)) == [(1, 0, "a"), (1, 1, "x"), (2, 0, "c")]
+
+
+def test_a_reader_keeps_its_version(spark, folder):
+    path = f"{folder}/t"
+    data = lambda: {name for name in os.listdir(path) if name.startswith("data-")}
+    with pytest.raises(FileNotFoundError):
+        tables.read_table(spark, path)
+    tables.replace(spark.range(3), path)
+    first = tables.read_table(spark, path)
+    before = data()
+    assert tables.replace(first.selectExpr("id + 10 AS id"), path) == 2
+    assert len(data() - before) == 1 and before <= data()
+    assert rows_of(first) == [(0,), (1,), (2,)] == rows_of(tables.read_table(spark, path, 1))
+    assert rows_of(tables.read_table(spark, path)) == [(10,), (11,), (12,)]
+    before = data()
+    assert tables.append(spark.range(1), path) == 3 and len(data() - before) == 1
+    assert rows_of(tables.read_table(spark, path)) == [(0,), (10,), (11,), (12,)]
+    tables.expire(spark, path, keep=2)
+    assert tables.versions(spark, path) == [2, 3] and len(data()) == 2
+    assert rows_of(tables.read_table(spark, path, 2)) == [(10,), (11,), (12,)]
+    with pytest.raises(tables.VersionConflict):
+        tables._commit(spark, path, 3, [])
+    assert tables.versions(spark, path) == [2, 3] and len(tables.folders(spark, path, 3)) == 2
 
 
 def test_csv_sink(spark, folder):

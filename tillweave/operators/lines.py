@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillweave.functions.digest import digest_words
+from tillweave.functions.digest import digest_words, row_text
 from tillweave.functions.money import VOID
 
 LINE_KEY = ("bill_no", "line_no")
@@ -62,8 +62,8 @@ def table_checksum(df: DataFrame, cols: Sequence[str] = LINE_COLUMNS) -> DataFra
     high, low = digest_words(cols)
     total = df.select(high.alias("high"), low.alias("low")).agg(
         F.count("*").alias("row_count"),
-        F.coalesce(F.sum(F.col("high").cast("decimal(19,0)")), F.lit(0)).alias("high"),
-        F.coalesce(F.sum(F.col("low").cast("decimal(19,0)")), F.lit(0)).alias("low"),
+        F.coalesce(F.sum(F.col("high").cast("decimal(28,0)")), F.lit(0)).alias("high"),
+        F.coalesce(F.sum(F.col("low").cast("decimal(28,0)")), F.lit(0)).alias("low"),
     )
     return total.select(
         "row_count",
@@ -71,6 +71,31 @@ def table_checksum(df: DataFrame, cols: Sequence[str] = LINE_COLUMNS) -> DataFra
     )
 
 
+def _digest_of(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """(keys, digest, rows): the digest of a group's digests in order."""
+    listed = F.array_sort(F.collect_list(F.struct(*order, "digest")))
+    return rows.groupBy(*keys).agg(
+        F.md5(F.array_join(F.transform(listed, lambda r: r["digest"]), "")).alias("digest"), F.sum("rows").alias("rows"))
+
+
+def ordered_checksum(
+    df: DataFrame, cols: Sequence[str] = LINE_COLUMNS, store: str = "store_id", day: str = "business_date",
+    order: Sequence[str] = LINE_KEY,
+) -> DataFrame:
+    """Row count and a checksum of the rows in the order of (store, day, ``order``).
+
+    A tree of digests: rows in order give the digest of a store's day, days in order that of the store, stores in order that of
+    the table. The largest group is one store's day, or the days of one store; equal rows are ordered by their digests.
+    """
+    rows = df.select(store, day, *order, F.md5(row_text(cols)).alias("digest"), F.lit(1).cast("bigint").alias("rows"))
+    days = _digest_of(rows, [store, day], order)
+    stores = _digest_of(days, [store], [day])
+    table = stores.agg(F.array_sort(F.collect_list(F.struct(store, "digest"))).alias("listed"), F.sum("rows").alias("rows"))
+    return table.select(
+        F.coalesce("rows", F.lit(0)).alias("row_count"),
+        F.md5(F.array_join(F.transform("listed", lambda r: r["digest"]), "")).alias("checksum"))
+
+
 def prove_rerun(job: Callable[[], DataFrame], times: int = 3) -> DataFrame:
     """Run a loading job ``times`` times; one row (run, row_count, checksum) for each."""
     log = []

@@ -181,6 +181,7 @@ QUERIES = {
     "conflicting_keys": lambda r: lines.conflicting_keys(r.raw()),
     "dedup_lines": lambda r: r.clean(),
     "table_checksum": lambda r: lines.table_checksum(r.clean()),
+    "ordered_checksum": lambda r: lines.ordered_checksum(r.clean()),
     "table_counts": table_counts,
     "line_type_counts": lambda r: lines.line_type_counts(r.clean()),
     "line_type_filter": line_type_filter,
