@@ -32,8 +32,8 @@ from tillweave.llm import frames, kernels, transducer
 WORDS = 5
 LEAST = 100
 KEEP = 2000
-SHARD = 6 << 20
-RANGE = 16 << 20
+SHARD = 4 << 20
+RANGE = 8 << 20
 SAMPLE = 96 << 10
 EVERY = 64
 BORDER = 32
@@ -145,20 +145,23 @@ def shard_transducers(texts: DataFrame, cuts: dict[str, list[tuple[bytes, ...]]]
                     blob = transducer.pack(transducer.build(part, weights[first:end]), own)
                     yield pa.RecordBatch.from_pydict({
                         "lang": pa.array([lang], pa.string()), "range": pa.array([number], pa.int32()),
-                        "n": pa.array([int(weights[first:end].sum())], pa.int64()), "blob": pa.array([blob], pa.binary())})
+                        "n": pa.array([int(weights[first:end].sum())], pa.int64()), "blob": pa.array([blob], pa.list_(pa.binary()))})
 
-    return texts.mapInArrow(work, "lang string, range int, n bigint, blob binary")
+    return texts.mapInArrow(work, "lang string, range int, n bigint, blob array<binary>")
 
 
 def phrase_counts(blobs: DataFrame, cuts: dict[str, list[tuple[bytes, ...]]], size: int, least: int) -> DataFrame:
-    """(lang, home, phrase, m, f): every phrase of one to ``size`` words with at least ``least`` windows; home is its own range."""
+    """(lang, home, phrase, m, f): every phrase of one to ``size`` words with at least ``least`` windows; home is its own range.
+
+    A row without a phrase, of no words, holds the number of windows of a range.
+    """
 
     def unite(key, group):
         lang, number = key[0].as_py(), key[1].as_py()
         own = cuts.get(lang, [])
         found, names = transducer.union(group["blob"].to_pylist(), least, own[max(number - 1, 0) : number + 1])
         listed = names.to_pylist()
-        phrases, lengths, counts, opened, homes = [], [], [], [], []
+        phrases, lengths, counts, opened, homes = [None], [0], [sum(group["n"].to_pylist())], [False], [number]
         for depth, (paths, weight, is_open) in enumerate(found):
             tuples = [tuple(listed[label - 1] for label in row) for row in paths.tolist()]
             phrases += [b" ".join(row).decode() for row in tuples]
@@ -231,9 +234,9 @@ def collocations(docs: DataFrame, size: int = WORDS, least: int = LEAST, within:
     """
     texts = docs.select(F.coalesce("lang", F.lit(UNKNOWN)).alias("lang"), "text")
     cuts = borders(texts, size, range_bytes)
-    blobs = frames.store(shard_transducers(texts, cuts, size), "phrase-shards")
-    totals = blobs.groupBy("lang").agg(F.sum("n").alias("n"))
-    counts = frames.store(phrase_counts(blobs, cuts, size, least), "phrase-counts")
+    found = frames.store(phrase_counts(shard_transducers(texts, cuts, size), cuts, size, least), "phrase-counts")
+    totals = found.where("m = 0").groupBy("lang").agg(F.sum("f").alias("n"))
+    counts = found.where("m > 0")
     several = counts.where("m > 1").select("lang", "phrase", "m", F.col("f").alias("a"))
 
     ends = F.array(F.expr("substring_index(phrase, ' ', m - 1)"), F.expr("substring_index(phrase, ' ', 1 - m)"))

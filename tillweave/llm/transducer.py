@@ -18,7 +18,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 ARC = np.dtype([("label", "<i4"), ("target", "<i4"), ("weight", "<i8")])
-ZSTD = pa.ipc.IpcWriteOptions(compression="zstd")
+CODEC = pa.Codec("zstd", compression_level=1)
 
 
 def alphabet(words: pa.Array) -> tuple[np.ndarray, pa.Array]:
@@ -133,31 +133,50 @@ def used(columns: list[np.ndarray], words: pa.Array) -> tuple[list[np.ndarray],
     return [fresh[c] for c in columns], words.take(pa.array(labels - 1))
 
 
-def pack(levels: list[tuple[np.ndarray, np.ndarray]], words: pa.Array) -> bytes:
-    """A transducer as compressed bytes."""
-    parts = {"words": words.cast(pa.large_binary())}
-    for depth, (offsets, arcs) in enumerate(levels):
-        parts[f"states{depth}"] = pa.array(np.diff(offsets).astype(np.int32))
-        for name in ARC.names:
-            parts[f"{name}{depth}"] = pa.array(np.ascontiguousarray(arcs[name]))
-    row = {name: pa.LargeListArray.from_arrays(pa.array([0, len(values)], pa.int64()), values) for name, values in parts.items()}
-    batch = pa.RecordBatch.from_pydict(row)
+def squeezed(values: np.ndarray) -> bytes:
+    """Whole numbers as compressed byte planes: lowest bytes first, the highest bytes are mostly zero."""
+    values = np.ascontiguousarray(values)
+    return CODEC.compress(np.ascontiguousarray(values.view(np.uint8).reshape(len(values), values.itemsize).T).tobytes(), asbytes=True)
+
+
+def spread(blob: bytes, count: int, kind: str) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    planes = np.frombuffer(CODEC.decompress(blob, count * width, asbytes=True), dtype=np.uint8)
+    return np.ascontiguousarray(planes.reshape(width, count).T).view(kind).reshape(count)
+
+
+def pack(levels: list[tuple[np.ndarray, np.ndarray]], words: pa.Array) -> list[bytes]:
+    """A transducer as compressed pieces: the alphabet, then five for each depth.
+
+    States are numbered as they first occur, so a target is kept as its distance from the next new number, 0 for a new state.
+    """
+    batch = pa.RecordBatch.from_pydict({"word": words.cast(pa.large_binary())})
     sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, batch.schema, options=ZSTD) as out:
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
         out.write_batch(batch)
-    return sink.getvalue().to_pybytes()
+    blob = [sink.getvalue().to_pybytes()]
+    for offsets, arcs in levels:
+        target = arcs["target"].astype(np.int64)
+        top = np.maximum.accumulate(np.concatenate(([-1], target)))[:-1] if len(target) else target
+        blob.append(np.array([len(offsets) - 1, len(arcs)], dtype="<i8").tobytes())
+        blob += [squeezed(np.diff(offsets).astype("<i4")), squeezed(arcs["label"]), squeezed((top + 1 - target).astype("<i4")),
+                 squeezed(arcs["weight"])]
+    return blob
+
+
+def unpack_words(blob: list[bytes]) -> pa.Array:
+    return pa.ipc.open_stream(blob[0]).read_all()["word"].combine_chunks()
 
 
-def unpack(blob: bytes) -> tuple[list[tuple[np.ndarray, np.ndarray]], pa.Array]:
-    batch = pa.ipc.open_stream(blob).read_next_batch()
-    values = {name: batch.column(name).values for name in batch.schema.names}
-    levels = []
-    for depth in range((len(values) - 1) // 4):
-        arcs = np.zeros(len(values[f"label{depth}"]), dtype=ARC)
-        for name in ARC.names:
-            arcs[name] = values[f"{name}{depth}"].to_numpy()
-        levels.append((np.concatenate(([0], np.cumsum(values[f"states{depth}"].to_numpy()))).astype(np.int64), arcs))
-    return levels, values["words"]
+def unpack_level(blob: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """(offsets, arcs) of one depth, so that a union holds one depth of one transducer at a time."""
+    sizes, states, label, back, weight = blob[1 + 5 * depth : 6 + 5 * depth]
+    count, total = np.frombuffer(sizes, dtype="<i8").tolist()
+    arcs = np.empty(total, dtype=ARC)
+    arcs["label"], arcs["weight"] = spread(label, total, "<i4"), spread(weight, total, "<i8")
+    distance = spread(back, total, "<i4")
+    arcs["target"] = np.cumsum(distance == 0) - (distance == 0) - distance
+    return np.concatenate(([0], np.cumsum(spread(states, count, "<i4")))).astype(np.int64), arcs
 
 
 def leaving(offsets: np.ndarray, states: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -168,34 +187,38 @@ def leaving(offsets: np.ndarray, states: np.ndarray) -> tuple[np.ndarray, np.nda
     return owner, start + np.arange(len(owner))
 
 
-def union(blobs: list[bytes], least: int, borders: list[tuple[bytes, ...]]):
+def union(blobs: list[list[bytes]], least: int, borders: list[tuple[bytes, ...]]):
     """Sum transducers: (phrase labels from the root, weight, open) by depth, and the common alphabet.
 
     Only phrases of at least ``least`` windows are followed, as no longer phrase has more; those that are the beginning of one of the
     ``borders`` are followed always and marked open, since windows beyond the border may begin with them too.
     """
-    parts = [unpack(blob) for blob in blobs]
-    labels, words = alphabet(pa.concat_arrays([own for _, own in parts]))
-    start = np.concatenate(([0], np.cumsum([len(own) for _, own in parts])))
+    own = [unpack_words(blob) for blob in blobs]
+    labels, words = alphabet(pa.concat_arrays(own))
+    start = np.concatenate(([0], np.cumsum([len(part) for part in own])))
     names = words.to_pylist()
     at = lambda word: (lambda i: i + 1 if i < len(names) and names[i] == word else -1)(bisect_left(names, word))
     marks = [[at(word) for word in border] for border in borders]
-    node = np.zeros(len(parts), dtype=np.int64)  # which united state each followed state belongs to
-    state = np.arange(len(parts))
+    part = np.arange(len(blobs))  # of each followed state: its transducer, its number there, the united state that it belongs to
+    state = np.zeros(len(blobs), dtype=np.int64)
+    node = np.zeros(len(blobs), dtype=np.int64)
     paths = np.zeros((1, 0), dtype=np.int64)
     on_border = np.ones((1, len(marks)), dtype=bool)
     found = []
-    for depth in range(len(parts[0][0])):
-        tables = [levels[depth] for levels, _ in parts]
-        below = [len(levels[depth + 1][0]) - 1 if depth + 1 < len(levels) else 0 for levels, _ in parts]
-        bases = np.concatenate(([0], np.cumsum([len(offsets) - 1 for offsets, _ in tables])))
-        arc_bases = np.concatenate(([0], np.cumsum([len(arcs) for _, arcs in tables])))
-        offsets = np.concatenate([o[:-1] + b for (o, _), b in zip(tables, arc_bases)] + [arc_bases[-1:]])
-        part = np.searchsorted(bases, state, side="right") - 1
-        owner, arc = leaving(offsets, state)
-        arcs = np.concatenate([a for _, a in tables])[arc]
+    for depth in range((len(blobs[0]) - 1) // 5):
+        leaving_arcs, owners = [], []
+        first = np.searchsorted(part, np.arange(len(blobs) + 1))
+        for number, blob in enumerate(blobs):
+            mine = slice(first[number], first[number + 1])
+            if first[number + 1] > first[number]:
+                offsets, arcs = unpack_level(blob, depth)
+                owner, arc = leaving(offsets, state[mine])
+                leaving_arcs.append(arcs[arc])
+                owners.append(owner + first[number])
+        arcs = np.concatenate(leaving_arcs) if owners else np.zeros(0, dtype=ARC)
+        owner = np.concatenate(owners) if owners else np.zeros(0, dtype=np.int64)
         part = part[owner]
-        label = labels[start[part] + arcs["label"] - 1] if len(arc) else np.zeros(0, dtype=np.int64)
+        label = labels[start[part] + arcs["label"] - 1]
         order = sort_rows([node[owner], label])
         parent, label, part, arcs = node[owner][order], label[order], part[order], arcs[order]
         new = np.ones(len(order), dtype=bool)
@@ -211,8 +234,8 @@ def union(blobs: list[bytes], least: int, borders: list[tuple[bytes, ...]]):
         found.append((paths, weight[keep], on[keep].any(axis=1)))
         fresh = np.where(keep, np.cumsum(keep) - 1, -1)[np.cumsum(new) - 1]
         followed = fresh >= 0
-        target_bases = np.concatenate(([0], np.cumsum(below)[:-1]))
-        node, state = fresh[followed], (arcs["target"] + target_bases[part])[followed]
+        back = np.flatnonzero(followed)[np.argsort(part[followed], kind="stable")]
+        part, node, state = part[back], fresh[back], arcs["target"][back].astype(np.int64)
         on_border = on[keep]
     return found, words
 
