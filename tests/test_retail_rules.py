@@ -109,33 +109,61 @@ def test_calendar_has_one_row_per_day(spark):
     assert (first.day_of_week_num, first.day_of_week, first.month_name) == (1, "Monday", "January")
 
 
-def test_missing_days(spark, clean):
-    gaps = calendar.missing_days(clean.where("store_id = 'S07'"))
-    assert [str(r.business_date) for r in gaps.orderBy("business_date").collect()] == ["2024-07-03", "2024-07-04"]
-    stores = spark.createDataFrame([("S07",), ("S12",)], "store_id string")
-    wide = calendar.missing_days(clean, "2024-07-01", "2024-07-31", stores)
-    counts = {r.store_id: r["count"] for r in wide.groupBy("store_id").count().collect()}
-    assert counts == {"S07": 29, "S12": 31}
+def test_missing_days_follow_the_declared_ranges(spark, clean):
+    """Edges count, a store that never sent anything counts, days before the opening and after the closing do not."""
+    stores = spark.sql("""select * from values ('S07', date'2024-07-01', cast(null as date)), ('S11', date'2019-01-01', date'2024-07-03'),
+        ('S12', date'2024-07-14', null), ('S99', date'2030-01-01', null) as t(store_id, opened_on, closed_on)""")
+    dates = calendar.dim_date(spark, "2024-07-01", "2024-07-16")
+    ranges = calendar.trading_ranges(stores, dates)
+    assert {r.store_id: (r.lo.day, r.hi.day) for r in ranges.collect()} == {"S07": (1, 16), "S11": (1, 3), "S12": (14, 16)}
+    gaps = {}
+    for r in calendar.missing_days(clean, ranges).collect():
+        gaps.setdefault(r.store_id, set()).add(r.business_date.day)
+    assert gaps == {"S07": set(range(1, 17)) - {2, 5}, "S11": {1, 3}, "S12": {14, 15, 16}}
+    assert calendar.trading_ranges(stores.drop("closed_on"), dates).where("store_id = 'S11'").first().hi.day == 16
+
+
+def test_expected_takings_are_medians_of_store_and_weekday(spark):
+    days = [("S1", f"2024-01-{d:02d}", v) for d, v in ((1, 100), (8, 110), (15, 9000), (2, 50))]  # three Mondays, one Tuesday
+    daily = spark.createDataFrame(days, "store_id string, d string, revenue int").selectExpr(
+        "store_id", "date(d) business_date", "cast(revenue as decimal(24,5)) revenue")
+    expected = reconcile.expected_takings(daily.unionByName(daily.where("business_date = '2024-01-02'")))
+    assert {(r.day_of_week_num, int(r.expected)) for r in expected.collect()} == {(1, 110), (2, 100)}
+    missing = spark.sql("""select * from values ('S1', date'2024-01-22'), ('S1', date'2024-01-09'), ('S1', date'2024-01-10'),
+        ('S2', date'2024-02-05') as t(store_id, business_date)""")
+    sizes = {r.month: (r.missing_store_days, int(r.expected_gap)) for r in reconcile.gap_sizes(missing, expected).collect()}
+    assert sizes == {"2024-01": (3, 210), "2024-02": (1, 0)}
 
 
 def test_causes_of_differences(spark):
-    rules = spark.createDataFrame(
-        [("2024-01", 100, 90, 80), ("2024-02", 100, 90, 80), ("2024-03", 100, 90, 80), ("2024-04", 100, 90, 80), ("2024-06", 100, 90, 80)],
-        "month string, canonical int, fact_script int, cross_system int",
-    ).select("month", *[F.col(c).cast("decimal(18,2)").alias(c) for c in ("canonical", "fact_script", "cross_system")])
-    finance = spark.createDataFrame(
-        [("2024-01", 100), ("2024-02", 80), ("2024-03", 140), ("2024-04", 140), ("2024-05", 7)], "month string, v int"
-    ).select("month", F.col("v").cast("decimal(18,2)").alias("revenue_inr"))
-    missing = spark.sql("select 'S07' store_id, date'2024-03-09' business_date")
-    causes = {r.month: r.cause for r in reconcile.label_causes(rules, finance, missing).collect()}
+    months = [f"2024-{m:02d}" for m in range(1, 10)]
+    rules = spark.createDataFrame([(m, 100, 90, 80) for m in months if m != "2024-05"],
+                                  "month string, canonical int, fact_script int, cross_system int")
+    rules = rules.select("month", *[F.col(c).cast("decimal(18,2)").alias(c) for c in ("canonical", "fact_script", "cross_system")])
+    figures = {"2024-01": 100, "2024-02": 80, "2024-03": 140, "2024-04": 140, "2024-05": 7, "2024-07": 70, "2024-08": 140, "2024-09": 90}
+    finance = spark.createDataFrame(list(figures.items()), "month string, v int").select(
+        "month", F.col("v").cast("decimal(18,2)").alias("revenue_inr"))
+    # Three days of 45 missing in March; in July the pipeline has more, in August far too little is missing, in April nothing.
+    gaps = spark.createDataFrame([("2024-01", 1, 5), ("2024-03", 3, 45), ("2024-07", 3, 30), ("2024-08", 1, 4)],
+                                 "month string, missing_store_days bigint, g int").select(
+        "month", "missing_store_days", F.col("g").cast("decimal(18,2)").alias("expected_gap"))
+    causes = {r.month: r.cause for r in reconcile.label_causes(rules, finance, gaps).collect()}
     assert causes == {
-        "2024-01": "match", "2024-02": "definition:cross_system", "2024-03": "source_gap", "2024-04": "pipeline",
-        "2024-05": "pipeline", "2024-06": "pipeline",
+        "2024-01": "match", "2024-02": "definition:cross_system", "2024-03": "source_gap", "2024-04": "pipeline", "2024-05": "no_pipeline",
+        "2024-06": "not_closed", "2024-07": "pipeline", "2024-08": "pipeline", "2024-09": "definition:fact_script",
     }
     monthly = rules.select("month", F.col("canonical").alias("pipeline_revenue"))
     rows = {r.month: r for r in reconcile.reconcile(monthly, finance).collect()}
     assert rows["2024-03"].difference_pct == -28.57 and rows["2024-05"].pipeline_revenue is None
-    assert rows["2024-06"].finance_revenue is None and len(rows) == 6
+    assert rows["2024-06"].finance_revenue is None and len(rows) == 9
+
+
+def test_store_daily_counts_clean_lines(spark, clean):
+    products, _ = exports.masters(spark)
+    daily = revenue.store_category_day(revenue.fact_sales(clean, products))
+    rows = {str(r.business_date): r for r in revenue.store_daily(daily, clean, "S01", "2024-05-01", "2024-07-31").collect()}
+    assert (rows["2024-05-30"].rows, rows["2024-05-30"].revenue) == (4, Decimal("19.00"))  # TAX and TENDER are lines, not revenue
+    assert set(rows) == {"2024-05-30", "2024-07-02"}
 
 
 def test_interval_checks_find_overlaps_and_gaps(spark):
@@ -149,7 +177,10 @@ def test_insert_and_upsert_keep_one_row_per_key(spark):
     old = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
     new = spark.createDataFrame([(2, "x"), (3, "y"), (3, "z")], "k int, v string")
     assert sorted(map(tuple, insert_if_absent(new, old, ["k"]).collect())) == [(1, "a"), (2, "b"), (3, "y")]
-    assert sorted(map(tuple, upsert(new.where("v <> 'z'"), old, ["k"]).collect())) == [(1, "a"), (2, "x"), (3, "y")]
+    assert sorted(map(tuple, upsert(new, old, ["k"]).collect())) == [(1, "a"), (2, "x"), (3, "z")]
+    dated = spark.createDataFrame([(2, "x", 1), (3, "z", 1), (3, "y", 2)], "k int, v string, at int")
+    kept = upsert(dated, old.selectExpr("*", "0 AS at"), ["k"], ["at"])
+    assert sorted(map(tuple, kept.collect())) == [(1, "a", 0), (2, "x", 1), (3, "y", 2)]
 
 
 def test_left_join_keeps_lines_and_their_null_keys(spark, clean):

@@ -32,22 +32,21 @@ def with_attributes(dates: DataFrame) -> DataFrame:
     )
 
 
-def missing_days(
-    facts: DataFrame, first: str | None = None, last: str | None = None, stores: DataFrame | None = None
-) -> DataFrame:
-    """(store_id, business_date) without any row.
+def trading_ranges(stores: DataFrame, dates: DataFrame) -> DataFrame:
+    """(store_id, lo, hi): the days on which each store should have traded.
 
-    The expected days run from ``first`` to ``last``, or over each store's own trading range where
-    these are left out. Pass ``stores`` so that a store with no row at all is reported as well.
+    From ``opened_on`` to ``closed_on`` (null: still open), as far as ``dates`` go. The facts have no say in it, so a store that never
+    sent anything, or stopped sending, is expected like any other.
     """
+    ends = dates.agg(F.min("date_key").alias("first"), F.max("date_key").alias("last"))
+    closed = F.col("closed_on") if "closed_on" in stores.columns else F.lit(None).cast("date")
+    ranges = stores.select("store_id", "opened_on", closed.alias("closed_on")).crossJoin(ends).select(
+        "store_id", F.greatest("opened_on", "first").alias("lo"), F.least(F.coalesce("closed_on", "last"), "last").alias("hi"))
+    return ranges.where("lo <= hi")
+
+
+def missing_days(facts: DataFrame, ranges: DataFrame) -> DataFrame:
+    """(store_id, business_date) of the days in ``ranges`` (store_id, lo, hi) without any row."""
     traded = facts.select("store_id", "business_date").distinct()
-    lo, hi = F.lit(first).cast("date"), F.lit(last).cast("date")
-    if stores is not None and first and last:
-        ranges = stores.select("store_id", lo.alias("lo"), hi.alias("hi"))
-    else:
-        ranges = traded.groupBy("store_id").agg(
-            F.coalesce(lo, F.min("business_date")).alias("lo"),
-            F.coalesce(hi, F.max("business_date")).alias("hi"),
-        )
     expected = ranges.select("store_id", F.explode(F.sequence("lo", "hi")).alias("business_date"))
     return expected.join(traded, ["store_id", "business_date"], "left_anti")

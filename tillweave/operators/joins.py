@@ -36,7 +36,16 @@ def insert_if_absent(new: DataFrame, old: DataFrame, keys: list[str]) -> DataFra
     return old.unionByName(fresh.select(*old.columns))
 
 
-def upsert(new: DataFrame, old: DataFrame, keys: list[str]) -> DataFrame:
-    """``new`` replaces the rows of ``old`` with the same key."""
+def upsert(new: DataFrame, old: DataFrame, keys: list[str], order: list[str] | None = None) -> DataFrame:
+    """``new`` replaces the rows of ``old`` with the same key.
+
+    Of several new rows of one key the last one by ``order`` stays, and by all other columns where that does not decide.
+    """
+    rest = [c for c in new.columns if c not in keys]
+    if rest:
+        last = F.max_by(F.struct(*rest), F.struct(*(order or []), *rest))
+        new = new.groupBy(*keys).agg(last.alias("row")).select(*keys, "row.*")
+    else:
+        new = new.dropDuplicates(keys)
     kept = old.join(new.select(*keys), keys, "left_anti").select(*old.columns)
     return kept.unionByName(new.select(*old.columns))

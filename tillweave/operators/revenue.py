@@ -70,12 +70,13 @@ def revenue_between(daily: DataFrame, first: str, end: str) -> DataFrame:
     return daily.where((day >= F.lit(first).cast("date")) & (day < F.lit(end).cast("date")))
 
 
-def store_daily(daily: DataFrame, store_id: str, first: str, last: str) -> DataFrame:
-    """Rows and revenue per day of one store over a closed date range; absent days are gaps."""
-    span = F.col("business_date").between(F.lit(first).cast("date"), F.lit(last).cast("date"))
-    return daily.where((F.col("store_id") == store_id) & span).groupBy("business_date").agg(
-        F.sum("rows").alias("rows"), money_sum().alias("revenue")
-    )
+def store_daily(daily: DataFrame, lines: DataFrame, store: str, first: str, last: str) -> DataFrame:
+    """(business_date, rows, revenue) of one store: clean lines of every type and revenue per day, days with either."""
+    mine = lambda df: df.where((F.col("store_id") == store) & F.col("business_date").between(first, last)).groupBy("business_date")
+    counted = mine(lines).agg(F.count("*").alias("rows"))
+    taken = mine(daily).agg(money_sum().alias("revenue"))
+    return counted.join(taken, "business_date", "full_outer").select(
+        "business_date", F.coalesce("rows", F.lit(0)).alias("rows"), "revenue")
 
 
 def revenue_cube(daily: DataFrame) -> DataFrame:

@@ -16,11 +16,12 @@ from tillweave.sources.sales_files import file_contract
 class Retail:
     """Tables of the job. The three stage tables are written once per application, as the nightly job would."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir = tune(spark), sf_dir
+    def __init__(self, spark: SparkSession, sf_dir: str, parallelism: int | None = None):
+        """With ``parallelism`` the lines are dealt to so many tasks as they are read, for tables of few row groups."""
+        self.spark, self.sf_dir, self.parallelism = tune(spark), sf_dir, parallelism
 
     def raw(self) -> DataFrame:
-        return inputs.sales_lines(self.spark, self.sf_dir)
+        return inputs.sales_lines(self.spark, self.sf_dir, self.parallelism)
 
     def clean(self) -> DataFrame:
         return stage(self.spark, self.sf_dir, "clean_lines", lambda: lines.dedup_lines(self.raw()))
@@ -80,8 +81,15 @@ class Retail:
     def staged_by_rule(self) -> DataFrame:
         return stage(self.spark, self.sf_dir, "month_by_rule", self.by_rule)
 
+    def missing(self) -> DataFrame:
+        return calendar.missing_days(self.daily(), calendar.trading_ranges(self.stores(), self.dates()))
+
+    def gaps(self) -> DataFrame:
+        return stage(self.spark, self.sf_dir, "gap_sizes", lambda: reconcile.gap_sizes(
+            self.missing(), reconcile.expected_takings(self.daily())))
+
     def finance(self) -> DataFrame:
-        return inputs.finance_monthly(self.staged_by_rule())
+        return inputs.finance_monthly(self.staged_by_rule(), self.gaps())
 
     def monthly(self) -> DataFrame:
         return revenue.revenue_by_month_key(self.daily())
@@ -167,7 +175,7 @@ def july_by_store(r: Retail) -> DataFrame:
 
 
 def reconcile_causes(r: Retail) -> DataFrame:
-    return reconcile.label_causes(r.staged_by_rule(), r.finance(), calendar.missing_days(r.daily()))
+    return reconcile.label_causes(r.staged_by_rule(), r.finance(), r.gaps())
 
 
 def price_list(r: Retail) -> DataFrame:
@@ -221,7 +229,8 @@ QUERIES = {
     "reconcile_july": lambda r: reconcile.reconcile_month(r.monthly(), r.finance(), "1998-07"),
     "reconcile_causes": reconcile_causes,
     "july_by_store": july_by_store,
-    "store_daily_gap": lambda r: revenue.store_daily(r.daily(), "S07", "1998-07-01", "1998-07-31"),
-    "missing_days": lambda r: calendar.missing_days(r.daily()),
+    "store_daily_gap": lambda r: revenue.store_daily(r.daily(), r.clean(), "S07", "1998-07-01", "1998-07-31"),
+    "missing_days": lambda r: r.missing(),
+    "gap_sizes": lambda r: r.gaps(),
     "interval_quality": lambda r: quality.interval_quality(r.products(), r.revisions(), r.categories()),
 }

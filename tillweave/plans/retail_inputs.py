@@ -20,8 +20,10 @@ from pyspark.sql import functions as F
 MONEY, QTY = "decimal(12,2)", "decimal(12,3)"
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, parallelism: int | None = None) -> DataFrame:
+    """A driver table, as it is read or, for one that lies in too few row groups, dealt to ``parallelism`` tasks."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return df if parallelism is None else df.repartition(parallelism)
 
 
 def _cents(value: Column) -> Column:
@@ -32,10 +34,10 @@ def _money(cents: Column, kind: str = MONEY) -> Column:
     return (cents.cast("decimal(16,0)") * F.lit(Decimal("0.01"))).cast(kind)
 
 
-def sales_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def sales_lines(spark: SparkSession, sf_dir: str, parallelism: int | None = None) -> DataFrame:
     """Normalised lines of all files, re-sends included."""
     col = F.col
-    item = table(spark, sf_dir, "lineitem").select(
+    item = table(spark, sf_dir, "lineitem", parallelism).select(
         F.concat(F.lit("S"), F.lpad((col("l_suppkey") % 12 + 1).cast("string"), 2, "0")).alias("store_id"),
         col("l_shipdate").cast("date").alias("business_date"),
         col("l_orderkey").alias("order_key"),
@@ -96,11 +98,17 @@ def sales_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One store per lineitem store number; the name comes from the first supplier behind it."""
-    supplier = table(spark, sf_dir, "supplier")
-    number = F.lpad((F.col("s_suppkey") % 12 + 1).cast("string"), 2, "0")
-    return supplier.groupBy(F.concat(F.lit("S"), number).alias("store_id")).agg(
-        F.concat(F.lit("Store "), F.min("s_name")).alias("store_name")
+    """One store per lineitem store number, and S13, which never sends anything.
+
+    The name comes from the first supplier behind it. A store opens thirty days after the one before.
+    """
+    number = (F.col("s_suppkey") % 12 + 1).alias("number")
+    named = table(spark, sf_dir, "supplier").groupBy(number).agg(F.min("s_name").alias("name"))
+    named = named.unionByName(spark.range(1).select(F.lit(13).cast("bigint").alias("number"), F.lit("to be").alias("name")))
+    return named.select(
+        F.concat(F.lit("S"), F.lpad(F.col("number").cast("string"), 2, "0")).alias("store_id"),
+        F.concat(F.lit("Store "), "name").alias("store_name"),
+        F.date_add(F.lit("1995-01-01").cast("date"), (F.col("number") * 30).cast("int")).alias("opened_on"),
     )
 
 
@@ -161,21 +169,27 @@ def price_revisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def finance_monthly(by_rule: DataFrame) -> DataFrame:
+def finance_monthly(by_rule: DataFrame, gaps: DataFrame) -> DataFrame:
     """Signed-off figures with planted differences.
 
-    Every month divisible by 4 follows another revenue rule, every month that leaves 1 holds an
-    amount the tills never sent, 2001-03 was not closed yet.
+    Every month divisible by 4 follows another revenue rule, every month that leaves 1 holds an amount the tills never sent.
+    In 1998-07 the stores phoned in what the missing days should have brought, 2001-03 was not closed yet, and 1994-12 lies before the
+    first export.
     """
     number = F.substring("month", 6, 2).cast("int")
     figure = (
-        F.when(number % 4 == 0, F.col("cross_system"))
+        F.when(F.col("month") == "1998-07", F.col("canonical") + F.coalesce("expected_gap", F.lit(0)))
+        .when(number % 4 == 0, F.col("cross_system"))
         .when(number % 4 == 1, F.col("canonical") + F.lit(Decimal("12345.67")))
         .otherwise(F.col("canonical"))
     )
-    return by_rule.where(F.col("month") != "2001-03").select(
+    figures = by_rule.join(gaps, "month", "left").where(F.col("month") != "2001-03").select(
+        "month", figure.cast("decimal(18,2)").alias("revenue_inr"))
+    early = by_rule.sparkSession.range(1).select(
+        F.lit("1994-12").alias("month"), F.lit(Decimal("1000.00")).cast("decimal(18,2)").alias("revenue_inr"))
+    return figures.unionByName(early).select(
         "month",
         F.date_add(F.last_day(F.to_date("month", "yyyy-MM")), 9).alias("closed_on"),
-        figure.cast("decimal(18,2)").alias("revenue_inr"),
+        "revenue_inr",
         F.lit("finance").alias("signed_off_by"),
     )
