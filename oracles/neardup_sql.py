@@ -12,16 +12,18 @@ def _normal(url: str) -> str:
 
 
 NOTICES = """
-days AS (SELECT doc_id, source, coalesce("text", '') AS body, CAST(doc_id AS VARCHAR) AS n, DATE '2024-01-01' + CAST(doc_id % 366 AS INTEGER) AS d FROM documents),
+days AS (SELECT doc_id, source, coalesce("text", '') AS body, CAST(doc_id AS VARCHAR) AS n,
+  CASE WHEN doc_id % 9 = 0 AND doc_id >= 20 THEN doc_id - 20 ELSE doc_id END AS k, DATE '2024-01-01' + CAST(doc_id % 366 AS INTEGER) AS d FROM documents),
 lines AS (
   SELECT doc_id, source, body, concat_ws(' ', CASE WHEN doc_id % 9 = 0 THEN 'Corrigendum' ELSE 'Notice' END, 'dated',
     CASE WHEN doc_id % 11 = 0 THEN '41-13-2024' ELSE CASE doc_id % 7 WHEN 0 THEN strftime(d, '%d-%m-%Y') WHEN 1 THEN strftime(d, '%d/%m/%Y') WHEN 2 THEN strftime(d, '%d.%m.%Y') WHEN 3 THEN strftime(d, '%Y-%m-%d') WHEN 4 THEN strftime(d, '%d %b %Y') WHEN 5 THEN strftime(d, '%b %d, %Y')
       ELSE strftime(d, '%d-%b-%y') END END, 'value',
     CASE doc_id % 5 WHEN 0 THEN 'Rs. 4,50,' || lpad(n, 3, '0') || '/-' WHEN 1 THEN 'Rs. ' || n || '.50 lakh' WHEN 2 THEN 'INR 4.' || lpad(n, 3, '0') || ' Cr'
       WHEN 3 THEN '4' || lpad(n, 7, '0') ELSE 'no amount' END, 'no.',
-    CASE doc_id % 8 WHEN 0 THEN 'NPAS-2024-' || lpad(n, 7, '0') WHEN 1 THEN 'SPC/2024-25/' || lpad(n, 6, '0') WHEN 2 THEN 'PWD/2024/' || lpad(n, 5, '0')
-      WHEN 3 THEN '0' || lpad(n, 7, '0') WHEN 4 THEN 'ref-2024-' || lpad(n, 5, '0') WHEN 5 THEN 'MC/2025/W/' || lpad(n, 5, '0')
-      WHEN 6 THEN 'TN-' || lpad(n, 6, '0') || '/2024' ELSE 'none' END, 'see',
+    CASE k % 8 WHEN 0 THEN 'NPAS-2024-' || lpad(CAST(k AS VARCHAR), 7, '0') WHEN 1 THEN 'SPC/2024-25/' || lpad(CAST(k AS VARCHAR), 6, '0')
+      WHEN 2 THEN 'PWD/2024/' || lpad(CAST(k AS VARCHAR), 5, '0') WHEN 3 THEN '0' || lpad(CAST(k AS VARCHAR), 7, '0')
+      WHEN 4 THEN 'ref-2024-' || lpad(CAST(k AS VARCHAR), 5, '0') WHEN 5 THEN 'MC/2025/W/' || lpad(CAST(k AS VARCHAR), 5, '0')
+      WHEN 6 THEN 'TN-' || lpad(CAST(k AS VARCHAR), 6, '0') || '/2024' ELSE 'none' END, 'see',
     CASE doc_id % 3 WHEN 0 THEN 'http://portal.example/' || n WHEN 1 THEN 'www.portal.example/' || n ELSE 'no link' END) AS line
   FROM days),
 notices AS MATERIALIZED (
@@ -247,6 +249,53 @@ ANY_DATE = "|".join(f"(?:{p})" for p in DATE_TEXT.values())
 FIRST_DATE = f"try_strptime(regexp_extract(\"text\", '{ANY_DATE}', 0), [" + ", ".join(f"'{f}'" for f in DATE_TEXT) + "])"
 
 
+SPIKES = """
+shown AS MATERIALIZED (
+  SELECT source, CASE WHEN source IN ('src6', 'src7') THEN "text"[1 : CAST(source[4:] AS INTEGER) * 100 + 30] ELSE "text" END AS body FROM documents),
+histogram AS MATERIALIZED (
+  SELECT source AS portal, CAST(length(coalesce(body, '')) AS BIGINT) AS length, count(*) AS docs FROM shown GROUP BY 1, 2),
+spikes AS (
+  SELECT h.portal, h.length, h.docs, CAST(coalesce(sum(o.docs), 0) AS BIGINT) AS around FROM histogram h
+  LEFT JOIN histogram o ON o.portal = h.portal AND o.length <> h.length AND abs(o.length - h.length) <= 50
+  WHERE h.docs >= 3 AND h.length > 0 GROUP BY 1, 2, 3 HAVING h.docs * 100 >= coalesce(sum(o.docs), 0) * 20 AND h.docs >= 2 * coalesce(max(o.docs), 0))"""
+
+
+def _clauses(word: str, count: int) -> str:
+    return f"(SELECT string_agg('{word} ' || i || ' of the terms applies to this notice,', ' ' ORDER BY i) FROM range(1, {count + 1}) r(i))"
+
+
+def _ends(name: str, words: str) -> str:
+    """Longest common beginnings of the word lists ``words``.
+
+    k words are common if enough contents agree in them, so the longest such k of a text is its m-th longest agreement with a content, m
+    being enough. The comparison with every content that has the same first 16 words takes the place of counting prefixes.
+    """
+    return f"""
+{name}_words AS MATERIALIZED (SELECT doc_id, portal, {words} AS w FROM cut WHERE len(t) >= 16),
+{name}_agree AS (
+  SELECT a.doc_id, a.portal, len(a.w) AS n, coalesce(list_position(
+    list_transform(range(1, least(len(a.w), len(b.w)) + 1), lambda i: a.w[i] <> b.w[i]), true) - 1, least(len(a.w), len(b.w))) AS agreed
+  FROM {name}_words a JOIN (SELECT DISTINCT portal, w FROM {name}_words) b ON a.portal = b.portal AND a.w[1:16] = b.w[1:16]),
+{name} AS (
+  SELECT doc_id, least(agreed, n - 1) AS words FROM (
+    SELECT x.doc_id, x.n, x.agreed, row_number() OVER (PARTITION BY x.doc_id ORDER BY x.agreed DESC) AS place,
+      ceil(greatest(3, s.n * 0.1)) AS enough FROM {name}_agree x JOIN sizes s ON s.portal = x.portal)
+  WHERE place = enough AND least(agreed, n - 1) >= 16)"""
+
+
+AGGREGATED = f"""
+numbered AS (
+  SELECT doc_id, source AS portal, replace(coalesce("text", ''), chr(10), ' ') AS run, TRY_CAST(regexp_extract(source, '([0-9]+)$', 1) AS INTEGER) AS k
+  FROM documents),
+bodies AS (
+  SELECT doc_id, portal, CASE WHEN k <= 5 THEN {_clauses("Clause", 30)} || ' ' || CASE WHEN k <= 2 THEN 'National ' ELSE 'State ' END ELSE '' END
+    || run || CASE WHEN k IN (1, 2, 5) THEN ' ' || {_clauses("Remark", 12)} ELSE '' END AS body FROM numbered),
+cut AS MATERIALIZED (SELECT doc_id, portal, body, list_filter(string_split_regex(body, '\\s+'), lambda w: w <> '') AS t FROM bodies),
+sizes AS (SELECT portal, count(DISTINCT t) AS n FROM cut GROUP BY portal),
+{_ends("heads", "t")},
+{_ends("tails", "list_reverse(t)")}"""
+
+
 def _with(tables: str, select: str, recursive: bool = False) -> str:
     return f"WITH {'RECURSIVE ' if recursive else ''}{tables}\n{select}"
 
@@ -345,18 +394,29 @@ SQL = {
     "corrigendum_flag": _with(NOTICES, f"""SELECT doc_id, regexp_matches(string_split("text", chr(10))[1], '{CORRIGENDUM}') AS in_title,
   regexp_matches("text", '{CORRIGENDUM}') AS in_body FROM notices"""),
     "corrigendum_links": _with(MATCHES + "," + NOTICES + f""",
-flags AS (SELECT doc_id, regexp_matches("text", '{CORRIGENDUM}') AS flag FROM notices)""",
-                               """SELECT m.id_a, m.id_b, m.jaccard, a.flag AS flag_a, b.flag AS flag_b, a.flag <> b.flag AS is_link
-  FROM match_pairs m JOIN flags a ON a.doc_id = m.id_a JOIN flags b ON b.doc_id = m.id_b"""),
+flags AS (
+  SELECT doc_id, source, regexp_matches("text", '{CORRIGENDUM}') AS flag, nullif(regexp_extract("text", '{REFERENCE_TEXT}', 1), '') AS ref
+  FROM notices),
+ways AS (
+  SELECT c.doc_id AS correction, o.doc_id AS original, 1 AS named, 0 AS alike FROM flags c JOIN flags o
+    ON c.ref = o.ref AND c.source = o.source AND o.doc_id < c.doc_id WHERE c.flag AND NOT o.flag
+  UNION ALL
+  SELECT c.doc_id, o.doc_id, 0, 1 FROM match_pairs m JOIN flags c ON c.doc_id = m.id_b JOIN flags o ON o.doc_id = m.id_a
+    WHERE c.flag AND NOT o.flag)""", """SELECT correction, original, max(named) = 1 AS by_reference, max(alike) = 1 AS by_match FROM ways
+  GROUP BY correction, original QUALIFY row_number() OVER (PARTITION BY correction ORDER BY original DESC) = 1"""),
     "portal_field_parse": _with(NOTICES, f"""SELECT source AS portal, count(*) AS docs, count(*) FILTER (regexp_matches("text", '{ANY_DATE}')) AS date_texts,
   count({FIRST_DATE}) AS dates, count(*) FILTER (regexp_matches("text", '{MONEY_TEXT}')) AS money_texts,
   count(*) FILTER (coalesce(nullif(regexp_extract("text", '{MONEY_TEXT}', 1), ''), nullif(regexp_extract("text", '{MONEY_TEXT}', 3), '')) IS NOT NULL) AS amounts,
   count(nullif(regexp_extract("text", '{REFERENCE_TEXT}', 1), '')) AS refs FROM notices GROUP BY 1"""),
-    "portal_profile": """SELECT p.portal, docs, upper_share, near_1200, near_2500, length AS mode_length, n AS mode_docs FROM (
-  SELECT source AS portal, count(*) AS docs, round(avg(("text" = upper("text"))::INT), 6) AS upper_share,
-    round(avg((abs(length("text") - 1200) <= 25)::INT), 6) AS near_1200, round(avg((abs(length("text") - 2500) <= 25)::INT), 6) AS near_2500
-  FROM documents GROUP BY 1) p JOIN (
-  SELECT source AS portal, length("text") AS length, count(*) AS n,
-    row_number() OVER (PARTITION BY source ORDER BY count(*) DESC, length("text")) AS place FROM documents GROUP BY source, length("text")) m
-  ON m.portal = p.portal AND place = 1""",
+    "portal_profile": _with(SPIKES, """SELECT p.portal, p.docs, upper_share, c.length AS cut_length, c.docs AS cut_docs,
+  m.length AS mode_length, m.docs AS mode_docs
+  FROM (SELECT source AS portal, count(*) AS docs, round(avg((body = upper(body))::INT), 6) AS upper_share FROM shown GROUP BY 1) p
+  JOIN (SELECT * FROM histogram QUALIFY row_number() OVER (PARTITION BY portal ORDER BY docs DESC, length) = 1) m ON m.portal = p.portal
+  LEFT JOIN (SELECT * FROM spikes QUALIFY row_number() OVER (PARTITION BY portal ORDER BY docs DESC, length) = 1) c ON c.portal = p.portal"""),
+    "length_spikes": _with(SPIKES, "SELECT portal, length, docs, around FROM spikes"),
+    "preamble_filter": _with(AGGREGATED, """SELECT doc_id, portal, head AS head_words, tail AS tail_words,
+  md5(CASE WHEN head + tail > 0 THEN array_to_string(t[head + 1 : len(t) - tail], ' ') ELSE body END) AS filtered_md5
+  FROM (SELECT c.doc_id, c.portal, c.t, c.body, coalesce(h.words, 0) AS head,
+          CASE WHEN coalesce(h.words, 0) + coalesce(f.words, 0) >= len(c.t) THEN 0 ELSE coalesce(f.words, 0) END AS tail
+        FROM cut c LEFT JOIN heads h ON h.doc_id = c.doc_id LEFT JOIN tails f ON f.doc_id = c.doc_id)"""),
 }

@@ -1,7 +1,8 @@
 import datetime
+import random
 from decimal import Decimal
 
-from tillweave.operators import portals
+from tillweave.operators import portals, preambles
 
 
 def texts(spark, rows):
@@ -46,15 +47,67 @@ def test_corrigenda(spark):
     docs = texts(spark, [(1, "p", "Corrigendum to road work\nbody"), (2, "p", "Road work\nbody\nCORRIGENDUM new date"), (3, "p", "Road work\nbody"), (4, "p", None)])
     flags = portals.corrigendum_flag(docs)
     assert {r.doc_id: (r.in_title, r.in_body) for r in flags.collect()} == {1: (True, True), 2: (False, True), 3: (False, False), 4: (False, False)}
-    matches = spark.createDataFrame([(1, 2, 0.9), (2, 3, 0.8)], "id_a bigint, id_b bigint, jaccard double")
-    links = {(r.id_a, r.id_b): r.is_link for r in portals.corrigendum_links(matches, flags).collect()}
-    assert links == {(1, 2): False, (2, 3): True}
-
-
-def test_profile(spark):
-    rows = [(i, "p", "A" * 1200) for i in range(3)] + [(3, "p", "b" * 10), (4, "q", "c"), (5, "q", "dd")]
-    got = {r.portal: r for r in portals.portal_profile(texts(spark, rows)).collect()}
-    assert (got["p"].upper_share, got["p"].near_1200, got["p"].near_2500, got["p"].mode_length, got["p"].mode_docs) == (0.75, 0.75, 0.0, 1200, 3)
-    assert got["q"].mode_length == 1
-    top = portals.portal_volume(texts(spark, rows), 1).collect()
-    assert [(r.portal, r.docs) for r in top] == [("p", 4)]
+
+
+def test_corrections_point_to_the_nearest_earlier_original(spark):
+    rows = [  # doc, portal, published, reference, flag
+        (1, "p", 1, "A", False), (2, "p", 2, "A", False), (3, "p", 3, "A", True), (4, "p", 4, "A", True), (5, "q", 5, "A", True),
+        (6, "p", 6, None, False), (7, "p", 7, None, True), (8, "p", 8, "B", True), (9, "p", 9, "B", False), (10, "q", 2, "C", False),
+        (11, "q", 10, "C", True),
+    ]
+    notices = spark.createDataFrame(rows, "doc_id bigint, portal string, published_at int, reference string, flag boolean")
+    matches = spark.createDataFrame([(6, 7, 0.9), (1, 7, 0.9), (7, 9, 0.9), (3, 4, 0.9), (2, 3, 0.9), (6, 11, 0.9), (8, 9, 0.9)],
+                                    "id_a bigint, id_b bigint, jaccard double")
+    got = {(r.correction, r.original, r.by_reference, r.by_match) for r in portals.corrigendum_links(matches, notices).collect()}
+    assert got == {(3, 2, True, True), (4, 2, True, False), (7, 6, False, True), (11, 6, False, True)}
+
+
+def test_preamble_inside_run_on_text(spark):
+    """1,400 characters without a line break, the same on every notice of a portal; ends and short beginnings too."""
+    preamble = " ".join(f"clause{i} applies here" for i in range(70))
+    footer = " ".join(f"remark{i}" for i in range(20))
+    assert len(preamble) >= 1400
+    rows = [(i, "agg", f"{preamble}  own{i} tender\tfor road {i} {footer}") for i in range(12)]
+    rows += [(100 + i, "agg", preamble) for i in range(2)] + [(102, "agg", f"{preamble} {footer}"), (103, "agg", None), (104, "agg", "short")]
+    rows += [(200 + i, "plain", f"the same few words and then something {i}") for i in range(9)]
+    rows += [(300 + i, "posts", preamble + " one text") for i in range(9)]
+    got = {r.doc_id: r for r in preambles.preamble_filter(texts(spark, rows), 0.5).collect()}
+    assert len(got) == len(rows)
+    for i in range(12):
+        assert got[i].filtered == f"own{i} tender for road {i}" and (got[i].head_words, got[i].tail_words) == (210, 20)
+    assert got[102].filtered == footer and got[100].filtered.split() == ["here"] and got[103].filtered == "" and got[104].filtered == "short"
+    for i, _, text in rows:
+        if i >= 200:
+            assert got[i].filtered == text and got[i].head_words == 0
+
+
+def test_common_lengths_by_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(preambles, "LEAST_WORDS", 2)
+    draw = random.Random(6)
+    stems = [[draw.choice("abc") for _ in range(40)] for _ in range(3)]
+    bodies = [draw.choice(stems)[: draw.randrange(1, 40)] + [draw.choice("abcdefg") for _ in range(draw.randrange(0, 6))]
+              + draw.choice(stems)[40 - draw.randrange(0, 30):] for _ in range(60)]
+    rows = [(i, draw.choice("pq"), " ".join(words)) for i, words in enumerate(bodies)]
+    for backwards in (False, True):
+        turned = {i: (p, tuple(t.split()[::-1] if backwards else t.split())) for i, p, t in rows}
+        want = {}
+        for i, (portal, words) in turned.items():
+            contents = {w for p, w in turned.values() if p == portal}
+            for k in range(2, len(words)):
+                if sum(w[:k] == words[:k] for w in contents) >= max(3, 0.2 * len(contents)):
+                    want[i] = k
+        found = preambles.common_lengths(texts(spark, rows), 0.2, 3, backwards).collect()
+        assert {r.doc_id: r.words for r in found} == want and want
+
+
+def test_cut_lengths_are_found_wherever_they_are(spark):
+    draw = random.Random(2)
+    rows = [(i, "p", "A" * draw.randrange(200, 4000)) for i in range(150)] + [(200 + i, "p", "b" * 1733) for i in range(9)]
+    rows += [(300 + i, "q", "c" * 60) for i in range(4)] + [(400 + i, "q", "d" * (58 + i % 5)) for i in range(40)] + [(500, "r", None), (501, "r", "x")]
+    docs = texts(spark, rows)
+    assert {(r.portal, r.length, r.docs) for r in portals.length_spikes(docs).collect()} == {("p", 1733, 9 + sum(len(t) == 1733 for _, _, t in rows[:150]))}
+    got = {r.portal: r for r in portals.portal_profile(docs).collect()}
+    assert (got["p"].cut_length, got["p"].mode_length, got["q"].cut_length, got["r"].docs) == (1733, 1733, None, 2)
+    assert got["p"].upper_share == round(150 / 159, 6)
+    top = portals.portal_volume(docs, 1).collect()
+    assert [(r.portal, r.docs) for r in top] == [("p", 159)]

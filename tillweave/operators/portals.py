@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillweave.session import write_through
 
-# Date forms and their patterns, money forms, reference families, cut lengths.
+# Date forms and their patterns, money forms, reference families.
 DATE_FORMS = {
     "d-M-yyyy": r"\b(\d{1,2}-\d{1,2}-\d{4})\b",
     "d/M/yyyy": r"\b(\d{1,2}/\d{1,2}/\d{4})\b",
@@ -24,10 +24,13 @@ REFERENCE = (
     r"\b(NPAS-\d{4}-\d{7}|SPC/\d{4}-\d{2}/\d{6}|PWD/\d{4}/\d{5}|ref-\d{4}-\d{5}|"
     r"MC/\d{4}/W/\d{5}|TN-\d{6}/\d{4}|0\d{7})\b"
 )
-CUT_LENGTHS = (1200, 2500)
-CUT_SLACK = 25
 CORRIGENDUM = r"(?i)corrigend(um|a)"
 
+# What makes a spike in a portal's lengths: texts of that length, how far its neighbourhood reaches, how much it stands out.
+SPIKE_DOCS = 3
+SPIKE_REACH = 50
+SPIKE_FACTOR = 20
+
 # A line is a portal's boilerplate only if at least so many different contents of the portal have it.
 MIN_CONTENTS = 3
 
@@ -85,13 +88,33 @@ def corrigendum_flag(docs: DataFrame) -> DataFrame:
     )
 
 
-def corrigendum_links(matches: DataFrame, flags: DataFrame) -> DataFrame:
-    """Matched pairs with one side a corrigendum: a candidate link from correction to original."""
-    flagged = flags.select("doc_id", (F.col("in_title") | F.col("in_body")).alias("flag"))
-    of = lambda s: flagged.select(F.col("doc_id").alias(f"id_{s}"), F.col("flag").alias(f"flag_{s}"))
-    return matches.join(of("a"), "id_a").join(of("b"), "id_b").withColumn(
-        "is_link", F.col("flag_a") != F.col("flag_b")
+def corrigendum_links(matches: DataFrame, notices: DataFrame) -> DataFrame:
+    """(correction, original, by_reference, by_match): every corrigendum with the notice that it most likely corrects.
+
+    ``notices`` has (doc_id, portal, published_at, reference, flag). The original is the nearest earlier notice, by time and then
+    by id, that is no corrigendum itself and has the same reference number on the same portal or matches in text. Both ways are
+    as-of lookups: a running last value along a reference, a maximum over the matches, so no pairs of notices are made beyond the matches.
+    """
+    time = F.struct("published_at", "doc_id")
+    plain = F.when(~F.col("flag"), time)
+    before = Window.partitionBy("portal", "reference").orderBy("published_at", "doc_id").rowsBetween(Window.unboundedPreceding, -1)
+    named = notices.where("reference IS NOT NULL").select(
+        "doc_id", "flag", F.last(plain, ignorenulls=True).over(before).alias("named")).where("flag AND named IS NOT NULL")
+    side = lambda name: notices.select(F.col("doc_id").alias(name), F.col("flag").alias(f"{name}_flag"), time.alias(f"{name}_time"))
+    both = matches.select(F.inline(F.array(
+        F.struct(F.col("id_a").alias("later"), F.col("id_b").alias("earlier")),
+        F.struct(F.col("id_b").alias("later"), F.col("id_a").alias("earlier")))))
+    alike = (
+        both.join(side("later"), "later").join(side("earlier"), "earlier")
+        .where("later_flag AND NOT earlier_flag AND earlier_time < later_time")
+        .groupBy(F.col("later").alias("doc_id")).agg(F.max("earlier_time").alias("alike"))
     )
+    joined = named.select("doc_id", "named").join(alike, "doc_id", "full_outer")
+    original = F.greatest("named", "alike")  # the null of a missing way is skipped
+    return joined.select(
+        F.col("doc_id").alias("correction"), original["doc_id"].alias("original"),
+        F.coalesce(F.col("named") == original, F.lit(False)).alias("by_reference"),
+        F.coalesce(F.col("alike") == original, F.lit(False)).alias("by_match"))
 
 
 def found(text: Column, pattern: str, group: int = 1) -> Column:
@@ -137,22 +160,31 @@ def parse_coverage(fields: DataFrame) -> DataFrame:
     )
 
 
+def length_histogram(docs: DataFrame) -> DataFrame:
+    return docs.groupBy("portal", F.length(F.coalesce("text", F.lit(""))).alias("length")).agg(F.count("*").alias("docs"))
+
+
+def length_spikes(docs: DataFrame) -> DataFrame:
+    """(portal, length, docs, around): lengths that stand out from the lengths near them, as cut texts do.
+
+    A length is a spike if at least ``SPIKE_DOCS`` of the portal's texts have it, ``SPIKE_FACTOR`` times as many as an average length
+    within ``SPIKE_REACH`` characters on either side (``around`` counts their texts), and twice as many as any of these. The windows run over
+    the histogram, whose rows are lengths.
+    """
+    lengths = Window.partitionBy("portal").orderBy("length")
+    side = lambda what, low, high: F.coalesce(what("docs").over(lengths.rangeBetween(low, high)), F.lit(0))
+    both = lambda what: (side(what, -SPIKE_REACH, -1), side(what, 1, SPIKE_REACH))
+    below, above = both(F.sum)
+    near = length_histogram(docs).withColumns({"around": below + above, "highest": F.greatest(*both(F.max))})
+    tall = (F.col("docs") >= SPIKE_DOCS) & (F.col("docs") * 2 * SPIKE_REACH >= F.col("around") * SPIKE_FACTOR)
+    return near.where(tall & (F.col("docs") >= 2 * F.col("highest")) & (F.col("length") > 0)).drop("highest")
+
+
 def portal_profile(docs: DataFrame) -> DataFrame:
-    """Upper-case share, share of texts cut at the known lengths, and the most frequent length."""
-    length = F.length("text")
-    near = lambda cut: F.avg(F.abs(F.col("length") - cut).between(0, CUT_SLACK).cast("int"))
-    one = docs.select(
-        "portal", length.alias("length"), (F.col("text") == F.upper("text")).cast("int").alias("upper")
-    )
-    lengths = one.groupBy("portal", "length").agg(F.count("*").alias("n"))
-    mode = lengths.groupBy("portal").agg(F.max(F.struct(F.col("n"), (-F.col("length")).alias("minus"))).alias("top"))
-    return (
-        one.groupBy("portal")
-        .agg(
-            F.count("*").alias("docs"), F.round(F.avg("upper"), 6).alias("upper_share"),
-            *[F.round(near(c), 6).alias(f"near_{c}") for c in CUT_LENGTHS],
-        )
-        .join(mode, "portal")
-        .select("portal", "docs", "upper_share", *[f"near_{c}" for c in CUT_LENGTHS],
-                (-F.col("top.minus")).alias("mode_length"), F.col("top.n").alias("mode_docs"))
-    )
+    """Upper-case share, the length at which most texts are cut, if any, and the most frequent length."""
+    one = docs.groupBy("portal").agg(
+        F.count("*").alias("docs"), F.round(F.avg((F.col("text") == F.upper("text")).cast("int")), 6).alias("upper_share"))
+    tallest = lambda lengths: lengths.groupBy("portal").agg(F.max(F.struct("docs", (-F.col("length")).alias("minus"))).alias("top"))
+    named = lambda lengths, name: tallest(lengths).select(
+        "portal", (-F.col("top.minus")).alias(f"{name}_length"), F.col("top.docs").alias(f"{name}_docs"))
+    return one.join(named(length_spikes(docs), "cut"), "portal", "left").join(named(length_histogram(docs), "mode"), "portal")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillweave.functions.text import normalize_text
-from tillweave.operators import clusters, evaluation, lsh, minhash, overflow, portals, shingles
+from tillweave.operators import clusters, evaluation, lsh, minhash, overflow, portals, preambles, shingles
 from tillweave.operators.joins import insert_if_absent, upsert
 from tillweave.plans import neardup_inputs as inputs
 from tillweave.session import stage, tune, write_through
@@ -17,16 +17,19 @@ FILTER_SHARE = 0.1
 class NearDup:
     """Tables of the job; stage tables are written once per application and read by what follows."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, boilerplate_share: float | None = None):
-        """With ``boilerplate_share`` the job runs on texts without their portal's common lines."""
-        self.spark, self.sf_dir, self.share = tune(spark), sf_dir, boilerplate_share
+    def __init__(self, spark: SparkSession, sf_dir: str, boilerplate_share: float | None = None, parallelism: int | None = None):
+        """With ``boilerplate_share`` the job runs on texts without their portal's common lines.
+
+        With ``parallelism`` the texts are dealt to so many tasks as they are read, for tables of few row groups.
+        """
+        self.spark, self.sf_dir, self.share, self.parallelism = tune(spark), sf_dir, boilerplate_share, parallelism
 
     def _stage(self, name, make) -> DataFrame:
         suffix = "" if self.share is None else f"_filtered_{self.share}"
         return stage(self.spark, self.sf_dir, name + suffix, make)
 
     def docs(self) -> DataFrame:
-        docs = inputs.documents(self.spark, self.sf_dir)
+        docs = inputs.documents(self.spark, self.sf_dir, self.parallelism)
         if self.share is None:
             return docs
         return self._stage("documents", lambda: portals.boilerplate_filter(docs, self.share).select(
@@ -108,11 +111,12 @@ class NearDup:
 
     def stars(self) -> DataFrame:
         """Clusters of the match graph; copies follow the first document of their content."""
-        def make() -> DataFrame:
-            copies = self.contents().where("doc_id <> rep")
-            docs = self.docs().select("doc_id", "published_at").join(copies, "doc_id", "left_anti")
-            return overflow.with_copies(clusters.star_clusters(docs, self.matches()), copies)
-        return self._stage("stars", make)
+        return self._stage("stars", self.make_stars)
+
+    def make_stars(self, in_one_task: int = clusters.COMPONENT_EDGES) -> DataFrame:
+        copies = self.contents().where("doc_id <> rep")
+        docs = self.docs().select("doc_id", "published_at").join(copies, "doc_id", "left_anti")
+        return overflow.with_copies(clusters.star_clusters(docs, self.matches(), in_one_task), copies)
 
 
 def normalized(n: NearDup, strip_www: bool = False) -> DataFrame:
@@ -145,8 +149,22 @@ def boilerplate(n: NearDup) -> DataFrame:
     return cleaned.select("doc_id", "portal", F.md5("filtered").alias("filtered_md5"), "removed")
 
 
+def preambles_cut(n: NearDup) -> DataFrame:
+    cut = preambles.preamble_filter(inputs.aggregated(n.docs()), FILTER_SHARE)
+    return cut.select("doc_id", "portal", F.md5("filtered").alias("filtered_md5"), "head_words", "tail_words")
+
+
+def corrigendum_links(n: NearDup) -> DataFrame:
+    """Corrections among the notices, with their references, and what they correct."""
+    notices = n.notices()
+    flags = portals.corrigendum_flag(notices).select("doc_id", (F.col("in_title") | F.col("in_body")).alias("flag"))
+    named = portals.parsed_fields(notices).select("doc_id", "portal", "reference")
+    rows = write_through(notices.select("doc_id", "published_at").join(flags, "doc_id").join(named, "doc_id"), "notice_references")
+    return portals.corrigendum_links(n.matches(), rows)
+
+
 def filtered(n: NearDup) -> NearDup:
-    return NearDup(n.spark, n.sf_dir, FILTER_SHARE)
+    return NearDup(n.spark, n.sf_dir, FILTER_SHARE, n.parallelism)
 
 
 def filtered_eval(n: NearDup) -> DataFrame:
@@ -212,8 +230,8 @@ QUERIES = {
     "insert_if_absent": insert_matches,
     "star_clusters": lambda n: n.stars(),
     "content_copies": lambda n: n.contents().where("doc_id <> rep"),
-    "uncapped_matches": lambda n: n.matches(),
-    "uncapped_clusters": lambda n: n.stars(),
+    "uncapped_matches": lambda n: n.links(cap=1),  # every bucket searched by rare shingles
+    "uncapped_clusters": lambda n: n.make_stars(in_one_task=0),  # every component decided in rounds
     "match_pairs_filtered": lambda n: filtered(n).matches(),
     "threshold_eval_filtered": filtered_eval,
     "stable_mapping": stable_mapping,
@@ -222,7 +240,9 @@ QUERIES = {
     "portal_volume": lambda n: portals.portal_volume(n.docs()),
     "boilerplate_filter": boilerplate,
     "corrigendum_flag": lambda n: portals.corrigendum_flag(n.notices()),
-    "corrigendum_links": lambda n: portals.corrigendum_links(n.matches(), portals.corrigendum_flag(n.notices())),
+    "corrigendum_links": corrigendum_links,
     "portal_field_parse": lambda n: portals.parse_coverage(portals.parsed_fields(n.notices())),
-    "portal_profile": lambda n: portals.portal_profile(n.docs()),
+    "portal_profile": lambda n: portals.portal_profile(inputs.truncated(n.docs())),
+    "length_spikes": lambda n: portals.length_spikes(inputs.truncated(n.docs())),
+    "preamble_filter": preambles_cut,
 }
