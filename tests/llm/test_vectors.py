@@ -132,3 +132,15 @@ def test_abandoning_keeps_the_near():
     limit = np.sort(away)[20]
     alive = scan.survivors(np.ascontiguousarray(cell.T), query, limit)
     assert set(alive) <= set(np.flatnonzero(away <= limit * (1 + 1e-6))) and len(alive) >= 19
+
+
+def test_a_vec_id_with_several_vectors_counts_once(spark):
+    rng = np.random.default_rng(9)
+    rows = [(50, [1.0, 0.0, 0.0, 0.0])] + [(7001, (np.eye(4)[0] * 5 + rng.normal(size=4) * 0.01).tolist()) for _ in range(8)]
+    rows += [(i, (np.eye(4)[0] + rng.normal(size=4) * 0.1).tolist()) for i in range(1, 30)]
+    got = lists(topk.exact_top_k(made(spark, rows), 50, 5))[50]
+    score = lambda v: int(np.floor(256 * np.array(v)) @ np.array([256.0, 0, 0, 0]))
+    best = {}
+    for i, v in rows[1:]:
+        best[i] = max(best.get(i, -10**9), score(v))
+    assert [(i, int(s)) for i, s in got] == sorted(best.items(), key=lambda e: (-e[1], e[0]))[:5]

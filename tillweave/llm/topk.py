@@ -8,8 +8,8 @@ block mixes queries of all pivots, few cells are skipped whole; within a cell ea
 
 Pivots are centres of a bounded sample (``vectors.FIT_ROWS``); they only decide how much is skipped, never the result.
 
-Defined results: a query without other vectors has no rows; ties go to the smaller vec_id; repeated rows count once; an
-empty table gives no rows. Vectors null, of odd length, or with null or non-finite components take no part.
+Defined results: a query without other vectors has no rows; ties go to the smaller vec_id; repeated rows count once; a vec_id with
+several vectors counts once, with the best score of any of them, as a candidate and as a query; an empty table gives no rows. Vectors null, of odd length, or with null or non-finite components take no part.
 """
 
 from __future__ import annotations
@@ -52,7 +52,9 @@ def seeds(cells: DataFrame, every: int, k: int) -> DataFrame:
                 asked = np.flatnonzero(ids % every == 0)
                 limits = []
                 for q in asked:
-                    others = np.sort(scores(mat, mat[q])[ids != ids[q]])
+                    found = scores(mat, mat[q])
+                    others = np.flatnonzero(ids != ids[q])
+                    others = np.sort(found[others][vectors.one_each(ids[others], found[others])])
                     limits.append(others[-k] if len(others) >= k else -np.inf)
                 if len(asked):
                     part = mat[asked]
@@ -113,6 +115,7 @@ def search(pairs: DataFrame, pivots: np.ndarray, longest: float, k: int) -> Data
                     part = slice(first[q], end[q])
                     found = scores(mat[part], asked[q])
                     good = np.flatnonzero((found >= limit[q]) & new[part] & (ids[part] != queries[q]))
+                    good = good[vectors.one_each(ids[part][good], found[good])]
                     for place in good[vectors.best(ids[part][good], found[good], k)]:
                         out.append((int(queries[q]), int(ids[part][place]), float(found[place])))
             if out:
