@@ -103,3 +103,22 @@ def test_text_is_cut_between_characters(documents):
     rows = [(1, "é" * 40), (2, "xé" + "é" * 39 + "è tail")]
     kept = {r["doc_id"]: r["text"] for r in passages.without_repeats(documents(rows), ["doc_id"], text=True).collect()}
     assert kept == {1: "é" * 40, 2: "x tail"}
+
+
+def test_rows_without_an_id_take_no_part(spark, documents):
+    passage = "a passage that is long enough to be found again in all of these rows, word for word. "
+    rows = [(1, passage + "one"), (None, passage + "none"), (2, passage + "two"), (None, None), (None, passage + "none")]
+    got = passages.without_repeats(documents(rows), ["doc_id"], text=True).collect()
+    gone = {(r["doc_id"], r["text"]): r["n_removed"] for r in got}
+    assert len(got) == 5 and gone[1, passage + "one"] == 0 and gone[None, passage + "none"] == 0 and gone[None, ""] == 0
+    assert [r["n_removed"] for r in got if r["doc_id"] == 2] == [len(passage)]
+
+
+@pytest.mark.parametrize("at", [60, 100_000])
+def test_long_and_short_strings_are_sorted_apart(spark, documents, monkeypatch, at):
+    monkeypatch.setattr(passages, "LONG_LANE", at)
+    monkeypatch.setattr(passages, "SORTED_AT_ONCE", 500)
+    rng = random.Random(at)
+    parts = ["".join(rng.choice("abc ") for _ in range(rng.choice([55, 80, 200]))) for _ in range(6)]
+    rows = [(i, "".join(rng.choice(parts)[rng.randint(0, 9):] for _ in range(4))) for i in range(40)]
+    check(documents(rows), rows)

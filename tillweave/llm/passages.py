@@ -13,8 +13,8 @@ before the shuffle, so a passage that very many documents share sends one row pe
 different fragments are not sorted in one task: their windows are spread by a 128-bit hash of their bytes and counted there.
 
 Defined results: a null or empty text has nothing to remove; strings are judged on the input. Repeated rows of a document are the same
-document. Rows of one doc_id with different texts are different documents with equal ids, so neither is smaller. Other columns are not read. An
-empty table gives no rows.
+document. Rows of one doc_id with different texts are different documents with equal ids, so neither is smaller. A row without a doc_id is
+neither smaller nor larger than any: nothing is removed from it or because of it. Other columns are not read. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -35,6 +35,8 @@ GRAM = 20
 MOST = 96
 # Symbols that are sorted side by side.
 SORTED_AT_ONCE = 1 << 20
+# Symbols from which on an anchor's string is sorted with other long ones.
+LONG_LANE = 1 << 10
 U = np.uint64
 _SETTLED = 1 << 62
 ROW = "g bigint, f bigint, doc bigint, at bigint"
@@ -114,7 +116,7 @@ def anchored(docs: DataFrame) -> DataFrame:
                 spread = kernels.mix(ids[who].view(U) ^ (low.astype(U) << U(20))).view(np.int64)
                 yield table(spread, (low << 32) | high, ids[who], (tags[who] << 44) | _SETTLED, names=NAMES)
 
-    source = docs.where(F.octet_length("text") >= LENGTH).select(F.col("doc_id").alias("doc"), tag().alias("tag"), "text")
+    source = docs.where(F.col("doc_id").isNotNull() & (F.octet_length("text") >= LENGTH)).select(F.col("doc_id").alias("doc"), tag().alias("tag"), "text")
     return source.mapInArrow(work, ROW)
 
 
@@ -179,7 +181,7 @@ def settled(rows: DataFrame) -> DataFrame:
 def with_bytes(compare: DataFrame, docs: DataFrame) -> DataFrame:
     """(g, f, doc, at, bytes): the fragments to compare with their bytes."""
     asked = compare.groupBy("doc", F.shiftright("at", 44).alias("tag")).agg(F.collect_list(F.struct("g", "f", "at")).alias("asked"))
-    texts = docs.where(F.octet_length("text") >= LENGTH).select(F.col("doc_id").alias("doc"), tag().alias("tag"), "text")
+    texts = docs.where(F.col("doc_id").isNotNull() & (F.octet_length("text") >= LENGTH)).select(F.col("doc_id").alias("doc"), tag().alias("tag"), "text")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -238,46 +240,72 @@ def repeated_windows(texts: list[bytes], owner: np.ndarray, docs: np.ndarray) ->
     return [repeated[places[i] : places[i] + sizes[i] - LENGTH + 1] for i in range(len(texts))]
 
 
+class Pool:
+    """Different fragments that wait to be sorted; ``rows`` has the places of all equal ones of a document."""
+
+    def __init__(self) -> None:
+        self.clear()
+
+    def clear(self) -> None:
+        self.texts: list[bytes] = []
+        self.owner: list[int] = []
+        self.docs: list[int] = []
+        self.rows: list[list[int]] = []
+        self.symbols = 0
+
+    def add(self, text: bytes, doc: int, at: int) -> None:
+        self.texts.append(text)
+        self.docs.append(doc)
+        self.rows.append([at])
+        self.symbols += len(text) + 1
+
+    def take(self, lane: Pool, owner: int) -> None:
+        """Add the fragments of one anchor, which holds none afterwards."""
+        self.owner += [owner] * len(lane.texts)
+        self.texts += lane.texts
+        self.docs += lane.docs
+        self.rows += lane.rows
+        self.symbols += lane.symbols
+        lane.clear()
+
+
 def compared(fragments: DataFrame) -> DataFrame:
-    """(doc, at, low, high, w1, w2): spans found by suffix arrays, and the windows of anchors with too many fragments."""
+    """(doc, at, low, high, w1, w2): spans found by suffix arrays, and the windows of anchors with too many fragments.
+
+    Sorting takes as many steps as the longest string of a call has symbols, so long strings wait for each other in a pool of their own.
+    """
     names = ["doc", "at", "low", "high", "w1", "w2"]
     types = [pa.int64()] * 6
 
+    def spans(pool: Pool) -> Iterator[pa.RecordBatch]:
+        out = []
+        if pool.texts:
+            flags = repeated_windows(pool.texts, np.array(pool.owner), np.array(pool.docs))
+            for doc, places, flag in zip(pool.docs, pool.rows, flags):
+                if flag.any():
+                    edge = np.flatnonzero(np.diff(np.concatenate(([0], flag.view(np.int8), [0]))))
+                    for at in places:
+                        start = (at >> 8) & 0xFFFFFFFF
+                        out += [(doc, at, start + a, start + b + LENGTH - 1, None, None) for a, b in edge.reshape(-1, 2).tolist()]
+        pool.clear()
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=names)
+
+    def windows(text: bytes, doc: int, places: list[int]) -> pa.RecordBatch:
+        data = np.frombuffer(text, dtype=np.uint8)
+        begin = np.arange(len(data) - LENGTH + 1)
+        first = kernels.spans(data, begin, begin + LENGTH).view(np.int64)
+        second = kernels.spans(data ^ 0x5A, begin, begin + LENGTH).view(np.int64)
+        start = (np.array(places) >> 8) & 0xFFFFFFFF
+        low = (start[:, None] + begin[None, :]).ravel()
+        times = len(places)
+        return table(np.full(len(low), doc), np.repeat(np.array(places), len(begin)), low, low + LENGTH,
+                     np.tile(first, times), np.tile(second, times), names=names)
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        texts: list[bytes] = []
-        owner: list[int] = []
-        docs: list[int] = []
-        rows: list[list[int]] = []  # places (at) of each different fragment; equal ones of its document share an entry
-        symbols = 0
-        lane, last = -1, (None, None)
+        short, long, lane = Pool(), Pool(), Pool()  # ``lane`` holds the different fragments of the current anchor
+        number_of_lanes, last = 0, (None, None)
         spread: int | None = None  # the anchor whose windows are being spread
-
-        def spans() -> Iterator[pa.RecordBatch]:
-            nonlocal texts, owner, docs, rows, symbols
-            if texts:
-                out = []
-                flags = repeated_windows(texts, np.array(owner), np.array(docs))
-                for doc, places, flag in zip(docs, rows, flags):
-                    if flag.any():
-                        edge = np.flatnonzero(np.diff(np.concatenate(([0], flag.view(np.int8), [0]))))
-                        for at in places:
-                            start = (at >> 8) & 0xFFFFFFFF
-                            out += [(doc, at, start + a, start + b + LENGTH - 1, None, None) for a, b in edge.reshape(-1, 2).tolist()]
-                if out:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=names)
-            texts, owner, docs, rows, symbols = [], [], [], [], 0
-
-        def windows(text: bytes, doc: int, places: list[int]) -> pa.RecordBatch:
-            data = np.frombuffer(text, dtype=np.uint8)
-            begin = np.arange(len(data) - LENGTH + 1)
-            first = kernels.spans(data, begin, begin + LENGTH).view(np.int64)
-            second = kernels.spans(data ^ 0x5A, begin, begin + LENGTH).view(np.int64)
-            start = (np.array(places) >> 8) & 0xFFFFFFFF
-            low = (start[:, None] + begin[None, :]).ravel()
-            times = len(places)
-            return table(np.full(len(low), doc), np.repeat(np.array(places), len(begin)), low, low + LENGTH,
-                         np.tile(first, times), np.tile(second, times), names=names)
-
         for batch in batches:
             g_of, f_of, doc_of, at_of = (batch[name].to_pylist() for name in NAMES)
             bytes_of = batch["bytes"]
@@ -287,26 +315,25 @@ def compared(fragments: DataFrame) -> DataFrame:
                     yield windows(bytes_of[number].as_py(), doc_of[number], [at_of[number]])
                     continue
                 if (g, f) == last:
-                    rows[-1].append(at_of[number])
+                    lane.rows[-1].append(at_of[number])
                     continue
                 if g != last[0]:
-                    if symbols >= SORTED_AT_ONCE:
-                        yield from spans()
-                    lane += 1
-                    first = len(texts)
+                    pool = long if lane.symbols > LONG_LANE else short
+                    pool.take(lane, number_of_lanes)
+                    number_of_lanes += 1
                     spread = None
+                    if pool.symbols >= SORTED_AT_ONCE:
+                        yield from spans(pool)
                 last = (g, f)
-                texts.append(bytes_of[number].as_py())
-                owner.append(lane)
-                docs.append(doc_of[number])
-                rows.append([at_of[number]])
-                symbols += len(texts[-1]) + 1
-                if len(texts) - first > MOST:
-                    for place in range(first, len(texts)):
-                        yield windows(texts[place], docs[place], rows[place])
-                    del texts[first:], owner[first:], docs[first:], rows[first:]
+                lane.add(bytes_of[number].as_py(), doc_of[number], at_of[number])
+                if len(lane.texts) > MOST:
+                    for text, doc, places in zip(lane.texts, lane.docs, lane.rows):
+                        yield windows(text, doc, places)
+                    lane.clear()
                     spread, last = g, (None, None)
-        yield from spans()
+        (long if lane.symbols > LONG_LANE else short).take(lane, number_of_lanes)
+        yield from spans(short)
+        yield from spans(long)
 
     dealt = fragments.repartition("g").sortWithinPartitions("g", "f", "doc", "at")
     return dealt.mapInArrow(work, ", ".join(f"{name} bigint" for name in names))
