@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from tillweave.llm import frames
+from tillweave.llm import frames, kernels
 
 WINDOW = 2048
 GROUP = 512
@@ -38,7 +38,9 @@ PIECES = (
     "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
 )
 # Remembered chunks in each of two generations of an encoder; results never depend on it.
-CHUNKS, CHUNK_BYTES = 200_000, 48
+CHUNKS, CHUNK_BYTES = 1_000_000, 48
+# Bytes of text whose chunks are numbered together.
+RUN_BYTES = 4 << 20
 # ASCII punctuation that may end a chunk; the apostrophe is left out because it opens tokens of its own ('s, 't, ...).
 TRAILING = b".,!?;:*$%&#"
 # Words of the small letters a-z and U+00DF-U+00F6, U+00F8-U+00FF in UTF-8.
@@ -46,6 +48,12 @@ PLAIN = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+")
 # Fixed values of byte-level vocabularies: the sign that stands for a byte that has no printable one of its own.
 BYTE_SIGNS = {byte: 256 + 33 + byte - 127 for byte in range(127, 161)} | {173: 256 + 33 + 34}
 
+# Bytes between chunks, and every byte as a small letter.
+_BLANK = np.zeros(256, dtype=bool)
+_BLANK[[0x20, 0x0A]] = True
+_SMALL = np.arange(256, dtype=np.uint8)
+_SMALL[65:91] = _SMALL[97:123]
+
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
     import public_tokenizers
@@ -101,21 +109,69 @@ class Encoder:
         for chunk, stem in parts:
             known[chunk] = known[stem] + known[chunk[len(stem) :]]
 
-    def __call__(self, texts: list[bytes]) -> list[bytes]:
+    def _ids(self, chunks: list[bytes]) -> list[bytes]:
+        """ids of different chunks; those met for the first time are learnt."""
         if len(self.known) > CHUNKS:
             self.older = {chunk: ids for chunk, ids in self.known.items() if len(chunk) <= CHUNK_BYTES}
             self.known = {b"": b""}
-        result = []
-        for start in range(0, len(texts), 50):
-            part = texts[start : start + 50]
-            split = [[] if b"<|" in text else text.lower().replace(b"\n", b" ").split(b" ") for text in part]
-            self._learn(set().union(*split).difference(self.known))
-            ids_of = self.known.__getitem__
-            for text, chunks in zip(part, split):
-                result.append(b"".join(map(ids_of, chunks)) if chunks else self._encode([text.decode()])[0])
+        new = [chunk for chunk in chunks if chunk not in self.known]
+        if new:
+            self._learn(set(new))
+        return list(map(self.known.__getitem__, chunks))
+
+    def __call__(self, texts: pa.Array) -> list[bytes]:
+        """ids of every text of a binary column; a null is an empty text.
+
+        The chunks of a run of texts are numbered by a dictionary, each different chunk is looked up once, and the ids of all are
+        gathered from there.
+        """
+        data, offsets = kernels.utf8(texts)
+        result: list[bytes] = []
+        for first, end in kernels.runs(offsets, RUN_BYTES):
+            part, bounds = data[offsets[first] : offsets[end]], offsets[first : end + 1] - offsets[first]
+            if not len(part):
+                result += [b""] * (end - first)
+                continue
+            inside = ~_BLANK[part]
+            begins, stops = inside.copy(), inside.copy()
+            begins[1:] &= ~inside[:-1]
+            stops[:-1] &= ~inside[1:]
+            cut = bounds[(bounds > 0) & (bounds < len(part))]
+            begins[cut], stops[cut - 1] = inside[cut], inside[cut - 1]
+            starts = np.flatnonzero(begins)
+            sizes = np.flatnonzero(stops) + 1 - starts
+            chunks = pa.LargeBinaryArray.from_buffers(
+                pa.large_binary(), len(starts),
+                [None, pa.py_buffer(np.concatenate(([0], np.cumsum(sizes)))), pa.py_buffer(_SMALL[part[inside]])]).dictionary_encode()
+            known = self._ids(chunks.dictionary.to_pylist())
+            ids = np.frombuffer(b"".join(known), dtype="<u4")
+            lengths = np.fromiter(map(len, known), dtype=np.int64, count=len(known)) // 4
+            code = chunks.indices.to_numpy()
+            places = np.concatenate(([0], np.cumsum(lengths)))
+            ends = np.concatenate(([0], np.cumsum(lengths[code])))
+            at = np.repeat(places[code] - ends[:-1], lengths[code]) + np.arange(ends[-1])
+            of_text = ends[np.searchsorted(starts, bounds)]
+            found = ids[at].tobytes() if len(at) else b""
+            run = [found[4 * a : 4 * b] for a, b in zip(of_text[:-1].tolist(), of_text[1:].tolist())]
+            special = np.flatnonzero((part[:-1] == 0x3C) & (part[1:] == 0x7C))
+            for number in np.unique(np.searchsorted(bounds, special, side="right") - 1).tolist():
+                text = part[bounds[number] : bounds[number + 1]].tobytes()
+                if b"<|" in text:
+                    run[number] = self._encode([text.decode()])[0]
+            result += run
         return result
 
 
+_encoders: dict[str, Encoder] = {}
+
+
+def encoder(path: str) -> Encoder:
+    """The encoder of this Python process: the next task goes on with the chunks that this one has learnt."""
+    if path not in _encoders:
+        _encoders[path] = Encoder(path)
+    return _encoders[path]
+
+
 def difference(sizes: list[int], windows: int) -> list[list[int]]:
     """Multiway Karmarkar-Karp: item numbers of each of ``windows`` near-equal windows."""
     heap = []
@@ -184,7 +240,7 @@ def pack(docs: DataFrame, path: str, window: int = WINDOW, group: int = GROUP, e
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = Encoder(path)
+        encode = encoder(path)
         sequence = TaskContext.get().partitionId() << 40
         rows: list[tuple] = []
         rests: list[tuple[int, int, bytes, int]] = []  # doc_id, start, ids, doc_tokens
@@ -210,22 +266,18 @@ def pack(docs: DataFrame, path: str, window: int = WINDOW, group: int = GROUP, e
             return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=names)
 
         for batch in batches:
-            column = batch["text"].cast(pa.binary())
-            ids_of = batch["doc_id"].to_pylist()
-            for first in range(0, len(ids_of), 200):
-                texts = [text or b"" for text in column.slice(first, 200).to_pylist()]
-                for doc_id, ids in zip(ids_of[first : first + 200], encode(texts)):
-                    ids += end
-                    tokens = len(ids) // 4
-                    whole = tokens - tokens % window
-                    for start in range(0, whole, window):
-                        crc = zlib.crc32(ids[4 * start : 4 * (start + window)])
-                        rows.append((doc_id, start, window, crc, tokens, sequence, 0))
-                        sequence += 1
-                    if whole < tokens:
-                        rests.append((doc_id, whole, ids[4 * whole :], tokens))
-                        if len(rests) == group:
-                            flush()
+            for doc_id, ids in zip(batch["doc_id"].to_pylist(), encode(batch["text"])):
+                ids += end
+                tokens = len(ids) // 4
+                whole = tokens - tokens % window
+                for start in range(0, whole, window):
+                    crc = zlib.crc32(ids[4 * start : 4 * (start + window)])
+                    rows.append((doc_id, start, window, crc, tokens, sequence, 0))
+                    sequence += 1
+                if whole < tokens:
+                    rests.append((doc_id, whole, ids[4 * whole :], tokens))
+                    if len(rests) == group:
+                        flush()
             yield out()
         flush()
         yield out()
