@@ -25,6 +25,32 @@ def test_notice_files(spark, folder):
     assert [tuple(r) for r in documents.read_pairs(spark, f"{folder}/pairs.txt").collect()] == [("N1", "N2", "different")]
 
 
+def test_one_large_notice_file_gives_several_tasks(spark, folder):
+    """Records longer than a block, quotes and breaks at block ends, two files of different column order."""
+    import csv
+    import random
+    draw = random.Random(4)
+    pieces = ['a "quoted" word', "line\nbreak", '""', "\n\n", "comma, semicolon;", "été", '"', "\r\n", "plain words " * 5]
+    rows = {f"N{i}": ("".join(draw.choice(pieces) for _ in range(draw.randrange(0, 60))), draw.choice(["", "title", 'x "y"\nz'])) for i in range(300)}
+    for name, ids, order in (("a.csv", list(rows)[:200], [0, 1, 2]), ("b.csv", list(rows)[200:], [2, 0, 1])):
+        with open(f"{folder}/{name}", "w", encoding="utf-8", newline="") as out:
+            write_row = csv.writer(out, quoting=csv.QUOTE_ALL, lineterminator="\n").writerow
+            write_row([("notice_id", "body", "title")[k] for k in order])
+            for i in ids:
+                write_row([(i, *rows[i])[k] for k in order])
+    old = {key: spark.conf.get(key) for key in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    for key in old:
+        spark.conf.set(key, "2k")
+    try:
+        assert spark.read.option("lineSep", "\n").text(f"{folder}/a.csv").rdd.getNumPartitions() > 10
+        got = documents.read_notices(spark, folder).collect()
+    finally:
+        for key, value in old.items():
+            spark.conf.set(key, value)
+    assert len(got) == 300 and {r.portal_id for r in got} == {None}
+    assert {r.notice_id: (r.body or "", r.title or "") for r in got} == rows
+
+
 def test_masters_and_finance(spark, folder):
     write(f"{folder}/stores.csv", "store_id,store_name,address_line,city,state,region,floor_area_sqft,opened_on\n"
                                   'S01,One,"1, Road",X,Y,South,10,2011-01-01\n')
