@@ -419,4 +419,7 @@ ways AS (
   FROM (SELECT c.doc_id, c.portal, c.t, c.body, coalesce(h.words, 0) AS head,
           CASE WHEN coalesce(h.words, 0) + coalesce(f.words, 0) >= len(c.t) THEN 0 ELSE coalesce(f.words, 0) END AS tail
         FROM cut c LEFT JOIN heads h ON h.doc_id = c.doc_id LEFT JOIN tails f ON f.doc_id = c.doc_id)"""),
+    "notices_roundtrip": _with(NOTICES, """SELECT CAST(doc_id AS VARCHAR) AS notice_id, source AS portal_id,
+  'Notice "' || doc_id || '", second' || chr(10) || 'line' AS title, md5("text") AS body_md5, doc_id * 1.5::DOUBLE AS estimated_value,
+  '2024-03-01 10:00:00' AS published_at FROM notices"""),
 }
