@@ -1,10 +1,30 @@
 """Near-duplicate queries in SQL, over the same whole tables and whole texts."""
 
-from tillweave.functions.text import URL, URL_OR_WWW
-from tillweave.operators.evaluation import BIN_EDGES, COST_RATIOS, ESTIMATE_SIZES, EVAL_THRESHOLDS, SCORE_THRESHOLDS, bin_label
-from tillweave.operators.lsh import CAPS, CONFIGURATIONS
-from tillweave.operators.minhash import PRIME, coefficients
-from tillweave.operators.portals import CORRIGENDUM
+import random
+
+# Fixed values, written out here so that a wrong one in the library shows.
+WHITE = r"\t-\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+URL = rf"https?://[^{WHITE}]+"
+URL_OR_WWW = rf"https?://[^{WHITE}]+|www\.[^{WHITE}]+"
+ESTIMATE_SIZES = (32, 64, 128, 256)
+SCORE_THRESHOLDS = (0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9)
+EVAL_THRESHOLDS = (0.5, 0.55, 0.6, 0.65, 0.7, 0.75, 0.8, 0.85, 0.9, 0.95)
+COST_RATIOS = (10, 50, 100)
+BIN_EDGES = (0.0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0)
+CAPS = (50, 100, 150, 200, 300)
+CONFIGURATIONS = {"32x4": (32, 4), "16x8": (16, 8), "8x16": (8, 16)}
+PRIME = 4294967311
+CORRIGENDUM = "(?i)corrigend(um|a)"
+
+
+def bin_label(i: int) -> str:
+    return f"({'-0.001' if i == 0 else i / 10}, {(i + 1) / 10}]"
+
+
+def coefficients(k: int) -> list[tuple[int, int]]:
+    """Multiplier and shift of each permutation, drawn in turn with seed 42."""
+    drawn = random.Random(42)
+    return [(drawn.randint(1, PRIME - 1), drawn.randint(0, PRIME - 1)) for _ in range(k)]
 
 
 def _normal(url: str) -> str:

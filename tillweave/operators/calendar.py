@@ -38,10 +38,10 @@ def trading_ranges(stores: DataFrame, dates: DataFrame) -> DataFrame:
     From ``opened_on`` to ``closed_on`` (null: still open), as far as ``dates`` go. The facts have no say in it, so a store that never
     sent anything, or stopped sending, is expected like any other.
     """
-    ends = dates.agg(F.min("date_key").alias("first"), F.max("date_key").alias("last"))
+    ends = dates.agg(F.min("date_key").alias("first"), F.max("date_key").alias("last")).first()
+    first, last = (F.lit(ends[name]).cast("date") for name in ("first", "last"))
     closed = F.col("closed_on") if "closed_on" in stores.columns else F.lit(None).cast("date")
-    ranges = stores.select("store_id", "opened_on", closed.alias("closed_on")).crossJoin(ends).select(
-        "store_id", F.greatest("opened_on", "first").alias("lo"), F.least(F.coalesce("closed_on", "last"), "last").alias("hi"))
+    ranges = stores.select("store_id", F.greatest("opened_on", first).alias("lo"), F.least(closed, last).alias("hi"))
     return ranges.where("lo <= hi")
 
 

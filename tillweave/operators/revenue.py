@@ -20,14 +20,18 @@ def fact_sales(lines: DataFrame, products: DataFrame, rule: str = "canonical") -
 
     canonical keeps every counted line (no product: ``NO_PRODUCT`` / ``BILL_LEVEL``) and both sides
     of a void; fact_script drops void bills whole and lines without a product; cross_system drops
-    only the VOID rows and lines without a product.
+    only the VOID rows and lines without a product. Lines without a code, which is what bill-level discounts are, go around the
+    join, where they would meet in one task.
     """
     valid = products.select("product_code", "product_sk", "category_id", "valid_from", "valid_to")
     source = without_void_bills(lines) if rule == "fact_script" else lines
     how = "left" if rule == "canonical" else "inner"
+    counted = counted_lines(source, rule)
     joined = join_valid(
-        counted_lines(source, rule), valid, "product_code", "business_date", "valid_from", "valid_to", how
+        counted.where("product_code IS NOT NULL"), valid, "product_code", "business_date", "valid_from", "valid_to", how
     )
+    if how == "left":
+        joined = joined.unionByName(counted.where("product_code IS NULL"), allowMissingColumns=True)
     return joined.select(
         "store_id", "business_date", "bill_no", "line_no",
         F.coalesce("product_sk", F.lit(NO_PRODUCT)).cast("bigint").alias("product_sk"),
@@ -80,7 +84,10 @@ def store_daily(daily: DataFrame, lines: DataFrame, store: str, first: str, last
 
 
 def revenue_cube(daily: DataFrame) -> DataFrame:
-    """Every combination of store, category, weekday and month, from the pre-aggregate."""
+    """Every combination of store, category, weekday and month, from the pre-aggregate.
+
+    ``grouping`` has a bit for each of the four, store first, set where a null stands for all of them and not for a missing value.
+    """
     small = daily.select(
         "store_id", "category_id",
         (F.weekday("business_date") + 1).alias("day_of_week_num"),
@@ -88,7 +95,7 @@ def revenue_cube(daily: DataFrame) -> DataFrame:
         "revenue",
     )
     return small.cube("store_id", "category_id", "day_of_week_num", "month").agg(
-        money_sum().alias("revenue")
+        F.grouping_id().cast("bigint").alias("grouping"), money_sum().alias("revenue")
     )
 
 
