@@ -54,4 +54,4 @@ def test_repeated_and_missing_ids(spark, documents):
 
 def test_every_query_is_registered():
     numbers = {int(name[2:].split("_")[0]) for name in queries.QUERIES}
-    assert numbers == set(range(1, 11)) and len(queries.QUERIES) == 10
+    assert numbers == set(range(1, 14)) and len(queries.QUERIES) == 13 and set(queries.SQL) <= set(queries.QUERIES)
