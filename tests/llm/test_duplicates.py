@@ -5,6 +5,8 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
+
 from tillweave.llm import frames, graph, sampling
 
 
@@ -113,3 +115,28 @@ def test_components(spark, documents):
     links = frames.store(spark.createDataFrame(pairs, "a bigint, b bigint"), "pairs")
     got = {r["node"]: r["component"] for r in graph.components(links).collect()}
     assert got == {x: union.top(x) for pair in pairs if pair[0] != pair[1] for x in pair}
+
+
+def test_profiles_bound_the_similarity():
+    """No pair of similarity SIMILAR is ruled out, most pairs well below it are, whatever the numbers of bins."""
+    rng = np.random.default_rng(3)
+    dropped = far = 0
+    for trial in range(300):
+        grams = np.unique(rng.integers(0, 2**63, rng.integers(1, 900)).astype(np.uint64))
+        weight = (rng.integers(1, 4, len(grams)) * (1 + rng.random(len(grams)))).astype(np.float32)
+        kept = rng.random(len(grams)) < rng.uniform(0.6, 1.0)
+        more = rng.integers(0, 2**63, rng.integers(0, 2 + len(grams) // 3)).astype(np.uint64)
+        other = np.unique(np.concatenate((grams[kept], more)))
+        own = dict(zip(grams.tolist(), weight.tolist()))
+        other_weight = np.array([own.get(g, 1.5) for g in other.tolist()], dtype=np.float32)
+        if not len(other):
+            continue
+        both = sum(own.get(g, 0.0) for g in other.tolist() if g in own)
+        totals = weight.sum(dtype=np.float64), other_weight.sum(dtype=np.float64)
+        similarity = both / (sum(totals) - both)
+        a, b = sampling.profile(grams, weight), sampling.profile(other, other_weight)
+        possible = sampling.hopeful([a], [b], totals[0:1] * np.ones(1), totals[1:2] * np.ones(1))[0, 0]
+        assert possible or similarity < sampling.SIMILAR
+        far += similarity < 0.6
+        dropped += similarity < 0.6 and not possible
+    assert far > 30 and dropped > 0.8 * far

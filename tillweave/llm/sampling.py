@@ -15,6 +15,10 @@ those members of its buckets that are in other classes by then. So no bucket is
 comparisons, and a link is only left out between texts that are in one class without it. Texts that share buckets but stay unlinked
 (similarity just below ``SIMILAR``) are all compared with each other. Classes are the connected components of the links.
 
+Sets travel only where a link is possible. The shingles of a set are dealt by hash to about half as many bins as it has shingles;
+the bins' total weights are its *profile*, and the sum of the smaller of two bins bounds the weight that two sets share, so a pair whose
+bound is below ``SIMILAR`` has no link. The bound is exact: it never leaves out a pair.
+
 Defined results: a null text or one without words is a class of its own. Repeated rows of one doc_id and text fall together;
 of a doc_id with different texts every row gets the smallest class. An empty table gives no rows. Other columns are not read.
 """
@@ -158,31 +162,80 @@ def members(docs: DataFrame, words: np.ndarray, idf: np.ndarray) -> DataFrame:
         work, "doc_id bigint, k1 bigint, k2 bigint, total double, bands array<bigint>")
 
 
+def profile(grams: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Total weight of each bin, rounded up; the number of bins is a power of two, and a bin's number the first bits of a hash."""
+    bits = max(len(grams).bit_length() - 1, 1)
+    bins = (kernels.mix(grams ^ U(0x94D049BB133111EB)) >> U(64 - bits)).astype(np.intp)
+    total = np.bincount(bins, weights=weight, minlength=1 << bits)
+    return np.nextafter(total.astype(np.float32), np.float32(np.inf), where=total > 0, out=np.zeros(1 << bits, np.float32))
+
+
+def folded(profiles: np.ndarray, bins: int) -> np.ndarray:
+    """Profiles (one a row) with neighbouring bins added up until ``bins`` are left."""
+    return profiles.reshape(len(profiles), bins, -1).sum(axis=2, dtype=np.float64)
+
+
+def hopeful(left: list[np.ndarray], right: list[np.ndarray], left_totals: np.ndarray, right_totals: np.ndarray) -> np.ndarray:
+    """Matrix (right, left): whether the profiles allow a weighted Jaccard similarity of ``SIMILAR``."""
+    found = np.zeros((len(right), len(left)), dtype=bool)
+    sizes = [np.array([len(one) for one in side]) for side in (left, right)]
+    for bins_left in np.unique(sizes[0]):
+        lefts = np.flatnonzero(sizes[0] == bins_left)
+        stacked = np.stack([left[i] for i in lefts])
+        for bins_right in np.unique(sizes[1]):
+            rights = np.flatnonzero(sizes[1] == bins_right)
+            few = min(bins_left, bins_right)
+            mine = folded(stacked, few)
+            for i in rights:
+                most = np.minimum(mine, folded(right[i][None, :], few)).sum(axis=1)
+                found[i, lefts] = most >= (SIMILAR - 1e-6) * (left_totals[lefts] + right_totals[i] - most)
+    return found
+
+
 def weighted_sets(docs: DataFrame, words: np.ndarray, idf: np.ndarray) -> DataFrame:
-    """(doc_id, grams, weights) as packed arrays."""
+    """(doc_id, grams, weights, profile) as packed arrays."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [weighted_set(hashes, words, idf) for hashes in kernels.document_words(batch["text"])]
+            packed = lambda arrays: pa.array([one.tobytes() for one in arrays], pa.binary())
             yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], pa.array([g.tobytes() for g, _ in found], pa.binary()),
-                 pa.array([w.tobytes() for _, w in found], pa.binary())], names=["doc_id", "grams", "weights"])
+                [batch["doc_id"], packed(g for g, _ in found), packed(w for _, w in found), packed(profile(g, w) for g, w in found)],
+                names=["doc_id", "grams", "weights", "profile"])
 
-    return docs.select("doc_id", "text").mapInArrow(work, "doc_id bigint, grams binary, weights binary")
+    return docs.select("doc_id", "text").mapInArrow(work, "doc_id bigint, grams binary, weights binary, profile binary")
 
 
-def similarities(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """(a, b, similarity) for rows (a, b): exact weighted Jaccard.
+def with_both(pairs: DataFrame, rows: DataFrame, names: tuple[str, ...]) -> DataFrame:
+    """Rows (a, b) with the columns ``names`` of both, as name_a and name_b.
 
-    A member that is compared with very many others would be one hot key, so its set is spread over as many salts
+    A member that is compared with very many others would be one hot key, so its row is spread over as many salts
     as it has blocks of 64 comparisons.
     """
     times = pairs.groupBy("a").agg(F.ceil(F.count("*") / 64).cast("int").alias("salts"))
-    left = sets.join(times.withColumnRenamed("a", "doc_id"), "doc_id").select(
+    left = rows.join(times.withColumnRenamed("a", "doc_id"), "doc_id").select(
         F.col("doc_id").alias("a"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"),
-        F.col("grams").alias("grams_a"), F.col("weights").alias("weights_a"))
-    right = sets.select(F.col("doc_id").alias("b"), F.col("grams").alias("grams_b"), F.col("weights").alias("weights_b"))
+        *[F.col(name).alias(f"{name}_a") for name in names])
+    right = rows.select(F.col("doc_id").alias("b"), *[F.col(name).alias(f"{name}_b") for name in names])
     salted = pairs.join(times, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("salts")).cast("int").alias("salt"))
+    return salted.join(right, "b").join(left, ["a", "salt"]).drop("salt")
+
+
+def possible(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The rows (a, b) whose profiles allow a link."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sides = [[np.frombuffer(value.as_buffer(), np.float32) for value in batch[name]] for name in ("profile_a", "profile_b")]
+            total = lambda one: np.array([one.sum(dtype=np.float64)])
+            keep = [bool(hopeful([a], [b], total(a), total(b))[0, 0]) for a, b in zip(*sides)]
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return with_both(pairs.select("a", "b"), sets, ("profile",)).mapInArrow(work, "a bigint, b bigint")
+
+
+def similarities(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b, similarity) for rows (a, b): exact weighted Jaccard."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -198,9 +251,7 @@ def similarities(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                 result.append(float(both / either))
             yield pa.RecordBatch.from_arrays([batch["a"], batch["b"], pa.array(result, pa.float64())], names=["a", "b", "similarity"])
 
-    joined = salted.join(right, "b").join(left, ["a", "salt"])
-    return joined.select("a", "b", "grams_a", "weights_a", "grams_b", "weights_b").mapInArrow(
-        work, "a bigint, b bigint, similarity double")
+    return with_both(pairs.select("a", "b"), sets, ("grams", "weights")).mapInArrow(work, "a bigint, b bigint, similarity double")
 
 
 def with_heads(buckets: DataFrame) -> DataFrame:
@@ -221,8 +272,9 @@ def with_heads(buckets: DataFrame) -> DataFrame:
 def rest_links(headed: DataFrame, classes: DataFrame, sets: DataFrame, bands: DataFrame) -> DataFrame:
     """(a, b) of different classes that share a bucket and are similar, where one is outside the class of the bucket's head.
 
-    Members are dealt to blocks of about ``BLOCK`` by a hash, and each pair of blocks with members outside is one group: sets travel once
-    for each pair of blocks and no row stands for a pair of members. Pairs that share several buckets are judged in the first.
+    Members are dealt to blocks of about ``BLOCK`` by a hash, and each pair of blocks with members outside is one group: profiles travel once
+    for each pair of blocks, then the sets of those members that have a possible partner in the group, and no row stands for a pair of members.
+    Pairs that share several buckets are judged in the first.
     """
     own = classes.select(F.col("node").alias("id"), F.col("component").alias("own"))
     of_head = classes.select(F.col("node").alias("head"), F.col("component").alias("head_class"))
@@ -249,30 +301,60 @@ def rest_links(headed: DataFrame, classes: DataFrame, sets: DataFrame, bands: Da
             *keys, F.lit(False).alias("left"), F.lit(True).alias("crossed"), F.explode(upto("out_blocks")).alias("first"),
             dealt("in_blocks").alias("second"), F.lit(False).alias("is_first"), F.lit(True).alias("is_second")))
     )
-    full = groups.join(sets.withColumnRenamed("doc_id", "id"), "id").join(bands, "id")
+    group = ("band", "crossed", "first", "second")
+    flags = ("n", "id", "own", "is_first", "is_second")
+    of_member = lambda *names: sets.select(F.col("doc_id").alias("id"), *names)
+
+    def pairable(rows: dict[str, list], totals: np.ndarray, column: int) -> tuple[list[int], list[int], np.ndarray]:
+        """Numbers of the left and right members, and a matrix (right, left) of the pairs to be judged here."""
+        left = [i for i, flag in enumerate(rows["is_first"]) if flag]
+        right = [i for i, flag in enumerate(rows["is_second"]) if flag]
+        ids, own, shared = np.array(rows["id"]), np.array(rows["own"]), np.array(rows["bands"], dtype=np.int64)
+        wanted = np.zeros((len(right), len(left)), dtype=bool)
+        for place, i in enumerate(right if left else []):
+            first = (shared[left] == shared[i]).argmax(axis=1) == column
+            fits = np.minimum(totals[left], totals[i]) >= SIMILAR * np.maximum(totals[left], totals[i]) * (1 - 1e-6) - 1e-6
+            wanted[place] = first & fits & (own[left] != own[i]) & (ids[left] != ids[i])
+        return left, right, wanted
+
+    def choose(table: pa.Table) -> pa.Table:
+        """The members of a group that have a possible partner in it."""
+        rows = {name: table[name].to_pylist() for name in ("id", "own", "is_first", "is_second", "profile", "bands")}
+        profiles = [np.frombuffer(p, dtype=np.float32) for p in rows["profile"]]
+        totals = np.array([p.sum(dtype=np.float64) for p in profiles])
+        left, right, wanted = pairable(rows, totals, table["n"][0].as_py())
+        keep = np.zeros(len(profiles), dtype=bool)
+        if wanted.any():
+            rights, lefts = np.flatnonzero(wanted.any(axis=1)), np.flatnonzero(wanted.any(axis=0))
+            left, right = np.array(left)[lefts], np.array(right)[rights]
+            pick = lambda numbers: ([profiles[i] for i in numbers], totals[numbers])
+            (left_profiles, left_totals), (right_profiles, right_totals) = pick(left), pick(right)
+            good = wanted[np.ix_(rights, lefts)] & hopeful(left_profiles, right_profiles, left_totals, right_totals)
+            keep[left[good.any(axis=0)]] = True
+            keep[right[good.any(axis=1)]] = True
+        return table.select([*group, *flags]).filter(pa.array(keep))
+
+    schema = "band bigint, crossed boolean, first int, second int, n int, id bigint, own bigint, is_first boolean, is_second boolean"
+    outlined = groups.select(*group, *flags).join(of_member("profile"), "id").join(bands, "id")
+    chosen = frames.store(outlined.groupBy(*group).applyInArrow(choose, schema), "near-chosen")
+    full = chosen.join(of_member("grams", "weights"), "id").join(bands, "id")
 
     def compare(table: pa.Table) -> pa.Table:
         found_a, found_b = [], []
         rows = {name: table[name].to_pylist() for name in ("id", "own", "is_first", "is_second", "grams", "weights", "bands")}
-        left = [i for i, flag in enumerate(rows["is_first"]) if flag]
-        right = [i for i, flag in enumerate(rows["is_second"]) if flag]
-        if left and right:
-            column = table["n"][0].as_py()
-            ids, classes_of = np.array(rows["id"]), np.array(rows["own"])
-            grams = [np.frombuffer(g, dtype=U) for g in rows["grams"]]
-            weights = [np.frombuffer(w, dtype=np.float32).astype(np.float64) for w in rows["weights"]]
-            totals = np.array([w.sum() for w in weights])
-            shared = np.array(rows["bands"], dtype=np.int64)
+        grams = [np.frombuffer(g, dtype=U) for g in rows["grams"]]
+        weights = [np.frombuffer(w, dtype=np.float32).astype(np.float64) for w in rows["weights"]]
+        totals = np.array([w.sum() for w in weights])
+        left, right, judged = pairable(rows, totals, table["n"][0].as_py())
+        if judged.any():
+            ids = np.array(rows["id"])
             owner = np.repeat(np.arange(len(left)), [len(grams[i]) for i in left])
             pool = np.concatenate([grams[i] for i in left])
             order = np.argsort(pool, kind="stable")
             pool, owner = pool[order], owner[order]
             held = np.concatenate([weights[i] for i in left])[order]
-            left_ids, left_totals, left_bands = ids[left], totals[left], shared[left]
-            for i in right:
-                first = (left_bands == shared[i]).argmax(axis=1) == column
-                wanted = first & (classes_of[left] != classes_of[i]) & (left_ids != ids[i])
-                wanted &= np.minimum(left_totals, totals[i]) >= SIMILAR * np.maximum(left_totals, totals[i]) - 1e-6
+            left_ids, left_totals = ids[left], totals[left]
+            for i, wanted in zip(right, judged):
                 if not wanted.any():
                     continue
                 low, high = np.searchsorted(pool, grams[i], "left"), np.searchsorted(pool, grams[i], "right")
@@ -286,7 +368,7 @@ def rest_links(headed: DataFrame, classes: DataFrame, sets: DataFrame, bands: Da
                     found_b.append(max(other, int(ids[i])))
         return pa.table({"a": pa.array(found_a, pa.int64()), "b": pa.array(found_b, pa.int64())})
 
-    return full.groupBy("band", "crossed", "first", "second").applyInArrow(compare, "a bigint, b bigint").distinct()
+    return full.groupBy(*group).applyInArrow(compare, "a bigint, b bigint").distinct()
 
 
 def linked(checked: DataFrame) -> DataFrame:
@@ -303,11 +385,12 @@ def member_links(buckets: DataFrame, bands: DataFrame, sets_of) -> DataFrame:
     star = frames.store(star, "near-star")
     best = star.groupBy("b").agg(F.max(F.struct("score", (-F.col("a")).alias("least"))).alias("best"))
     best = best.select((-F.col("best.least")).alias("a"), "b")
-    first = frames.store(similarities(best, sets), "near-first")
+    first = frames.store(similarities(frames.store(possible(best, sets), "near-possible"), sets), "near-first")
     classes = graph.components(linked(first))
     of = lambda side: classes.select(F.col("node").alias(side), F.col("component").alias(f"class_{side}"))
     others = star.select("a", "b").join(best, ["a", "b"], "left_anti").join(of("a"), "a", "left").join(of("b"), "b", "left")
     others = frames.store(others.where(F.coalesce("class_a", "a") != F.coalesce("class_b", "b")).select("a", "b"), "near-others")
+    others = frames.store(possible(others, sets), "near-possible")
     links = frames.store(linked(first.unionByName(similarities(others, sets))), "near-links")
     classes = graph.components(links)
     rest = frames.store(rest_links(headed, classes, sets, bands), "near-rest")
