@@ -144,3 +144,35 @@ def test_a_vec_id_with_several_vectors_counts_once(spark):
     for i, v in rows[1:]:
         best[i] = max(best.get(i, -10**9), score(v))
     assert [(i, int(s)) for i, s in got] == sorted(best.items(), key=lambda e: (-e[1], e[0]))[:5]
+
+
+def test_annuli_expand_and_stop():
+    """Cells visited by their gap give the exact best, and a block stops before the far cells."""
+    rng = np.random.default_rng(8)
+    near, far = rng.normal(size=(64, 6)), rng.normal(size=(64, 6)) - 80.0
+    longest = float(np.sqrt((far * far).sum(axis=1).max()))
+    pivot = np.zeros(6)
+
+    def cell(ids, mat):
+        dists = np.sqrt((mat * mat).sum(axis=1))
+        order = np.argsort(dists)
+        return {"n": [len(ids)], "ids": [ids[order].tobytes()], "dists": [dists[order].tobytes()],
+                "mat": [topk.vectors.to_bytes(mat[order])], "extra": [b""]}
+
+    query = 70 * np.ones(6)
+    block = cell(np.array([5000]), query[None, :]) | {"extra": [np.array([-np.inf]).tobytes()]}
+    bests = topk.Bests(block, 0, 5, longest)
+    assert not bests.done(1e9)  # nothing found yet: every cell may hold one of the best
+    bests.visit(cell(np.arange(64), near), 0, pivot)
+    assert bests.rows().to_pydict()["vec_id"] == np.argsort(-(near @ query))[:5].tolist()
+    reach = float(np.sqrt(query @ query + longest**2 - 2 * np.sort(near @ query)[-5]))
+    assert bests.done(reach * 1.01) and not bests.done(reach * 0.99)
+    bests.visit(cell(np.arange(100, 164), far), 0, pivot)
+    assert max(bests.rows().to_pydict()["vec_id"]) < 64
+
+
+def test_slices_of_a_block_give_the_same(spark, monkeypatch):
+    monkeypatch.setattr(topk.vectors, "CELL", 64)
+    monkeypatch.setattr(topk, "VISITS", 4)
+    rows = list(enumerate(clustered(2500, 12, seed=5).tolist()))
+    assert lists(topk.exact_top_k(made(spark, rows), 50, 5)) == exact(rows, 50, 5, topk.whole_numbers, True)

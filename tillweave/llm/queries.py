@@ -12,7 +12,7 @@ from tillweave.llm.passages import op5_suffix_dedup
 from tillweave.llm.pii import op11_private_data
 from tillweave.llm.sampling import op8_near_duplicates
 from tillweave.llm.scan import op7_dimension_scan
-from tillweave.llm.topk import op6_exact_top_k
+from tillweave.llm.topk import TOP_K_SQL, op6_exact_top_k
 from tillweave.llm.toxicity import op1_toxicity
 from tillweave.llm.urls import op4_url_filter
 
@@ -33,6 +33,7 @@ QUERIES = {
 }
 
 SQL: dict[str, str] = {
+    "op6_exact_top_k": TOP_K_SQL,
     "op12_merkle_manifest": MERKLE_SQL,
     "op13_collocations": COLLOCATIONS_SQL,
 }
