@@ -3,7 +3,7 @@
 Every vector is keyed by its nearest pivot and its distance to it, and stored in cells sorted by that key. A query first
 searches the cell it lies in; the k-th score found there gives the radius within which anything better must lie, because
 2 * score = |q|^2 + |x|^2 - d(q, x)^2, and by the triangle inequality |d(q, p) - d(x, p)| <= d(q, x) that radius reaches an annulus around each
-pivot. Queries of one pivot that lie near each other share a block. A block visits the cells its annuli reach, nearest first; the
+pivot. Queries that follow each other by pivot and distance share a block. A block visits the cells its annuli reach, nearest first; the
 running k-th best of every query shrinks its radius, and the block stops at the first cell that is farther than the widest radius left. Blocks
 with very many cells are visited in several slices, each in its own order, so no task is longer than ``VISITS`` cells for a block.
 
@@ -178,7 +178,7 @@ def exact_top_k(rows: DataFrame, every: int, k: int) -> DataFrame:
     longest = float(np.sqrt(numbered.agg(F.max(norm)).first()[0] or 0.0))
     with frames.batch_rows(spark, vectors.PACKED_ROWS):
         asked = frames.store(seeds(cells, every, k), "topk-queries")
-    blocks = frames.store(vectors.packed(asked, "block", vectors.QUERY_BLOCK, extra=True), "topk-blocks")
+    blocks = frames.store(vectors.packed(asked, "block", vectors.QUERY_BLOCK, extra=True, across=True), "topk-blocks")
     with frames.batch_rows(spark, vectors.PACKED_ROWS):
         near = reach(blocks, pivots, longest)
         where = cells.select("cell", "pivot", "dmin", "dmax")

@@ -108,11 +108,12 @@ def from_bytes(data: bytes, rows: int) -> np.ndarray:
     return np.frombuffer(data, dtype=chr(data[0]), offset=1).astype(np.float64).reshape(rows, -1)
 
 
-def packed(rows: DataFrame, id_name: str, size: int, extra: bool = False) -> DataFrame:
+def packed(rows: DataFrame, id_name: str, size: int, extra: bool = False, across: bool = False) -> DataFrame:
     """Rows (pivot, dist, vec_id, vec) packed to at most ``size`` of one pivot, sorted by distance, with a unique id.
 
     Rows are dealt out by ranges of (pivot, dist, vec_id), so a pivot that holds most of the vectors, or most of them at
-    one distance, is split like any other.
+    one distance, is split like any other. With ``across`` a pack goes on into the next pivots until it is full, and ``pivot``,
+    ``dmin`` and ``dmax`` say nothing about it.
     """
 
     def pack(part: dict[str, np.ndarray], number: int) -> tuple:
@@ -131,7 +132,7 @@ def packed(rows: DataFrame, id_name: str, size: int, extra: bool = False) -> Dat
         def cut(final: bool) -> Iterator[tuple]:
             nonlocal held, number
             while held and len(held["pivot"]):
-                end = int(np.searchsorted(held["pivot"], held["pivot"][0], side="right"))
+                end = len(held["pivot"]) if across else int(np.searchsorted(held["pivot"], held["pivot"][0], side="right"))
                 if end < size and end == len(held["pivot"]) and not final:
                     return
                 end = min(end, size)
