@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tillweave.functions.text import normalize_text
 from tillweave.operators import minhash as mh, shingles as sh
+from tillweave.plans import neardup
 from tillweave.sources.tables import plan_text
 
 ODD = [
@@ -118,3 +119,28 @@ def test_estimates_of_short_documents(spark):
     pairs = spark.createDataFrame([(0, 1), (1, 2), (0, 3)], "id_a bigint, id_b bigint")
     rows = mh.minhash_estimate(pairs, mh.signatures(docs), (32,)).collect()
     assert {(r.id_a, r.id_b): r.minhash_32 for r in rows} == {(0, 1): 0.0, (1, 2): 1.0, (0, 3): 1.0}
+
+
+def test_range_of_character_runs_is_taken_before_rows_are_made(spark):
+    texts = [(1, "abcdefg"), (1, "bcdefgh"), (2, "abc"), (3, None), (None, "a-b c d")]
+    docs = spark.createDataFrame(texts, "doc_id int, text string")
+    rows = sh.char_ngrams(docs, 5).groupBy("doc_id").agg(
+        F.count("*").alias("shingles"), F.min("shingle").alias("first"), F.max("shingle").alias("last"))
+    got = sh.char_ngram_range(docs, 5)
+    assert sorted(map(str, got.collect())) == sorted(map(str, rows.collect())) and got.where("doc_id = 1").first()["shingles"] == 6
+
+
+def test_texts_give_the_scores_of_their_sets(spark):
+    texts = ["a b c d e f g", "a b c d e x", "", None, "a b", "A, b; C d e f g http://x.y/z", "a b c d e f g"]
+    docs = spark.createDataFrame([(i % 6, t) for i, t in enumerate(texts)], "doc_id int, text string")
+    pairs = docs.select(F.col("doc_id").alias("id_a")).distinct().crossJoin(docs.select(F.col("doc_id").alias("id_b")).distinct())
+    measures = {name: f"{name}_jaccard" for name in sh.SETS}
+    of_sets = sh.pair_jaccard(pairs, sh.shingle_sets(docs, *sh.SETS), measures)
+    of_texts = sh.text_jaccard(pairs, sh.normal_texts(docs), measures)
+    assert sorted(map(str, of_texts.collect())) == sorted(map(str, of_sets.collect())) and of_texts.columns == of_sets.columns
+
+
+def test_labelled_pairs_store_no_sets(spark, monkeypatch):
+    monkeypatch.setattr(sh, "shingle_sets", None)
+    job = neardup.NearDup(spark, "/root/testdata/sf0.001", 0.99)
+    assert job.similarity().count() == job.exact().count() == job.pairs().count()
