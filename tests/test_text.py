@@ -144,3 +144,9 @@ def test_labelled_pairs_store_no_sets(spark, monkeypatch):
     monkeypatch.setattr(sh, "shingle_sets", None)
     job = neardup.NearDup(spark, "/root/testdata/sf0.001", 0.99)
     assert job.similarity().count() == job.exact().count() == job.pairs().count()
+
+
+def test_signatures_send_texts_in_short_batches(spark):
+    docs = neardup.NearDup(spark, "/root/testdata/sf0.001").docs()
+    assert "md5(" not in plan_text(mh.signatures(docs))
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= 1000
