@@ -37,6 +37,12 @@ def test_dedup_limits_each_key_before_the_exchange(spark):
     assert plan.count("WindowGroupLimit") >= 4  # twice in the tree, twice in the details
 
 
+def test_lines_are_read_in_small_splits(spark):
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    Retail(spark, SMALL)
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == "16m"
+
+
 def test_date_range_reaches_the_scan(spark):
     plan = plan_text(Retail(spark, SMALL).fact().where("business_date >= date'1998-07-01' and line_type = 'SALE'").select("revenue"))
     assert "GreaterThanOrEqual(business_date" in plan and "EqualTo(line_type,SALE)" in plan
