@@ -94,3 +94,29 @@ def test_a_preamble_of_many_documents_makes_bounded_work(spark):
     assert cut.selectExpr("max(size(items)) AS n").first().n <= 2 * overflow.BLOCK
     assert overflow.block_pairs(cut, 0.5).count() == 0
     assert {(r.id_a, r.id_b) for r in overflow.meetings(cut, 0.5).collect()} == {(i, 2000 + i) for i in range(3)}
+
+
+def test_near_copies_make_no_row_for_each_pair(spark, monkeypatch):
+    """240 texts of 40 shared and a few own words, some of them repeated rows, in cells of 32: only the result has rows for pairs."""
+    draw = random.Random(5)
+    base = [f"w{i}" for i in range(40)]
+    texts = [" ".join(base[: draw.randrange(24, 40)] + [f"x{i}y{k}" for k in range(draw.randrange(0, 12))]) for i in range(240)]
+    docs = docs_of(spark, texts)
+    docs = docs.unionByName(docs.where("doc_id % 10 = 0"))
+    sets, sigs = sh.shingle_sets(docs, "word5").cache(), mh.signatures(docs).cache()
+    written, write = [], overflow.write_through
+    monkeypatch.setattr(overflow, "write_through", lambda df, name: written.append(write(df, name)) or written[-1])
+    monkeypatch.setattr(overflow, "CELL", 32)
+    found = overflow.crowded_matches(lsh.lsh_buckets(sigs), sets, sigs, 0.5, 60).distinct().collect()
+    ids = {r.doc_id: [tuple(r.sig[4 * k : 4 * k + 4]) for k in range(32)] for r in sigs.collect()}
+    sizes = {}
+    for bands in (row for r in sigs.collect() for row in [ids[r.doc_id]]):
+        for k, band in enumerate(bands):
+            sizes[k, band] = sizes.get((k, band), 0) + 1
+    exact = {i: grams(plain(t).split(), 5, " ") for i, t in enumerate(texts)}
+    alike = {(a, b): len(exact[a] & exact[b]) / len(exact[a] | exact[b]) for a, b in combinations(sorted(ids), 2)
+             if any(x == y and sizes[k, x] > 60 for k, (x, y) in enumerate(zip(ids[a], ids[b])))}
+    alike = {pair: score for pair, score in alike.items() if score >= 0.5}
+    assert len(alike) > 10_000 and {(r.id_a, r.id_b): r.jaccard for r in found} == alike
+    assert max(table.count() for table in written if "cell" in table.columns or "id_a" in table.columns) < 3000
+    assert all("id_a" not in table.columns for table in written)
