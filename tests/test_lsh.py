@@ -148,3 +148,29 @@ def test_thresholds_and_cost(spark):
     assert (by[0.95].precision, by[0.95].recall, by[0.95].f1) == (0.0, 0.0, 0.0)
     best = {r.ratio: (r.minimum_cost, r.threshold) for r in ev.cheapest_threshold(ev.cost_curve(ev.threshold_eval(scored))).collect()}
     assert best == {10: (2, 0.75), 50: (2, 0.75), 100: (2, 0.75)}
+
+
+def test_sets_of_one_group_lie_close_together(spark, monkeypatch):
+    """40 groups of 30 documents, each in a bucket of 25 and in small ones: the numbers of a bucket's documents stay within its group."""
+    draw = random.Random(3)
+    rows = []
+    for group in range(40):
+        ids = [group + 40 * i for i in range(30)]
+        rows += [("32x4", 0, group, i) for i in ids[:25]]
+        for band in range(1, 12):
+            rows += [("32x4", band, 100 * group + k, i) for k in range(5) for i in draw.sample(ids, 4)]
+    buckets = spark.createDataFrame(sorted(set(rows)), "configuration string, band int, bucket_hash bigint, doc_id bigint")
+    numbered, bitmaps = [], lsh.bitmaps
+    monkeypatch.setattr(lsh, "bitmaps", lambda sets: numbered.append(sets) or bitmaps(sets))
+    ids = buckets.select("doc_id").distinct().unionByName(spark.range(5000, 5001).toDF("doc_id"))
+    got = {r.doc_id: r.candidate_count for r in lsh.candidate_counts(buckets, ids).where("configuration = '32x4'").collect()}
+    met = {}
+    for row in rows:
+        met.setdefault(row[:3], set()).add(row[3])
+    others = {i: set() for i in got}
+    for members in met.values():
+        for i in members:
+            others[i] |= members - {i}
+    assert got == {i: len(o) for i, o in others.items()} and got[5000] == 0
+    spans = numbered[0].groupBy("configuration", "members").agg((F.max("place") - F.min("place")).alias("span")).collect()
+    assert max(r.span for r in spans) < 30
