@@ -140,3 +140,25 @@ def test_profiles_bound_the_similarity():
         far += similarity < 0.6
         dropped += similarity < 0.6 and not possible
     assert far > 30 and dropped > 0.8 * far
+
+
+def test_texts_without_a_partner_are_not_shuffled(spark, monkeypatch):
+    docs = spark.range(20_000).selectExpr("id AS doc_id", "concat('t', id) AS text").unionByName(
+        spark.sql("SELECT CAST(null AS bigint) AS doc_id, 'x' AS text"))
+    wanted = spark.range(20_000).where("id % 100 = 7").toDF("doc_id")
+    for marks in (sampling.MARKS, 1 << 17):
+        monkeypatch.setattr(sampling, "MARKS", marks)
+        left = {r.doc_id: r.text for r in sampling.marked(docs, wanted).collect()}
+        assert {i: left[i] for i in range(7, 20_000, 100)} == {i: f"t{i}" for i in range(7, 20_000, 100)}
+        assert len(left) < 400
+
+
+def test_only_marked_texts_reach_the_join(spark, monkeypatch):
+    seen = []
+    inner = sampling.marked
+    monkeypatch.setattr(sampling, "marked", lambda docs, wanted: seen.append(inner(docs, wanted)) or seen[-1])
+    same = " ".join(f"w{k}" for k in range(30))
+    rows = [(i, " ".join(f"v{i}x{k}" for k in range(30))) for i in range(300)] + [(300, same), (301, same + " more")]
+    found = {r.doc_id: r.class_id for r in sampling.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert found == {i: min(i, 300) for i in range(302)}
+    assert {r.doc_id for r in seen[0].collect()} == {300, 301}

@@ -17,7 +17,8 @@ comparisons, and a link is only left out between texts that are in one class wit
 
 Sets travel only where a link is possible. The shingles of a set are dealt by hash to about half as many bins as it has shingles;
 the bins' total weights are its *profile*, and the sum of the smaller of two bins bounds the weight that two sets share, so a pair whose
-bound is below ``SIMILAR`` has no link. The bound is exact: it never leaves out a pair.
+bound is below ``SIMILAR`` has no link. The bound is exact: it never leaves out a pair. Texts are shuffled to make these sets only if a
+bitmap of ``MARKS`` hashed ids says that their document may share a bucket.
 
 Defined results: a null text or one without words is a class of its own. Repeated rows of one doc_id and text fall together;
 of a doc_id with different texts every row gets the smallest class. An empty table gives no rows. Other columns are not read.
@@ -41,6 +42,7 @@ RARE = 1e-3
 BLOCK_WORDS = 2_000_000
 SHINGLE_WORDS = 5
 BLOCK = 256  # members of a block that is compared with another one at once
+MARKS = 1 << 25  # bits that tell most documents without a partner apart before their texts are shuffled
 U = np.uint64
 
 
@@ -206,6 +208,29 @@ def weighted_sets(docs: DataFrame, words: np.ndarray, idf: np.ndarray) -> DataFr
     return docs.select("doc_id", "text").mapInArrow(work, "doc_id bigint, grams binary, weights binary, profile binary")
 
 
+def marked(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows (doc_id, text) of ``wanted`` ids and few others: those whose id has the hash of a wanted one, of ``MARKS``.
+
+    The marks are a bitmap of fixed size, however many ids there are; the more, the more other rows stay.
+    """
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(MARKS)) + 1  # the first bitmap holds the numbers from 1
+    chunks = wanted.groupBy(F.bitmap_bucket_number(place).alias("chunk")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")).collect()
+    found = np.zeros(MARKS // 8, dtype=np.uint8)
+    for row in chunks:
+        bits = np.frombuffer(row["bits"], dtype=np.uint8)
+        found[(row["chunk"] - 1) * 4096 :][: len(bits)] = bits[: MARKS // 8]
+    marks = docs.sparkSession.sparkContext.broadcast(found)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = batch["mark"].to_numpy()
+            keep = marks.value[at >> 3] >> (at & 7).astype(np.uint8) & 1
+            yield batch.select(["doc_id", "text"]).filter(pa.array(keep.astype(bool)))
+
+    return docs.select("doc_id", "text", (place - 1).alias("mark")).mapInArrow(work, docs.select("doc_id", "text").schema)
+
+
 def with_both(pairs: DataFrame, rows: DataFrame, names: tuple[str, ...]) -> DataFrame:
     """Rows (a, b) with the columns ``names`` of both, as name_a and name_b.
 
@@ -407,7 +432,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     buckets = banded.select(F.xxhash64("n", "key").alias("band"), "n", "id", "total")
 
     def sets_of(wanted: DataFrame) -> DataFrame:
-        texts = docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi")
+        wanted = frames.store(wanted, "near-wanted")
+        texts = marked(docs, wanted).join(wanted, "doc_id", "left_semi")
         return weighted_sets(texts, words, idf)
 
     classes = member_links(buckets, alike.select("id", "bands"), sets_of)
