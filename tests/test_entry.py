@@ -1,5 +1,6 @@
 """The entry module without the training-data subpackage."""
 
+import os
 import shutil
 import subprocess
 import sys
@@ -20,6 +21,14 @@ def test_entry_works_without_the_subpackage(folder, left_out):
     assert int(done.stdout) > 50
 
 
+def test_a_pipeline_elsewhere_on_the_path_is_not_taken(folder):
+    copy = Path(folder) / "repo"
+    shutil.copytree(ROOT, copy, ignore=shutil.ignore_patterns("corpus_pipeline.py", ".git", "__pycache__"))
+    env = os.environ | {"PYTHONPATH": os.pathsep.join([str(ROOT), os.environ.get("PYTHONPATH", "")])}
+    done = subprocess.run([sys.executable, "-c", CODE], cwd=copy, capture_output=True, text=True, timeout=120, env=env)
+    assert done.returncode == 0, done.stderr
+
+
 def test_a_folder_with_leftovers_counts_as_gone(folder):
     copy = Path(folder) / "repo"
     shutil.copytree(ROOT, copy, ignore=shutil.ignore_patterns(".git", "__pycache__"))
