@@ -153,6 +153,23 @@ def test_texts_without_a_partner_are_not_shuffled(spark, monkeypatch):
         assert len(left) < 400
 
 
+def test_sets_are_made_in_tasks_with_one_python_process(spark, monkeypatch):
+    plans = []
+    inner = sampling.weighted_sets
+
+    def planned(texts, words, idf):
+        found = inner(texts, words, idf)
+        plans.append(found._jdf.queryExecution().executedPlan().toString())
+        return found
+
+    monkeypatch.setattr(sampling, "weighted_sets", planned)
+    rows = [(i, " ".join(f"v{i // 2}x{k}" for k in range(30))) for i in range(40)] + [(40 + i, f"v{i}x0 " * 30) for i in range(2)]
+    rows += [(50 + i, " ".join(f"w{k}" for k in range(60)) + f" own{i}") for i in range(2)]
+    found = {r.doc_id: r.class_id for r in sampling.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert found[51] == found[50] == 50 and found[1] == 0
+    assert [plan.count("MapInArrow") for plan in plans] == [1]
+
+
 def test_only_marked_texts_reach_the_join(spark, monkeypatch):
     seen = []
     inner = sampling.marked

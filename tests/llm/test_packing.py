@@ -1,13 +1,14 @@
 """Packing: exact round trip of ids, windows within capacity, differencing."""
 
 import random
+import weakref
 import zlib
 
 import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
-from tillweave.llm import packing
+from tillweave.llm import kernels, packing
 
 
 @pytest.fixture(scope="module")
@@ -82,3 +83,13 @@ def test_levelled_has_no_padding():
 
 def test_empty(documents):
     assert packing.pack(documents([(1, "a")]).where("doc_id < 0"), packing.vocabulary_path()).count() == 0
+
+
+def test_the_encoder_is_kept_for_packing_only():
+    path = packing.vocabulary_path()
+    first = list(kernels.lean(lambda batches: (packing.encoder(path) for _ in batches), keep=True)([0]))[0]
+    assert list(kernels.lean(lambda batches: (packing.encoder(path) for _ in batches), keep=True)([0])) == [first]
+    freed = weakref.ref(first)
+    del first
+    assert list(kernels.lean(lambda batches: batches)([1, 2])) == [1, 2]
+    assert freed() is None and not kernels.kept

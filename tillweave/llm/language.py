@@ -106,7 +106,7 @@ def fit_profiles(sample: DataFrame, size: int = PROFILE) -> dict[str, list[int]]
                 yield pa.RecordBatch.from_pydict(
                     {"lang": pa.array([lang] * len(keys), pa.string()), "gram": keys, "n": total})
 
-    counts = sample.mapInArrow(count, "lang string, gram bigint, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    counts = sample.mapInArrow(kernels.lean(count), "lang string, gram bigint, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))
     rows = counts.withColumn("place", place).where(F.col("place") <= size).select("lang", "gram", "place").collect()
     profiles: dict[str, list[int]] = {}
@@ -145,7 +145,7 @@ def identify(docs: DataFrame, profiles: dict[str, list[int]], size: int = PROFIL
             columns += [pa.array([j[0] for j in judged], pa.string()), pa.array([j[1] for j in judged], pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, names=[*keep, "lang_pred", "score"])
 
-    return docs.select(*keep, *(["text"] if "text" not in keep else [])).mapInArrow(label, schema)
+    return docs.select(*keep, *(["text"] if "text" not in keep else [])).mapInArrow(kernels.lean(label), schema)
 
 
 def held_out(modulus: int = 4, rest: int = 2) -> Column:

@@ -162,14 +162,11 @@ class Encoder:
         return result
 
 
-_encoders: dict[str, Encoder] = {}
-
-
 def encoder(path: str) -> Encoder:
-    """The encoder of this Python process: the next task goes on with the chunks that this one has learnt."""
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+    """The encoder of this Python process: the next task of packing goes on with the chunks that this one has learnt."""
+    if path not in kernels.kept:
+        kernels.kept[path] = Encoder(path)
+    return kernels.kept[path]
 
 
 def difference(sizes: list[int], windows: int) -> list[list[int]]:
@@ -282,7 +279,7 @@ def pack(docs: DataFrame, path: str, window: int = WINDOW, group: int = GROUP, e
         flush()
         yield out()
 
-    return docs.select("doc_id", "text").mapInArrow(work, PIECES)
+    return docs.select("doc_id", "text").mapInArrow(kernels.lean(work, keep=True), PIECES)
 
 
 def op2_packing(spark, sf_dir: str) -> DataFrame:

@@ -117,7 +117,7 @@ def anchored(docs: DataFrame) -> DataFrame:
                 yield table(spread, (low << 32) | high, ids[who], (tags[who] << 44) | _SETTLED, names=NAMES)
 
     source = docs.where(F.col("doc_id").isNotNull() & (F.octet_length("text") >= LENGTH)).select(F.col("doc_id").alias("doc"), tag().alias("tag"), "text")
-    return source.mapInArrow(work, ROW)
+    return source.mapInArrow(kernels.lean(work), ROW)
 
 
 def settled(rows: DataFrame) -> DataFrame:
@@ -175,7 +175,7 @@ def settled(rows: DataFrame) -> DataFrame:
         return pa.RecordBatch.from_arrays([none, none, *(pa.array(c) for c in (doc, at, low, high))], names=names)
 
     dealt = rows.repartition("g").sortWithinPartitions("g", "f", "doc")
-    return dealt.mapInArrow(work, f"{ROW}, low bigint, high bigint")
+    return dealt.mapInArrow(kernels.lean(work), f"{ROW}, low bigint, high bigint")
 
 
 def with_bytes(compare: DataFrame, docs: DataFrame) -> DataFrame:
@@ -202,7 +202,7 @@ def with_bytes(compare: DataFrame, docs: DataFrame) -> DataFrame:
                 [pa.array(c) for c in (g, f, doc, at)] + [blobs], names=[*NAMES, "bytes"])
 
     joined = texts.join(asked, ["doc", "tag"])
-    return joined.select("doc", "text", "asked").mapInArrow(work, f"{ROW}, bytes binary")
+    return joined.select("doc", "text", "asked").mapInArrow(kernels.lean(work), f"{ROW}, bytes binary")
 
 
 def repeated_windows(texts: list[bytes], owner: np.ndarray, docs: np.ndarray) -> list[np.ndarray]:
@@ -336,7 +336,7 @@ def compared(fragments: DataFrame) -> DataFrame:
         yield from spans(long)
 
     dealt = fragments.repartition("g").sortWithinPartitions("g", "f", "doc", "at")
-    return dealt.mapInArrow(work, ", ".join(f"{name} bigint" for name in names))
+    return dealt.mapInArrow(kernels.lean(work), ", ".join(f"{name} bigint" for name in names))
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
@@ -397,7 +397,7 @@ def without_repeats(docs: DataFrame, keep: list[str], text: bool = False) -> Dat
 
     marked = docs.select(*keep, "text", tag().alias("own_tag")).join(
         spans, (F.col("doc_id") == F.col("span_doc")) & (F.col("own_tag") == F.col("span_tag")), "left")
-    return marked.select(*keep, "text", "span_list").mapInArrow(work, schema)
+    return marked.select(*keep, "text", "span_list").mapInArrow(kernels.lean(work), schema)
 
 
 def op5_suffix_dedup(spark, sf_dir: str) -> DataFrame:

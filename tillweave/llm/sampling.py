@@ -68,7 +68,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
                     yield flush()
         yield flush()
 
-    found = docs.select("text").mapInArrow(work, "word bigint, n bigint")
+    found = docs.select("text").mapInArrow(kernels.lean(work), "word bigint, n bigint")
     return found.groupBy("word").agg(F.sum("n").alias("docs"))
 
 
@@ -161,7 +161,7 @@ def members(docs: DataFrame, words: np.ndarray, idf: np.ndarray) -> DataFrame:
                     names=["doc_id", "k1", "k2", "total", "bands"])
 
     return docs.select("doc_id", "text").mapInArrow(
-        work, "doc_id bigint, k1 bigint, k2 bigint, total double, bands array<bigint>")
+        kernels.lean(work), "doc_id bigint, k1 bigint, k2 bigint, total double, bands array<bigint>")
 
 
 def profile(grams: np.ndarray, weight: np.ndarray) -> np.ndarray:
@@ -205,7 +205,7 @@ def weighted_sets(docs: DataFrame, words: np.ndarray, idf: np.ndarray) -> DataFr
                 [batch["doc_id"], packed(g for g, _ in found), packed(w for _, w in found), packed(profile(g, w) for g, w in found)],
                 names=["doc_id", "grams", "weights", "profile"])
 
-    return docs.select("doc_id", "text").mapInArrow(work, "doc_id bigint, grams binary, weights binary, profile binary")
+    return docs.select("doc_id", "text").mapInArrow(kernels.lean(work), "doc_id bigint, grams binary, weights binary, profile binary")
 
 
 def marked(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -228,7 +228,7 @@ def marked(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             keep = marks.value[at >> 3] >> (at & 7).astype(np.uint8) & 1
             yield batch.select(["doc_id", "text"]).filter(pa.array(keep.astype(bool)))
 
-    return docs.select("doc_id", "text", (place - 1).alias("mark")).mapInArrow(work, docs.select("doc_id", "text").schema)
+    return docs.select("doc_id", "text", (place - 1).alias("mark")).mapInArrow(kernels.lean(work), docs.select("doc_id", "text").schema)
 
 
 def with_both(pairs: DataFrame, rows: DataFrame, names: tuple[str, ...]) -> DataFrame:
@@ -256,7 +256,7 @@ def possible(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             keep = [bool(hopeful([a], [b], total(a), total(b))[0, 0]) for a, b in zip(*sides)]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return with_both(pairs.select("a", "b"), sets, ("profile",)).mapInArrow(work, "a bigint, b bigint")
+    return with_both(pairs.select("a", "b"), sets, ("profile",)).mapInArrow(kernels.lean(work), "a bigint, b bigint")
 
 
 def similarities(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -276,7 +276,7 @@ def similarities(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                 result.append(float(both / either))
             yield pa.RecordBatch.from_arrays([batch["a"], batch["b"], pa.array(result, pa.float64())], names=["a", "b", "similarity"])
 
-    return with_both(pairs.select("a", "b"), sets, ("grams", "weights")).mapInArrow(work, "a bigint, b bigint, similarity double")
+    return with_both(pairs.select("a", "b"), sets, ("grams", "weights")).mapInArrow(kernels.lean(work), "a bigint, b bigint, similarity double")
 
 
 def with_heads(buckets: DataFrame) -> DataFrame:
@@ -433,7 +433,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     def sets_of(wanted: DataFrame) -> DataFrame:
         wanted = frames.store(wanted, "near-wanted")
-        texts = marked(docs, wanted).join(wanted, "doc_id", "left_semi")
+        # Stored, so that no task runs two Python processes at once: Spark would keep them all, each with its memory.
+        texts = frames.store(marked(docs, wanted).join(wanted, "doc_id", "left_semi"), "near-texts")
         return weighted_sets(texts, words, idf)
 
     classes = member_links(buckets, alike.select("id", "bands"), sets_of)
