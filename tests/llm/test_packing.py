@@ -1,10 +1,12 @@
 """Packing: exact round trip of ids, windows within capacity, differencing."""
 
+import itertools
 import random
 import weakref
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -93,3 +95,12 @@ def test_the_encoder_is_kept_for_packing_only():
     del first
     assert list(kernels.lean(lambda batches: batches)([1, 2])) == [1, 2]
     assert freed() is None and not kernels.kept
+
+
+def test_remembered_chunks_stay_few(tokenizer):
+    words = ["".join(letters) for letters in itertools.islice(itertools.product("abcdefghijklmnopqrstuvwxyz", repeat=5), 840_000)]
+    encode = packing.Encoder(packing.vocabulary_path())
+    for start in range(0, len(words), 280_000):
+        encode(pa.array([" ".join(words[start : start + 280_000]).encode()]))
+    assert len(encode.known) + len(encode.older) < 600_000
+    assert np.frombuffer(encode(pa.array([b"aaaaa zebra"]))[0], "<u4").tolist() == tokenizer.encode("aaaaa zebra", add_special_tokens=False).ids

@@ -37,8 +37,8 @@ VOCABULARY = "word_bpe_49k.json"
 PIECES = (
     "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
 )
-# Remembered chunks in each of two generations of an encoder; results never depend on it.
-CHUNKS, CHUNK_BYTES = 1_000_000, 48
+# Remembered chunks in each of two generations of an encoder; results never depend on it. Two of 250,000 take about 120 MB of a Python process.
+CHUNKS, CHUNK_BYTES = 250_000, 48
 # Bytes of text whose chunks are numbered together.
 RUN_BYTES = 4 << 20
 # ASCII punctuation that may end a chunk; the apostrophe is left out because it opens tokens of its own ('s, 't, ...).
