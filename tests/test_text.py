@@ -130,6 +130,17 @@ def test_range_of_character_runs_is_taken_before_rows_are_made(spark):
     assert sorted(map(str, got.collect())) == sorted(map(str, rows.collect())) and got.where("doc_id = 1").first()["shingles"] == 6
 
 
+def test_character_runs_are_rows_and_their_range_needs_no_sort(spark):
+    docs = spark.createDataFrame([(1, "abcdefghij"), (1, "zbcdefgh 0"), (2, "abc"), (3, None), (4, "0-b 9 d z1 aaaaaaaaaa"), (None, "q w e r t y")], "doc_id int, text string")
+    for n in (1, 5, 7, 8):
+        rows = sh.char_ngrams(docs, n).groupBy("doc_id").agg(
+            F.count("*").alias("shingles"), F.min("shingle").alias("first"), F.max("shingle").alias("last"))
+        got = sh.char_ngram_range(docs, n)
+        assert sorted(map(str, got.collect())) == sorted(map(str, rows.collect())) and got.dtypes == rows.dtypes
+    plan = plan_text(sh.char_ngram_range(docs, 5))
+    assert "explode(array_distinct(" in plan and "HashAggregate" in plan and "Sort" not in plan
+
+
 def test_texts_give_the_scores_of_their_sets(spark):
     texts = ["a b c d e f g", "a b c d e x", "", None, "a b", "A, b; C d e f g http://x.y/z", "a b c d e f g"]
     docs = spark.createDataFrame([(i % 6, t) for i, t in enumerate(texts)], "doc_id int, text string")
