@@ -32,7 +32,7 @@ def store(df: DataFrame, name: str) -> DataFrame:
     """Write an intermediate table to the shared folder and read it back."""
     spark = df.sparkSession
     path = f"{session.shared_dir(spark)}/tables/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    session.write_parquet(df, path)
     for paths in _recording:
         paths.append(path)
     return spark.read.schema(df.schema).parquet(path)
@@ -50,10 +50,8 @@ def recording(paths: list[str]):
 
 def delete(spark: SparkSession, paths: list[str]) -> None:
     """Delete stored tables. What was derived from them must have been written."""
-    hadoop = spark._jvm.org.apache.hadoop.fs
     while paths:
-        place = hadoop.Path(paths.pop())
-        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+        session.delete(spark, paths.pop())
 
 
 def remainder(key: str, modulus: int) -> Column:
