@@ -6,7 +6,8 @@ import random
 import numpy as np
 import pytest
 
-from tillweave.llm import passages, suffixes
+from leftovers import left_of, shuffle_files
+from tillweave.llm import frames, kernels, passages, suffixes
 
 
 def brute(rows):
@@ -122,3 +123,67 @@ def test_long_and_short_strings_are_sorted_apart(spark, documents, monkeypatch,
     parts = ["".join(rng.choice("abc ") for _ in range(rng.choice([55, 80, 200]))) for _ in range(6)]
     rows = [(i, "".join(rng.choice(parts)[rng.randint(0, 9):] for _ in range(4))) for i in range(40)]
     check(documents(rows), rows)
+
+
+def letters(rng, n):
+    return "".join(rng.choices("abcdefghijklmnopqrstuvwxyz ", k=n))
+
+
+def compared_docs(spark, docs):
+    found = frames.store(passages.settled(passages.anchored(docs)), "test")
+    return sorted(r["doc"] for r in found.where("g IS NOT NULL").select("doc").collect())
+
+
+def test_fragments_without_a_partner_are_not_compared(spark, documents):
+    rng = random.Random(7)
+    phrases = [letters(rng, 30) for _ in range(200)]  # too short for a window, long enough for an anchor
+    rows = [(i, letters(rng, 80) + phrases[i % 200] + letters(rng, 80)) for i in range(400)]
+    again = letters(rng, 60)  # repeated within one document only
+    rows += [(1000, letters(rng, 70) + again + letters(rng, 70) + again + letters(rng, 70))]
+    assert len(compared_docs(spark, documents(rows))) <= 8  # the sides' hashes have 8 bits
+    passage = letters(rng, 60)
+    rows += [(2000, letters(rng, 70) + passage + letters(rng, 70)), (2001, letters(rng, 90) + passage + letters(rng, 50))]
+    assert {2000, 2001} <= set(compared_docs(spark, documents(rows)))
+    check(documents(rows), rows)
+
+
+def test_anchors_that_come_in_pieces(spark, documents):
+    rng = random.Random(8)
+    stock = [letters(rng, 25) for _ in range(12)]
+    rows = [(i, " ".join(rng.choices(stock, k=6)) + letters(rng, 20)) for i in range(120)]
+    docs = documents(rows)
+    anchored = frames.store(passages.anchored(docs), "test")
+
+    def parts(df):
+        got = [tuple(r) for r in df.collect()]
+        return {r for r in got if r[0] is not None}, sorted(r for r in got if r[0] is None)
+
+    whole = parts(passages.settled(anchored))
+    with frames.batch_rows(spark, "3"):
+        pieces = parts(passages.settled(anchored, at_once=1))
+    assert pieces[0] >= whole[0] and pieces[1] == whole[1] and whole[0]
+    check(docs, rows)
+
+
+def test_texts_cut_together_give_the_fragments_of_each():
+    rng = random.Random(9)
+    texts = [letters(rng, n).encode() for n in (0, 10, 49, 50, 51, 300, 0, 120, 19, 2000, 50)] + ["a".encode() * 90]
+    for order in (texts, texts[::-1]):
+        bounds = np.cumsum([0, *map(len, order)])
+        got = np.stack([c.astype(np.int64) for c in passages.fragments_of(np.frombuffer(b"".join(order), np.uint8), bounds)], axis=1)
+        alone = []
+        for number, text in enumerate(order):
+            if len(text) >= passages.LENGTH:
+                g, f, _, start, windows = passages.fragments_of(np.frombuffer(text, np.uint8), np.array([0, len(text)]))
+                alone += zip(g.astype(np.int64).tolist(), f.astype(np.int64).tolist(), [number] * len(g), start.tolist(), windows.tolist())
+                assert windows.sum() == len(text) - passages.LENGTH + 1 and kernels.running(np.frombuffer(text, np.uint8)).size == len(text) + 1
+        assert [tuple(r) for r in got.tolist()] == alone
+
+
+def test_passages_leave_no_shuffle_files(spark, documents):
+    rng = random.Random(10)
+    passage = letters(rng, 60)
+    docs = documents([(i, letters(rng, 70) + passage + letters(rng, 70)) for i in range(20)])
+    before = shuffle_files(spark)
+    assert passages.repeated_spans(docs).count() == 19
+    assert len({name.split("_")[1] for name in left_of(spark, before)}) <= 1  # that of the count

@@ -141,20 +141,25 @@ def shingles(hashes: np.ndarray, n: int = 5) -> np.ndarray:
     return mix(total)
 
 
-def spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Hash of the bytes from each start to its end, which also tells lengths apart."""
+def running(data: np.ndarray) -> np.ndarray:
+    """What ``spans`` and ``gram_hashes`` of one text are taken from; pass it on if both are."""
     total = np.zeros(len(data) + 1, dtype=U)
     np.cumsum(_BYTE[data] * powers(_BASE, len(data)), out=total[1:])
+    return total
+
+
+def spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, total: np.ndarray | None = None) -> np.ndarray:
+    """Hash of the bytes from each start to its end, which also tells lengths apart."""
+    total = running(data) if total is None else total
     return mix((total[ends] - total[starts]) * powers(_BASE_INVERSE, len(data))[starts] + (ends - starts).astype(U))
 
 
-def gram_hashes(data: np.ndarray, k: int) -> np.ndarray:
+def gram_hashes(data: np.ndarray, k: int, total: np.ndarray | None = None) -> np.ndarray:
     """Hash of the ``k`` bytes that start at each position (the last k - 1 positions have none)."""
     count = len(data) - k + 1
     if count < 1:
         return np.zeros(0, dtype=U)
-    total = np.zeros(len(data) + 1, dtype=U)
-    np.cumsum(_BYTE[data] * powers(_BASE, len(data)), out=total[1:])
+    total = running(data) if total is None else total
     return mix((total[k:] - total[:-k]) * powers(_BASE_INVERSE, len(data))[:count])
 
 

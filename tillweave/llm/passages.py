@@ -5,10 +5,13 @@ is the window's anchor; equal windows have equal anchors, so they meet under the
 *fragment*: a stretch of the text of less than 2 * LENGTH bytes. Under each anchor
 
 * fragments of equal bytes need no comparison: all but those of the smallest document are repeated as a whole;
-* different fragments are joined to one text, its suffix array is built by linear grouping (``suffixes``), and neighbouring
+* equal windows have equal bytes around the anchor, at least ``SIDE`` of them to its left or to its right; a fragment with no such
+  neighbour in a fragment of another document has nothing to compare;
+* the other fragments are joined to one text, its suffix array is built by linear grouping (``suffixes``), and neighbouring
   suffixes with ``LENGTH`` bytes in common are the repeated windows; the smallest document among them keeps its own.
 
-Hashes only bring fragments together (64 bits for the anchor, 64 more for equal bytes). Copies within one Arrow batch are settled
+Hashes only bring fragments together (48 bits for the anchor, 8 for each side, 64 more for equal bytes); a collision costs a comparison,
+and only one of all bits would take different fragments for equal. Copies within one Arrow batch are settled
 before the shuffle, so a passage that very many documents share sends one row per batch. Anchors with more than ``MOST``
 different fragments are not sorted in one task: their windows are spread by a 128-bit hash of their bytes and counted there.
 
@@ -31,6 +34,12 @@ from tillweave.llm import frames, kernels, suffixes
 
 LENGTH = 50
 GRAM = 20
+# A window has more than twice SIDE - 1 bytes besides its anchor, so SIDE of them lie on one side of it.
+SIDE = (LENGTH - GRAM + 1) // 2
+# Bytes of texts that are cut into fragments together.
+TOGETHER = 1 << 17
+# Rows of fragments looked at together.
+GATHERED = 16_000
 # Different fragments under one anchor that one task sorts.
 MOST = 96
 # Symbols that are sorted side by side.
@@ -52,15 +61,68 @@ def table(*columns: np.ndarray, names: list[str]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
 
 
-def fragments_of(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(anchor hash, fragment hash, start, number of windows) of one text."""
-    grams = kernels.gram_hashes(data, GRAM)
+def fragments_of(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(anchor and sides, fragment hash, number of the text, start in it, number of windows) of the texts between ``bounds``.
+
+    The first is a 48-bit hash of the anchor, then 8 bits each of the ``SIDE`` bytes to its left and right; 0 where the fragment has fewer.
+    """
+    total = kernels.running(data)
+    grams = kernels.gram_hashes(data, GRAM, total)
     places = kernels.anchors(grams, LENGTH - GRAM + 1)
-    change = np.ones(len(places), dtype=bool)
-    change[1:] = places[1:] != places[:-1]
-    start = np.flatnonzero(change)
-    windows = np.diff(start, append=len(places))
-    return grams[places[start]], kernels.spans(data, start, start + windows + LENGTH - 1), start, windows
+    first = np.zeros(len(places), dtype=bool)  # windows with another anchor than the one before
+    first[1:] = places[1:] != places[:-1]
+    first[:1] = True
+    inside = np.ones(len(places) + 1, dtype=bool)  # windows that reach into no other text, and the end
+    inside[-1] = False
+    for low in bounds[1:-1]:
+        inside[max(low - LENGTH + 1, 0) : low] = False
+    first[bounds[:-1][bounds[:-1] < len(places)]] = True
+    start = np.flatnonzero(first & inside[:-1])
+    # A fragment ends where the next begins, or at the first window behind that reaches into another text.
+    stops = np.flatnonzero((np.append(first, True) | ~inside)[1:]) + 1
+    windows = stops[np.searchsorted(stops, start, side="right")] - start
+    anchor, end = places[start], start + windows + LENGTH - 1
+    number = np.searchsorted(bounds, start, side="right") - 1
+
+    def side(low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        there = (low >= start) & (high <= end)
+        hashes = kernels.spans(data, np.where(there, low, 0), np.where(there, high, 0), total)
+        return np.where(there, (hashes >> U(56)) % U(255) + U(1), U(0))
+
+    sides = (side(anchor - SIDE, anchor) << U(8)) | side(anchor + GRAM, anchor + GRAM + SIDE)
+    return (grams[anchor] & ~U(0xFFFF)) | sides, kernels.spans(data, start, end, total), number, start - bounds[number], windows
+
+
+def met(g: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """Which of the fragments, in the order of their ``g``, agree on one side of their anchor with a fragment of another document."""
+
+    def several(key: np.ndarray, doc: np.ndarray) -> np.ndarray:
+        first = np.ones(len(key), dtype=bool)
+        first[1:] = key[1:] != key[:-1]
+        begins = np.flatnonzero(first)
+        return (np.minimum.reduceat(doc, begins) != np.maximum.reduceat(doc, begins))[np.cumsum(first) - 1]
+
+    if not len(g):
+        return np.zeros(0, dtype=bool)
+    left = several(g >> 8, doc) & ((g & 0xFF00) != 0)
+    right = (g & ~0xFF00)
+    order = np.argsort(right, kind="stable")
+    found = np.empty(len(g), dtype=bool)
+    found[order] = several(right[order], doc[order])
+    return left | (found & ((g & 0xFF) != 0))
+
+
+def gathered(batches: Iterator[pa.RecordBatch], at_once: int) -> Iterator[list[np.ndarray]]:
+    """The columns of ``NAMES`` of so many batches that they have ``at_once`` rows."""
+    some, rows = [], 0
+    for batch in batches:
+        some.append([batch[name].to_numpy(zero_copy_only=False) for name in NAMES])
+        rows += batch.num_rows
+        if rows >= at_once:
+            yield [np.concatenate(column) for column in zip(*some)]
+            some, rows = [], 0
+    if rows:
+        yield [np.concatenate(column) for column in zip(*some)]
 
 
 def merge(doc: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -91,21 +153,22 @@ def anchored(docs: DataFrame) -> DataFrame:
             ids = batch["doc"].to_numpy(zero_copy_only=False)
             tags = batch["tag"].to_numpy(zero_copy_only=False).astype(np.int64)
             parts = []
-            for number in range(len(ids)):
-                text = data[offsets[number] : offsets[number + 1]]
-                if len(text) >= LENGTH:
-                    g, f, start, windows = fragments_of(text)
-                    parts.append((g.view(np.int64), f.view(np.int64), np.full(len(g), number),
-                                  (start << 8) | windows))
+            for low, high in kernels.runs(offsets, TOGETHER):
+                part, bounds = data[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low]
+                if len(part) >= LENGTH:
+                    g, f, number, start, windows = fragments_of(part, bounds)
+                    parts.append((g.view(np.int64), f.view(np.int64), number + low, (start << 8) | windows))
             if not parts:
                 continue
             g, f, number, at = (np.concatenate(column) for column in zip(*parts))
-            doc = ids[number]
-            order = np.lexsort((doc, f, g))
-            g, f, number, at, doc = g[order], f[order], number[order], at[order], doc[order]
+            # Equal fragments side by side; should others come between them, they are settled behind the shuffle. Rows go out in the
+            # order of the texts, whose ids then repeat from row to row and compress.
+            order = np.argsort(g ^ f)
             first = np.ones(len(g), dtype=bool)
-            first[1:] = (g[1:] != g[:-1]) | (f[1:] != f[:-1])
-            least = doc[np.flatnonzero(first)][np.cumsum(first) - 1]
+            first[1:] = (g[order[1:]] != g[order[:-1]]) | (f[order[1:]] != f[order[:-1]])
+            doc = ids[number]
+            least = np.empty_like(doc)
+            least[order] = np.minimum.reduceat(doc[order], np.flatnonzero(first))[np.cumsum(first) - 1]
             copy = doc > least
             keep = ~copy
             tagged = at | (tags[number] << 44)
@@ -120,20 +183,18 @@ def anchored(docs: DataFrame) -> DataFrame:
     return source.mapInArrow(kernels.lean(work), ROW)
 
 
-def settled(rows: DataFrame) -> DataFrame:
+def settled(rows: DataFrame, at_once: int = GATHERED) -> DataFrame:
     """(g, f, doc, at, low, high) from sorted rows: ``g`` null and a span for what is repeated as a whole, else a fragment to compare.
 
-    Rows come sorted by (g, f, doc), so only the fragments of the smallest document under the current anchor are held.
+    Rows come sorted by (g, f, doc), so only the fragments of the smallest document under the current anchor are held. An anchor whose rows
+    are not all there at once has all its different fragments compared.
     """
     names = [*NAMES, "low", "high"]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [np.zeros(0, dtype=np.int64)] * 4
         compared = False  # whether the held rows, of the anchor that was last, have been given out
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            new = [batch[name].to_numpy(zero_copy_only=False) for name in NAMES]
+        for new in gathered(batches, at_once):
             old = len(held[0])
             g, f, doc, at = (np.concatenate([a, b]) for a, b in zip(held, new))
             flagged = (at & _SETTLED) != 0
@@ -145,18 +206,24 @@ def settled(rows: DataFrame) -> DataFrame:
                 held, compared = [np.zeros(0, dtype=np.int64)] * 4, False
                 continue
             new_g = np.ones(len(g), dtype=bool)
-            new_g[1:] = g[1:] != g[:-1]
+            new_g[1:] = (g[1:] >> 16) != (g[:-1] >> 16)
             new_f = new_g.copy()
-            new_f[1:] |= f[1:] != f[:-1]
+            new_f[1:] |= (g[1:] != g[:-1]) | (f[1:] != f[:-1])
             segment = np.cumsum(new_g) - 1
             several = np.bincount(segment, weights=new_f) > 1
             several[0] |= compared and old > 0
-            least = doc[np.flatnonzero(new_f)][np.cumsum(new_f) - 1]
-            whole = doc > least
+            fragment = np.cumsum(new_f) - 1
+            begins = np.flatnonzero(new_f)
+            whole = doc > doc[begins][fragment]
             if whole.any():
                 start = (at[whole] >> 8) & 0xFFFFFFFF
                 yield out(doc[whole], at[whole], start, start + (at[whole] & 0xFF) + LENGTH - 1)
-            compare = ~whole & several[segment]
+            near = several[segment[begins]]
+            near[near] = met(g[begins[near]], doc[begins[near]])
+            near |= several[segment[begins]] & (segment[begins] == segment[-1])
+            if compared and old:
+                near |= segment[begins] == 0
+            compare = ~whole & near[fragment]
             if compared:
                 compare[:old] = False
             if compare.any():
@@ -174,7 +241,7 @@ def settled(rows: DataFrame) -> DataFrame:
         none = pa.nulls(len(doc), pa.int64())
         return pa.RecordBatch.from_arrays([none, none, *(pa.array(c) for c in (doc, at, low, high))], names=names)
 
-    dealt = rows.repartition("g").sortWithinPartitions("g", "f", "doc")
+    dealt = rows.repartition(F.shiftright("g", 16)).sortWithinPartitions("g", "f", "doc")
     return dealt.mapInArrow(kernels.lean(work), f"{ROW}, low bigint, high bigint")
 
 
@@ -308,6 +375,7 @@ def compared(fragments: DataFrame) -> DataFrame:
         spread: int | None = None  # the anchor whose windows are being spread
         for batch in batches:
             g_of, f_of, doc_of, at_of = (batch[name].to_pylist() for name in NAMES)
+            g_of = [g >> 16 for g in g_of]
             bytes_of = batch["bytes"]
             for number in range(batch.num_rows):
                 g, f = g_of[number], f_of[number]
@@ -335,7 +403,7 @@ def compared(fragments: DataFrame) -> DataFrame:
         yield from spans(short)
         yield from spans(long)
 
-    dealt = fragments.repartition("g").sortWithinPartitions("g", "f", "doc", "at")
+    dealt = fragments.repartition(F.shiftright("g", 16)).sortWithinPartitions("g", "f", "doc", "at")
     return dealt.mapInArrow(kernels.lean(work), ", ".join(f"{name} bigint" for name in names))
 
 
